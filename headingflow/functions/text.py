@@ -56,6 +56,16 @@ def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(SPACES))
 
 
+def literal(text: str) -> str:
+    """The text as a SQL string."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def quoted(name: str) -> str:
+    """The column name as a SQL identifier."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def _java(pattern: str) -> str:
     # (?iU) keeps \b and \s Unicode-aware. The look-ahead lets the engine reject
     # a position by its first letter before it tests the dear word boundary.
@@ -64,34 +74,29 @@ def _java(pattern: str) -> str:
     return "(?iU)" + ahead + pattern
 
 
-def _rewrite(pattern: str, hint: str | None):
+def _rewrite(held: str, pattern: str, hint: str | None) -> str:
+    """One rule over the held text, skipped where the text lacks every hint."""
+    replaced = f"regexp_replace(t, {literal(_java(pattern))}, ' ')"
     hints = MINISTER_HINTS if r"minister\s+for" in pattern else (hint,) if hint else ()
-
-    def step(text: Column) -> Column:
-        replaced = F.regexp_replace(text, _java(pattern), " ")
-        if not hints:
-            return replaced
-        hinted = F.contains(text, F.lit(hints[0]))
-        for other in hints[1:]:
-            hinted = hinted | F.contains(text, F.lit(other))
-        return F.when(hinted, replaced).otherwise(text)
-
-    return step
+    if hints:
+        hinted = " or ".join(f"contains(t, {literal(h)})" for h in hints)
+        replaced = f"if({hinted}, {replaced}, t)"
+    return f"transform({held}, t -> {replaced})"
 
 
-def clean_question(text: Column) -> Column:
+def clean_question(column: str) -> Column:
     """Lower-case text without procedural boilerplate and punctuation; NULL gives ``""``.
 
     The one-element array binds each intermediate text to a lambda variable, so
     the hint and the pattern share it instead of evaluating it twice.
     """
-    held = F.array(F.lower(strip(F.coalesce(text, F.lit("")))))
+    held = f"array(lower(btrim(coalesce({quoted(column)}, ''), {literal(SPACES)})))"
     for pattern, hint in zip(BOILERPLATE, HINTS, strict=True):
-        held = F.transform(held, _rewrite(pattern, hint))
+        held = _rewrite(held, pattern, hint)
     # Punctuation to blanks, then runs of blanks to one: the same as one pass
     # over the runs of anything but letters, digits, underscore and hyphen.
-    words_only = F.regexp_replace(F.element_at(held, 1), r"[^\p{L}\p{N}_\-]+", " ")
-    return F.btrim(words_only)
+    unwanted = literal(r"[^\p{L}\p{N}_\-]+")
+    return F.expr(f"btrim(regexp_replace(element_at({held}, 1), {unwanted}, ' '))")
 
 
 def normalise_spaces(text: Column) -> Column:

@@ -3,7 +3,7 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from headingflow.functions.text import strip
+from headingflow.functions.text import SPACES, literal, quoted
 
 # Strings that a CSV reader takes as missing.
 MISSING_STRINGS = [
@@ -16,10 +16,14 @@ def text_or_empty(text: Column) -> Column:
     return F.coalesce(text.cast("string"), F.lit(""))
 
 
-def first_non_empty(*texts: Column) -> Column:
+def first_non_empty_sql(texts: list[str]) -> str:
     """First text that is not blank, trimmed; ``""`` when there is none."""
-    filled = F.filter(F.array(*[strip(t) for t in texts]), lambda t: t != "")
-    return F.coalesce(F.get(filled, F.lit(0)), F.lit(""))
+    trimmed = ", ".join(f"btrim({t}, {literal(SPACES)})" for t in texts)
+    return f"coalesce(get(filter(array({trimmed}), t -> t <> ''), 0), '')"
+
+
+def first_non_empty(*columns: str) -> Column:
+    return F.expr(first_non_empty_sql([quoted(c) for c in columns]))
 
 
 def number(value: Column, default: float | None = None) -> Column:
@@ -42,7 +46,7 @@ DAY_FORMATS = [
 ]
 
 
-def parse_day(text: Column) -> Column:
+def parse_day_sql(text: str) -> str:
     """Calendar day written in the text, whatever its time and zone; NULL when unreadable.
 
     Tried in order: year first with - or /, day first with - or /, date and time
@@ -50,14 +54,13 @@ def parse_day(text: Column) -> Column:
     Day first always wins over month first. The text is read as calendar
     fields, so the session time zone has no part in it.
     """
+    tries = [
+        f"case when d rlike {literal(p)} then try_cast(regexp_replace(d, {literal(p)}, '{ymd}') as date) end"
+        for p, ymd in DAY_FORMATS
+    ]
+    # The one-element array binds the trimmed text, which every format reads.
+    return f"transform(array(btrim({text}, {literal(SPACES)})), d -> coalesce({', '.join(tries)}))[0]"
 
-    def read(held: Column) -> Column:
-        return F.coalesce(
-            *[
-                F.when(held.rlike(pattern), F.regexp_replace(held, pattern, ymd).try_cast("date"))
-                for pattern, ymd in DAY_FORMATS
-            ]
-        )
 
-    # The one-element array binds the trimmed text, which every format reads.
-    return F.element_at(F.transform(F.array(strip(text)), read), 1)
+def parse_day(column: str) -> Column:
+    return F.expr(parse_day_sql(quoted(column)))

@@ -2,10 +2,11 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from headingflow.functions.values import first_non_empty, parse_day
+from headingflow.functions.text import quoted
+from headingflow.functions.values import first_non_empty_sql, parse_day_sql
 
 # Where a wrapped document may hold its items, in order.
 ENVELOPE_KEYS = ("items", "results", "data", "pqs", "questions")
@@ -19,34 +20,41 @@ FIELD_PATHS = {
 }
 
 
-def scalar_text(item: Column, path: str) -> Column:
+def scalar_text_sql(item: str, path: str) -> str:
     """Text or number at the path as text; NULL for a missing step, an object or a list."""
-    kind = F.schema_of_variant(F.try_variant_get(item, path, "variant"))
-    return F.when(~kind.rlike("^(OBJECT|ARRAY)"), F.try_variant_get(item, path, "string"))
+    kind = f"schema_of_variant(try_variant_get({item}, '{path}', 'variant'))"
+    return (
+        f"case when not {kind} rlike '^(OBJECT|ARRAY)'"
+        f" then try_variant_get({item}, '{path}', 'string') end"
+    )
 
 
-def document_items(document: Column, keys: Sequence[str] = ENVELOPE_KEYS, strict: bool = True) -> Column:
-    """The list of items: the root, or the first of ``keys`` whose value is a list.
+def document_items_sql(document: str, keys: Sequence[str], strict: bool) -> str:
+    """The list of items: the first of ``keys`` whose value is a list, or the root.
 
     A document without a list is an error, or gives NULL when not strict.
     """
-    lists = [F.try_variant_get(document, f"$.{key}", "array<variant>") for key in keys]
-    lists.append(F.try_variant_get(document, "$", "array<variant>"))
+    paths = [f"$.{key}" for key in keys] + ["$"]
+    lists = [f"try_variant_get({document}, '{path}', 'array<variant>')" for path in paths]
     if strict:
-        failure = F.raise_error(F.lit("the JSON document is not a list and holds none"))
-        lists.append(failure.cast("array<variant>"))
-    return F.coalesce(*lists)
+        lists.append("cast(raise_error('the JSON document is not a list and holds none') as array<variant>)")
+    return f"coalesce({', '.join(lists)})"
+
+
+def _with_items(documents: DataFrame, column: str, keys: Sequence[str], strict: bool) -> DataFrame:
+    parse = "parse_json" if strict else "try_parse_json"
+    others = [c for c in documents.columns if c != column]
+    parsed = documents.select(*others, F.expr(f"{parse}({quoted(column)})").alias("_document"))
+    return parsed.select(*others, F.expr(document_items_sql("_document", keys, strict)).alias("_items"))
 
 
 def explode_items(
     documents: DataFrame, column: str, keys: Sequence[str] = ENVELOPE_KEYS, strict: bool = True
 ) -> DataFrame:
     """One row per item: ``position`` and ``item``, beside the other columns."""
-    parsed = F.parse_json(F.col(column)) if strict else F.try_parse_json(F.col(column))
-    others = [c for c in documents.columns if c != column]
-    return documents.select(*others, parsed.alias("_document")).select(
-        *others, F.posexplode(document_items(F.col("_document"), keys, strict)).alias("position", "item")
-    )
+    listed = _with_items(documents, column, keys, strict)
+    others = [c for c in listed.columns if c != "_items"]
+    return listed.select(*others, F.posexplode("_items").alias("position", "item"))
 
 
 def extract_questions(documents: DataFrame, column: str = "value", strict: bool = True) -> DataFrame:
@@ -57,25 +65,17 @@ def extract_questions(documents: DataFrame, column: str = "value", strict: bool
     happen inside the array, so each path is read once per item and only
     complete items become rows.
     """
-
-    def read(item: Column, position: Column) -> Column:
-        fields = {
-            name: first_non_empty(*[scalar_text(item, path) for path in paths])
-            for name, paths in FIELD_PATHS.items()
-        }
-        fields["date"] = parse_day(fields["date"])
-        return F.struct(position.alias("position"), *[c.alias(name) for name, c in fields.items()])
-
-    def complete(row: Column) -> Column:
-        texts = (row["question"] != "") & (row["heading"] != "") & (row["department"] != "")
-        return row["date"].isNotNull() & texts
-
-    parsed = F.parse_json(F.col(column)) if strict else F.try_parse_json(F.col(column))
-    others = [c for c in documents.columns if c != column]
-    read_in = documents.select(*others, parsed.alias("_document")).select(
-        *others, F.transform(document_items(F.col("_document"), strict=strict), read).alias("_rows")
-    )
-    return read_in.select(*others, F.inline(F.filter("_rows", complete)))
+    listed = _with_items(documents, column, ENVELOPE_KEYS, strict)
+    others = [c for c in listed.columns if c != "_items"]
+    fields = {
+        name: first_non_empty_sql([scalar_text_sql("item", path) for path in paths])
+        for name, paths in FIELD_PATHS.items()
+    }
+    fields["date"] = parse_day_sql(fields["date"])
+    struct = ", ".join(f"'{name}', {text}" for name, text in fields.items())
+    rows = f"transform(_items, (item, i) -> named_struct('position', i, {struct}))"
+    complete = "r.date is not null and r.question <> '' and r.heading <> '' and r.department <> ''"
+    return listed.selectExpr(*[quoted(c) for c in others], f"inline(filter({rows}, r -> {complete}))")
 
 
 def zip_arrays(df: DataFrame, departments_json: str, questions_json: str, id_column: str) -> DataFrame:

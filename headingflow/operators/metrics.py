@@ -5,7 +5,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from headingflow.functions.candidates import OTHER, hit_within, truth_rank
+from headingflow.functions.candidates import OTHER, truth_rank
+from headingflow.functions.text import quoted
 from headingflow.functions.values import number, text_or_empty
 from headingflow.operators.guards import report_ks
 
@@ -24,11 +25,6 @@ def sink_name(column: str) -> str:
     return f"{head}_t{int(digits) / 100:.2f}" if mark and digits.isdigit() else column
 
 
-def _share(hits: Column, rows: Column) -> Column:
-    # NULL over no rows, also where ANSI mode would fail on the division.
-    return F.try_divide(hits.cast("double"), rows.cast("double"))
-
-
 def _flags(predictions: DataFrame, truth: str, ks: Sequence[int], keys: Sequence[str]) -> DataFrame:
     """Slim rows: the keys, the confidence, and whether top-1 and each top-k hit."""
     ranked = predictions.select(
@@ -37,8 +33,18 @@ def _flags(predictions: DataFrame, truth: str, ks: Sequence[int], keys: Sequence
         (text_or_empty(F.col("pred_heading")) == text_or_empty(F.col(truth))).alias("hit_1"),
         *([truth_rank(F.col("candidates"), F.col(truth)).alias("truth_rank")] if max(ks) > 1 else []),
     )
-    wider = [hit_within(F.col("truth_rank"), k).alias(f"hit_{k}") for k in ks if k > 1]
-    return ranked.select(*keys, "conf", "hit_1", *wider)
+    wider = [f"coalesce(truth_rank between 1 and {k}, false) as hit_{k}" for k in ks if k > 1]
+    return ranked.selectExpr(*[quoted(k) for k in keys], "conf", "hit_1", *wider)
+
+
+def _grouped(flags: DataFrame, keys: Sequence[str], totals: Sequence[str], shown: Sequence[str]) -> DataFrame:
+    """One aggregation into ``totals``, then the ``shown`` expressions over them."""
+    names = ", ".join(quoted(k) for k in keys)
+    grouped = f"select {', '.join([*filter(None, [names]), *totals])} from {{flags}}"
+    if keys:
+        grouped += f" group by {names}"
+    listed = ", ".join([*filter(None, [names]), *shown])
+    return flags.sparkSession.sql(f"select {listed} from ({grouped})", flags=flags)
 
 
 def daily_metrics(
@@ -53,52 +59,40 @@ def daily_metrics(
 
     Reads ``pred_heading``, ``pred_confidence``, ``candidates``, the truth and a
     ``date``; rows without a date drop out. Top-1 is exact equality; the wider
-    tops compare trimmed candidates, and a blank truth misses. All ks and
-    thresholds come from one aggregation with map-side combining, so a day with
-    most of the rows is no hot spot.
+    tops compare trimmed candidates, and a blank truth misses. A rate over no
+    rows is NULL. All ks and thresholds come from one aggregation with map-side
+    combining, so a day with most of the rows is no hot spot.
     """
     ks = report_ks(ks, max_k or max(ks))
     top = ks[-1]
     wider = [k for k in ks if k > 1]
     flags = _flags(predictions.filter(F.col("date").isNotNull()), truth, ks, keys)
 
-    hit = {k: F.col(f"hit_{k}") for k in [1, *wider]}
-    outside = ~hit[top]
-    counts = [F.count(F.lit(1)).alias("n"), F.avg("conf").alias("avg_conf")]
-    counts += [F.count_if(hit[k]).alias(f"n_top{k}") for k in hit]
-    for narrower, k in zip([1, *wider], wider):
-        counts.append(F.count_if(hit[k] & ~hit[narrower]).alias(f"n_top{k}_only"))
-    counts.append(F.count_if(outside).alias(f"n_outside_top{top}"))
-    for t in thresholds:
-        auto = F.col("conf") >= F.lit(float(t))
-        counts.append(F.count_if(auto).alias(threshold_name("auto", t)))
-        counts.append(F.count_if(auto & ~hit[1]).alias(threshold_name("wrong", t)))
-        for k in wider:
-            counts.append(F.count_if(auto & ~hit[1] & hit[k]).alias(threshold_name(f"rescued{k}", t)))
-    daily = flags.groupBy(*keys).agg(*counts)
-
-    n = F.col("n")
-    shown = [*keys, "n", "avg_conf", _share(F.col("n_top1"), n).alias("top1")]
-    shown += [_share(F.col(f"n_top{k}"), n).alias(f"top{k}") for k in wider]
-    shown.append(_share(F.col(f"n_outside_top{top}"), n).alias(f"outside_top{top}"))
-    shown.append("n_top1")
+    totals = ["count(*) as n", "avg(conf) as avg_conf"]
+    totals += [f"count_if(hit_{k}) as n_top{k}" for k in [1, *wider]]
+    totals += [
+        f"count_if(hit_{k} and not hit_{narrower}) as n_top{k}_only"
+        for narrower, k in zip([1, *wider], wider)
+    ]
+    totals.append(f"count_if(not hit_{top}) as n_outside_top{top}")
+    shown = ["n", "avg_conf"]
+    shown += [f"try_divide(n_top{k}, n) as top{k}" for k in [1, *wider]]
+    shown += [f"try_divide(n_outside_top{top}, n) as outside_top{top}", "n_top1"]
     for k in wider:
         shown += [f"n_top{k}", f"n_top{k}_only"]
     shown.append(f"n_outside_top{top}")
     for t in thresholds:
-        auto = F.col(threshold_name("auto", t))
-        shown += [
-            _share(n - auto, n).alias(threshold_name("review_rate", t)),
-            _share(auto, n).alias(threshold_name("auto_coverage", t)),
-            _share(F.col(threshold_name("wrong", t)), auto).alias(threshold_name("auto_error_rate", t)),
-        ]
-        shown += [
-            _share(F.col(threshold_name(f"rescued{k}", t)), auto).alias(
-                threshold_name(f"auto_top{k}_rescue", t)
-            )
-            for k in wider
-        ]
-    return daily.select(*shown)
+        auto, wrong = threshold_name("auto", t), threshold_name("wrong", t)
+        totals.append(f"count_if(conf >= {float(t)}D) as {auto}")
+        totals.append(f"count_if(conf >= {float(t)}D and not hit_1) as {wrong}")
+        shown.append(f"try_divide(n - {auto}, n) as {threshold_name('review_rate', t)}")
+        shown.append(f"try_divide({auto}, n) as {threshold_name('auto_coverage', t)}")
+        shown.append(f"try_divide({wrong}, {auto}) as {threshold_name('auto_error_rate', t)}")
+        for k in wider:
+            rescued = threshold_name(f"rescued{k}", t)
+            totals.append(f"count_if(conf >= {float(t)}D and not hit_1 and hit_{k}) as {rescued}")
+            shown.append(f"try_divide({rescued}, {auto}) as {threshold_name(f'auto_top{k}_rescue', t)}")
+    return _grouped(flags, keys, totals, shown)
 
 
 def daily_top1(
@@ -106,15 +100,14 @@ def daily_top1(
 ) -> DataFrame:
     """Rows, mean confidence and top-1 accuracy per day."""
     flags = _flags(predictions.filter(F.col("date").isNotNull()), truth, [1], keys)
-    return (
-        flags.groupBy(*keys)
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.avg("conf").alias("avg_conf"),
-            F.count_if("hit_1").alias("n_top1"),
-        )
-        .select(*keys, "n", "avg_conf", _share(F.col("n_top1"), F.col("n")).alias("top1"), "n_top1")
-    )
+    totals = ["count(*) as n", "avg(conf) as avg_conf", "count_if(hit_1) as n_top1"]
+    return _grouped(flags, keys, totals, ["n", "avg_conf", "try_divide(n_top1, n) as top1", "n_top1"])
+
+
+def _rates(flags: DataFrame, keys: Sequence[str], ks: Sequence[int], name: str, extra: Sequence[str] = ()):
+    totals = ["count(*) as n", *[f"count_if(hit_{k}) as n_top{k}" for k in ks]]
+    shown = ["n", *[f"try_divide(n_top{k}, n) as {name.format(k)}" for k in ks], *extra]
+    return _grouped(flags, keys, totals, shown)
 
 
 def headline(
@@ -125,29 +118,20 @@ def headline(
 ) -> DataFrame:
     """Top-k rates and the share outside the largest k, over all rows or per key."""
     ks = report_ks([1, *ks], max(ks))
-    flags = _flags(predictions, truth, ks, keys)
-    totals = flags.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), *[F.count_if(F.col(f"hit_{k}")).alias(f"n_top{k}") for k in ks]
-    )
-    rates = [_share(F.col(f"n_top{k}"), F.col("n")).alias(f"top{k}") for k in ks]
-    outside = _share(F.col("n") - F.col(f"n_top{ks[-1]}"), F.col("n")).alias(f"outside_top{ks[-1]}")
-    return totals.select(*keys, "n", *rates, outside)
+    outside = f"try_divide(n - n_top{ks[-1]}, n) as outside_top{ks[-1]}"
+    return _rates(_flags(predictions, truth, ks, keys), keys, ks, "top{}", [outside])
 
 
 def other_share(df: DataFrame, truth: str = "heading_eval", other: str = OTHER) -> DataFrame:
     """One row: rows whose truth is ``other``, and their share."""
     totals = df.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(truth) == other).alias("n_other"))
-    return totals.select("n", "n_other", _share(F.col("n_other"), F.col("n")).alias("other_share"))
+    return totals.selectExpr("n", "n_other", "try_divide(n_other, n) as other_share")
 
 
 def validation_metrics(scored: DataFrame, truth: str = "heading", ks: Sequence[int] = (1, 3)) -> DataFrame:
     """One row: top-k accuracies of the scored validation rows."""
-    totals = _flags(scored, truth, ks, []).agg(
-        F.count(F.lit(1)).alias("n"), *[F.count_if(F.col(f"hit_{k}")).alias(f"hits_{k}") for k in ks]
-    )
-    return totals.select(
-        "n", *[_share(F.col(f"hits_{k}"), F.col("n")).alias(f"top{k}_accuracy") for k in ks]
-    )
+    ks = report_ks([1, *ks], max(ks))
+    return _rates(_flags(scored, truth, ks, []), [], ks, "top{}_accuracy")
 
 
 def text_length_stats(df: DataFrame, lengths: dict[str, Column]) -> DataFrame:

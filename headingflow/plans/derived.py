@@ -1,6 +1,6 @@
 """Tables that the queries derive from ``documents``, over all rows and whole texts."""
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headingflow.functions.candidates import best
@@ -17,45 +17,19 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``pq_id, question, department, heading, day_no, date``: each document as a question."""
-    text = F.coalesce("text", F.lit(""))
-    source = F.col("source")
-    shape = F.col("doc_id") % 4
-    question = (
-        F.when(
-            shape == 0,
-            F.concat(
-                F.col("doc_id").cast("string"),
-                F.lit(". Deputy Mary Byrne asked the Minister for "),
-                source,
-                F.lit(", to outline "),
-                text,
-                F.lit(" and if he will make a statement on the matter."),
-            ),
-        )
-        .when(
-            shape == 1,
-            F.concat(F.lit("asked the Minister for "), source, F.lit(", in relation to "), text),
-        )
-        .when(
-            shape == 2,
-            F.concat(
-                F.lit(
-                    "Deputy Seán Ó Sé asked the Taoiseach "
-                    "whether she will make a statement on the matter "
-                ),
-                text,
-            ),
-        )
-        .otherwise(text)
-    )
-    day_no = (F.col("doc_id") % DAYS).cast("int")
-    return documents(spark, sf_dir).select(
-        F.col("doc_id").alias("pq_id"),
-        question.alias("question"),
-        source.alias("department"),
-        F.concat("lang", F.lit("-"), "source").alias("heading"),
-        day_no.alias("day_no"),
-        F.date_add(F.lit(FIRST_DAY).cast("date"), day_no).alias("date"),
+    return documents(spark, sf_dir).selectExpr(
+        "doc_id as pq_id",
+        """case doc_id % 4
+          when 0 then concat(cast(doc_id as string), '. Deputy Mary Byrne asked the Minister for ', source,
+            ', to outline ', text, ' and if he will make a statement on the matter.')
+          when 1 then concat('asked the Minister for ', source, ', in relation to ', text)
+          when 2 then concat('Deputy Seán Ó Sé asked the Taoiseach ',
+            'whether she will make a statement on the matter ', text)
+          else coalesce(text, '') end as question""",
+        "source as department",
+        "concat(lang, '-', source) as heading",
+        f"cast(doc_id % {DAYS} as int) as day_no",
+        f"date_add(date'{FIRST_DAY}', cast(doc_id % {DAYS} as int)) as date",
     )
 
 
@@ -64,45 +38,32 @@ def labels(asked: DataFrame) -> DataFrame:
     return dictionary(asked, "heading", "label_id")
 
 
-def top_confidence(pq_id: Column) -> Column:
-    return (F.lit(15) + (pq_id * 37) % 80).cast("double") / F.lit(100.0)
-
-
-def truth_offset(pq_id: Column) -> Column:
-    """Places before the truth: 0, 1 to 3, 4 to 9, or 11 for outside the candidates."""
-    turn = pq_id % 20
-    return (
-        F.when(turn < 9, F.lit(0))
-        .when(turn < 14, 1 + pq_id % 3)
-        .when(turn < 17, 4 + pq_id % 6)
-        .otherwise(F.lit(11))
-    )
-
-
 def ranked_questions(asked: DataFrame, known: DataFrame, turn: int = 0) -> DataFrame:
     """The questions with ``ranked``: ten made-up classes each, their order set by the id.
 
+    The truth comes first, second to fourth, fifth to tenth, or not at all.
     ``turn`` shifts the ids that set it, for a second model. The classes are
     ranked inside the row, as those of a model's score vector are.
     """
-    lookup = known.select(F.col("heading").alias("_key"), "label_id")
-    key = F.col("pq_id") + turn
-    ready = asked.join(lookup, F.col("heading") == F.col("_key")).select(
+    lookup = known.withColumnRenamed("heading", "_key")
+    key = f"(pq_id + {turn})"
+    offset = f"""case when {key} % 20 < 9 then 0 when {key} % 20 < 14 then 1 + {key} % 3
+      when {key} % 20 < 17 then 4 + {key} % 6 else 11 end"""
+    joined = asked.join(lookup, F.col("heading") == F.col("_key")).withColumn(
+        "_classes", known.agg(F.count(F.lit(1))).scalar()
+    )
+    ready = joined.selectExpr(
         *asked.columns,
-        known.agg(F.count(F.lit(1)).alias("n")).scalar().alias("_classes"),
-        (F.col("label_id") - truth_offset(key)).alias("_first"),
-        top_confidence(key).alias("_top"),
+        "_classes",
+        f"label_id - {offset} as _first",
+        f"cast(15 + ({key} * 37) % 80 as double) / 100D as _top",
+    )
+    place = "cast(pmod(_first + k - 1, _classes) as int)"
+    conf = "_top * power(1D - _top, cast(k - 1 as double))"
+    ranked = f"named_struct('rank', k, 'class_id', {place}, 'conf', {conf})"
+    return ready.selectExpr(
+        *asked.columns, f"transform(sequence(1, {CANDIDATES}), k -> {ranked}) as ranked"
     )
-
-    def ranked_class(k: Column) -> Column:
-        return F.struct(
-            k.alias("rank"),
-            F.pmod(F.col("_first") + k - 1, F.col("_classes")).cast("int").alias("class_id"),
-            (F.col("_top") * F.pow(F.lit(1.0) - F.col("_top"), (k - 1).cast("double"))).alias("conf"),
-        )
-
-    ranks = F.sequence(F.lit(1), F.lit(CANDIDATES))
-    return ready.select(*asked.columns, F.transform(ranks, ranked_class).alias("ranked"))
 
 
 def predicted(ranked: DataFrame, known: DataFrame) -> DataFrame:
@@ -125,24 +86,15 @@ def predictions(spark: SparkSession, sf_dir: str, turn: int = 0) -> DataFrame:
     return predicted(ranked_questions(asked, known, turn), known)
 
 
-def raw_confidence(pq_id: Column) -> Column:
-    """Confidence as text, with unreadable, missing and NaN ones among it."""
-    percent = 15 + (pq_id * 37) % 80
-    return (
-        F.when(pq_id % 50 == 0, F.lit("bad"))
-        .when(pq_id % 50 == 1, F.lit(None).cast("string"))
-        .when(pq_id % 50 == 2, F.lit("NaN"))
-        .otherwise(F.concat(F.lit("0."), percent.cast("string")))
-    )
-
-
 def with_gaps(df: DataFrame) -> DataFrame:
-    """Some NULL departments and headings, and the confidence as raw text."""
-    key = F.col("pq_id")
-    return (
-        df.withColumn("department", F.when(key % 97 != 1, F.col("department")))
-        .withColumn("heading", F.when(key % 97 != 2, F.col("heading")))
-        .withColumn("pred_confidence", raw_confidence(key))
+    """Some NULL departments and headings; the confidence as text, some of it unreadable."""
+    others = [c for c in df.columns if c not in ("department", "heading", "pred_confidence")]
+    return df.selectExpr(
+        *others,
+        "case when pq_id % 97 <> 1 then department end as department",
+        "case when pq_id % 97 <> 2 then heading end as heading",
+        """case pq_id % 50 when 0 then 'bad' when 1 then null when 2 then 'NaN'
+          else concat('0.', cast(15 + (pq_id * 37) % 80 as string)) end as pred_confidence""",
     )
 
 
@@ -151,65 +103,48 @@ def canon_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Each holds the complete item of its question, and beside it items that must
     drop out: a blank heading, an unreadable date, a number, a text and a null.
+    All envelopes but the first hold a decoy: an earlier key that is no list.
     """
-    asked = questions(spark, sf_dir)
-    key = F.col("pq_id")
-    day = F.date_format("date", "yyyy-MM-dd")
-    nested = F.struct(
-        F.struct(
-            F.col("question").alias("showAs"),
-            day.alias("date"),
-            F.struct(F.col("heading").alias("showAs")).alias("debateSection"),
-            F.struct(F.col("department").alias("showAs")).alias("to"),
-        ).alias("question")
-    )
-    flat = F.struct("question", "heading", "department", F.date_format("date", "dd/MM/yyyy").alias("date"))
-    rooted = F.struct(
-        F.col("question").alias("showAs"),
-        F.struct(F.col("heading").alias("showAs")).alias("debateSection"),
-        F.struct(F.col("department").alias("showAs")).alias("to"),
-        F.concat(day, F.lit("T09:30:00.000Z")).alias("contextDate"),
+    show = lambda text: f"named_struct('showAs', {text})"
+    sections = f"'debateSection', {show('heading')}, 'to', {show('department')}"
+    flat = "to_json(named_struct('question', question, 'heading', {}, 'department', department, 'date', {}))"
+    nested = f"named_struct('question', named_struct('showAs', question, 'date', string(date), {sections}))"
+    rooted = f"named_struct('showAs', question, {sections}, 'contextDate', string(date) || 'T09:30:00.000Z')"
+    item = f"""case pq_id % 3 when 0 then to_json({nested})
+      when 1 then {flat.format("heading", "date_format(date, 'dd/MM/yyyy')")} else to_json({rooted}) end"""
+    blank_heading = flat.format("'  '", "string(date)")
+    bad_date = flat.format("heading", "'not-a-date'")
+    items = f"""concat('[', concat_ws(',', {blank_heading}, {item}, '17,"text",null', {bad_date}), ']')"""
+    envelopes = ['{"items":', *[f'{{"items":"none","{k}":' for k in ("results", "data", "pqs", "questions")]]
+    opened = " ".join(f"when {i} then '{text}'" for i, text in enumerate(envelopes))
+    turn = "(pq_id div 3) % 6"
+    return questions(spark, sf_dir).selectExpr(
+        f"concat(case {turn} {opened} else '' end, {items}, if({turn} = 5, '', '}}')) as value"
     )
-    item = F.when(key % 3 == 0, F.to_json(nested)).when(key % 3 == 1, F.to_json(flat)).otherwise(F.to_json(rooted))
-    blank_heading = F.to_json(F.struct("question", F.lit("  ").alias("heading"), "department", day.alias("date")))
-    bad_date = F.to_json(F.struct("question", "heading", "department", F.lit("not-a-date").alias("date")))
-    items = F.concat(
-        F.lit("["), F.concat_ws(",", blank_heading, item, F.lit('17,"text",null'), bad_date), F.lit("]")
-    )
-    turn = F.floor(key / 3) % 6
-    wrapped = F.when(turn == 5, items)
-    for i, name in enumerate(("items", "results", "data", "pqs", "questions")):
-        # All but the first hold a decoy: an earlier key whose value is no list.
-        decoy = '"items":"none",' if i else ""
-        wrapped = wrapped.when(turn == i, F.concat(F.lit("{" + decoy + f'"{name}":'), items, F.lit("}")))
-    return asked.select(wrapped.alias("value"))
 
 
 def raw_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``pq_id, raw``: the day in one of the accepted spellings, or blank."""
-    asked = questions(spark, sf_dir)
-    spell = lambda pattern: F.date_format("date", pattern)
-    raws = [
-        spell("yyyy-MM-dd"),
-        spell("yyyy/M/d"),
-        spell("dd-MM-yyyy"),
-        F.concat(F.lit(" "), spell("d/M/yyyy"), F.lit(" ")),
-        F.concat(spell("yyyy-MM-dd"), F.lit("T08:15:00")),
-        F.concat(spell("yyyy-MM-dd"), F.lit("T23:59:59.250Z")),
-        F.concat(spell("yyyy-MM-dd"), F.lit("T23:30:00+05:30")),
-        F.lit(" "),
-        F.lit("32/13/2026"),
-    ]
-    raw = F.get(F.array(*raws), (F.col("pq_id") % len(raws)).cast("int"))
-    return asked.select("pq_id", raw.alias("raw"))
+    """``pq_id, raw``: the day in one of the accepted spellings, or blank, or no day."""
+    return questions(spark, sf_dir).selectExpr(
+        "pq_id",
+        """case pq_id % 9
+          when 0 then string(date)
+          when 1 then date_format(date, 'yyyy/M/d')
+          when 2 then date_format(date, 'dd-MM-yyyy')
+          when 3 then concat(' ', date_format(date, 'd/M/yyyy'), ' ')
+          when 4 then concat(string(date), 'T08:15:00')
+          when 5 then concat(string(date), 'T23:59:59.250Z')
+          when 6 then concat(string(date), 'T23:30:00+05:30')
+          when 7 then ' '
+          else '32/13/2026' end as raw""",
+    )
 
 
 def parallel_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``pq_id, departments_json, questions_json``: each document's lines and as many codes."""
-    lines = F.split(F.coalesce("text", F.lit("")), "\n")
-    codes = F.transform(lines, lambda _, i: ((F.col("doc_id") + i) % 20).cast("int"))
-    return documents(spark, sf_dir).select(
-        F.col("doc_id").alias("pq_id"),
-        F.to_json(codes).alias("departments_json"),
-        F.to_json(lines).alias("questions_json"),
+    lines = "split(coalesce(text, ''), '\\n')"
+    return documents(spark, sf_dir).selectExpr(
+        "doc_id as pq_id",
+        f"to_json(transform({lines}, (line, i) -> cast((doc_id + i) % 20 as int))) as departments_json",
+        f"to_json({lines}) as questions_json",
     )

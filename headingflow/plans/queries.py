@@ -135,13 +135,13 @@ def error_sample(spark, sf_dir):
 
 def clean_questions(spark, sf_dir):
     asked = derived.questions(spark, sf_dir)
-    return asked.select("pq_id", clean_question(F.col("question")).alias("question_clean"))
+    return asked.select("pq_id", clean_question("question").alias("question_clean"))
 
 
 def clean_preview(spark, sf_dir):
     asked = derived.questions(spark, sf_dir).filter(F.col("question").isNotNull())
     first = asked.orderBy("pq_id").limit(PREVIEW_ROWS)
-    return first.select("pq_id", "question", clean_question(F.col("question")).alias("question_clean"))
+    return first.select("pq_id", "question", clean_question("question").alias("question_clean"))
 
 
 def normalise_ws(spark, sf_dir):
@@ -151,7 +151,7 @@ def normalise_ws(spark, sf_dir):
 
 def model_input_text(spark, sf_dir):
     asked = derived.questions(spark, sf_dir)
-    cleaned = clean_question(F.col("question"))
+    cleaned = clean_question("question")
     return asked.select(
         "pq_id",
         model_input(F.col("department"), cleaned, trim=True).alias("text_clean"),
@@ -163,7 +163,7 @@ def text_length_stats(spark, sf_dir):
     asked = derived.questions(spark, sf_dir).select("question")
     lengths = {
         "raw": word_count(F.col("question")),
-        "clean": word_count(clean_question(F.col("question"))),
+        "clean": word_count(clean_question("question")),
     }
     return rounded(metrics.text_length_stats(asked, lengths))
 
@@ -171,7 +171,7 @@ def text_length_stats(spark, sf_dir):
 def optional_columns(spark, sf_dir):
     asked = derived.questions(spark, sf_dir).select("pq_id", "question")
     whole = with_default(asked, "department", F.lit(""))
-    whole = with_default(whole, "question_clean", clean_question(F.col("question")))
+    whole = with_default(whole, "question_clean", clean_question("question"))
     return whole.select("pq_id", "department", "question_clean")
 
 
@@ -185,11 +185,11 @@ def canon_extract(spark, sf_dir):
 
 def parse_dates(spark, sf_dir):
     raw = derived.raw_days(spark, sf_dir)
-    return rounded(raw.select("pq_id", "raw", parse_day(F.col("raw")).alias("day")))
+    return rounded(raw.select("pq_id", "raw", parse_day("raw").alias("day")))
 
 
 def coerce_confidence(spark, sf_dir):
-    raw = derived.with_gaps(derived.questions(spark, sf_dir)).select("pq_id", "pred_confidence")
+    raw = derived.with_gaps(derived.questions(spark, sf_dir))
     conf = F.col("pred_confidence")
     return raw.select(
         "pq_id",
@@ -357,7 +357,7 @@ def review_count(spark, sf_dir):
 
 def word_vocabulary(spark, sf_dir):
     asked = derived.questions(spark, sf_dir)
-    cleaned = asked.select(clean_question(F.col("question")).alias("question_clean"))
+    cleaned = asked.select(clean_question("question").alias("question_clean"))
     return vocabulary(cleaned, "question_clean")
 
 

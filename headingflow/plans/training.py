@@ -36,7 +36,7 @@ def prepare_training(
     labels = dictionary(
         collapse_rare(counts, min_count=min_count, counts=counts), "heading_collapsed", "label_id"
     )
-    texts = with_default(corpus, "question_clean", clean_question(F.col("question")))
+    texts = with_default(corpus, "question_clean", clean_question("question"))
     whole = texts.select(
         id_column, "question_clean", F.coalesce("department", F.lit("")).alias("department"), "heading"
     )

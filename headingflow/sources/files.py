@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from headingflow.functions.values import MISSING_STRINGS
-from headingflow.operators.canon import explode_items, scalar_text
+from headingflow.operators.canon import explode_items, scalar_text_sql
 from headingflow.operators.guards import require_columns
 
 UPLOAD_COLUMNS = ("question", "department", "heading")
@@ -89,7 +89,7 @@ def read_upload(
         return require_columns(table, ("question", "department"))
     if name.endswith(".json"):
         items = explode_items(read_documents(spark, path, per_line), "value", keys=("data",))
-        return items.select(*[scalar_text(F.col("item"), f"$.{c}").alias(c) for c in columns])
+        return items.select(*[F.expr(scalar_text_sql("item", f"$.{c}")).alias(c) for c in columns])
     raise ValueError("Unsupported file type: give a .csv or a .json path.")
 
 
