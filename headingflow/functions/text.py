@@ -106,8 +106,8 @@ def normalise_spaces(text: Column) -> Column:
 
 def word_count(text: Column) -> Column:
     """Number of words between white space."""
-    held = strip(F.coalesce(text, F.lit("")))
-    return F.when(held == "", F.lit(0)).otherwise(F.size(F.split(held, SPACE_CLASS + "+")))
+    pieces = F.split(F.coalesce(text, F.lit("")), SPACE_CLASS + "+")
+    return F.size(F.filter(pieces, lambda w: w != ""))
 
 
 def model_input(

@@ -26,8 +26,7 @@ def upsert_table(new: DataFrame, path: str, keys: Sequence[str] = ("date",)) ->
     keys = list(keys)
     written = new.select(*[c for c in new.columns if c not in keys], *[F.col(k).cast("string") for k in keys])
     (
-        written.repartition(*keys)
-        .write.mode("overwrite")
+        written.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*keys)
         .parquet(path)

@@ -9,7 +9,7 @@ from headingflow.operators.canon import extract_questions
 from headingflow.operators.guards import report_ks, require_rows
 from headingflow.operators.metrics import REPORT_KS, daily_metrics
 from headingflow.operators.upsert import upsert_table
-from headingflow.sources.shared import materialise
+from headingflow.sources.shared import materialise, spread
 
 Scorer = Callable[[DataFrame], DataFrame]
 
@@ -39,6 +39,7 @@ def run_daily(
     ks = report_ks(ks, max_k)
     asked = materialise(extract_questions(documents), "questions")
     require_rows(asked)
+    asked = spread(asked)
     scored = score_with_models(asked, models)
     if predictions_path is None:
         predictions = materialise(scored, "predictions")

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from headingflow.functions.candidates import best
 from headingflow.operators.labels import decode_candidates, dictionary
+from headingflow.sources.shared import spread
 
 FIRST_DAY = "2026-01-13"
 DAYS = 37
@@ -33,6 +34,11 @@ def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def spread_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The questions for heavy work on their texts."""
+    return spread(questions(spark, sf_dir))
+
+
 def labels(asked: DataFrame) -> DataFrame:
     """``heading, label_id`` over all headings."""
     return dictionary(asked, "heading", "label_id")

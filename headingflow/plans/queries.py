@@ -32,7 +32,7 @@ from headingflow.operators.widen import alternate_columns, top_k_rows, widen_can
 from headingflow.plans import derived
 from headingflow.plans.training import prepare_training, run_metadata
 from headingflow.sources.files import read_csv, read_upload, write_csv, write_dated
-from headingflow.sources.shared import new_path
+from headingflow.sources.shared import materialise, new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -40,6 +40,9 @@ SECOND_MODEL_TURN = 7
 RUN_DATE = "2026-02-19"
 PREVIEW_ROWS = 10
 KNOWN_DAYS = 3
+# The test texts are made of few words: a small hashed space suits them.
+TEXT_FEATURES = 1 << 10
+ITERATIONS = 15
 
 
 def rounded(df: DataFrame) -> DataFrame:
@@ -134,7 +137,7 @@ def error_sample(spark, sf_dir):
 
 
 def clean_questions(spark, sf_dir):
-    asked = derived.questions(spark, sf_dir)
+    asked = derived.spread_questions(spark, sf_dir)
     return asked.select("pq_id", clean_question("question").alias("question_clean"))
 
 
@@ -145,12 +148,12 @@ def clean_preview(spark, sf_dir):
 
 
 def normalise_ws(spark, sf_dir):
-    asked = derived.questions(spark, sf_dir)
+    asked = derived.spread_questions(spark, sf_dir)
     return asked.select("pq_id", normalise_spaces(F.col("question")).alias("question_ws"))
 
 
 def model_input_text(spark, sf_dir):
-    asked = derived.questions(spark, sf_dir)
+    asked = derived.spread_questions(spark, sf_dir)
     cleaned = clean_question("question")
     return asked.select(
         "pq_id",
@@ -160,7 +163,7 @@ def model_input_text(spark, sf_dir):
 
 
 def text_length_stats(spark, sf_dir):
-    asked = derived.questions(spark, sf_dir).select("question")
+    asked = derived.spread_questions(spark, sf_dir).select("question")
     lengths = {
         "raw": word_count(F.col("question")),
         "clean": word_count(clean_question("question")),
@@ -169,7 +172,7 @@ def text_length_stats(spark, sf_dir):
 
 
 def optional_columns(spark, sf_dir):
-    asked = derived.questions(spark, sf_dir).select("pq_id", "question")
+    asked = derived.spread_questions(spark, sf_dir).select("pq_id", "question")
     whole = with_default(asked, "department", F.lit(""))
     whole = with_default(whole, "question_clean", clean_question("question"))
     return whole.select("pq_id", "department", "question_clean")
@@ -356,13 +359,14 @@ def review_count(spark, sf_dir):
 
 
 def word_vocabulary(spark, sf_dir):
-    asked = derived.questions(spark, sf_dir)
+    asked = derived.spread_questions(spark, sf_dir)
     cleaned = asked.select(clean_question("question").alias("question_clean"))
     return vocabulary(cleaned, "question_clean")
 
 
 def word_sequences(spark, sf_dir):
-    cleaned = clean_questions(spark, sf_dir)
+    # Two passes read the cleaned texts: cleaning again would cost more than the copy.
+    cleaned = materialise(clean_questions(spark, sf_dir), "cleaned")
     coded = encode_sequences(cleaned, vocabulary(cleaned, "question_clean"), "question_clean")
     return coded.select("pq_id", F.array_join("word_ids", ",").alias("word_ids"))
 
@@ -384,8 +388,8 @@ def run_record(spark, sf_dir):
 
 
 def train_score_baseline(spark, sf_dir):
-    training, known = prepare_training(derived.questions(spark, sf_dir), "pq_id")
-    model = train(training, known, naive_bayes())
+    training, known = prepare_training(derived.spread_questions(spark, sf_dir), "pq_id")
+    model = train(training, known, naive_bayes(), TEXT_FEATURES)
     scored = model.predict(training, k=3)
     return rounded(
         metrics.daily_top1(
@@ -395,30 +399,30 @@ def train_score_baseline(spark, sf_dir):
 
 
 def score_topk(spark, sf_dir):
-    asked = derived.questions(spark, sf_dir)
+    asked = derived.spread_questions(spark, sf_dir)
     training, known = prepare_training(asked, "pq_id")
-    model = train(training, known, logistic(max_iter=15))
+    model = train(training, known, logistic(max_iter=ITERATIONS), TEXT_FEATURES)
     scored = model.predict(asked.select("pq_id", "question", "department"), k=4, never_other=True)
     flagged = scored.withColumn("needs_review", needs_review(F.col("pred_confidence")))
     return rounded(widen_candidates(flagged.drop("question", "question_clean"), 4, shown=3))
 
 
 def validation_metrics(spark, sf_dir):
-    training, known = prepare_training(derived.questions(spark, sf_dir), "pq_id")
-    model = train(training, known, logistic(max_iter=15))
+    training, known = prepare_training(derived.spread_questions(spark, sf_dir), "pq_id")
+    model = train(training, known, logistic(max_iter=ITERATIONS), TEXT_FEATURES)
     scored = model.predict(training.filter(F.col("split") == "val"), k=3)
     return rounded(metrics.validation_metrics(scored, "heading_collapsed"))
 
 
 def model_sweep(spark, sf_dir):
-    training, known = prepare_training(derived.questions(spark, sf_dir), "pq_id")
+    training, known = prepare_training(derived.spread_questions(spark, sf_dir), "pq_id")
     choices = {
         "naive_bayes": naive_bayes(),
-        "logistic_1e-2": logistic(1e-2, max_iter=10),
-        "logistic_1e-4": logistic(1e-4, max_iter=10),
+        "logistic_1e-2": logistic(1e-2, ITERATIONS),
+        "logistic_1e-1": logistic(1e-1, ITERATIONS),
     }
-    best, results = sweep(training, known, choices)
-    # Rows of the sweep are one per choice, measured on the whole validation part.
+    # One row per choice, measured on the whole validation part.
+    _, results = sweep(training, known, choices, TEXT_FEATURES)
     measured = spark.createDataFrame(
         [(r.name, r.n, r.top1_accuracy, r.top3_accuracy) for r in results],
         "choice string, n long, top1_accuracy double, top3_accuracy double",

@@ -39,3 +39,15 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = new_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Give every core a part of a scan that has fewer parts than there are cores.
+
+    For heavy work per row on a few files, or on one large row group. A large
+    table has more parts than that and passes unchanged, so it is never
+    shuffled here. Meant for scans and projections of them: asking a plan with
+    a shuffle for its parts would run it.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
