@@ -1,0 +1,152 @@
+import numpy as np
+import pytest
+from conftest import column
+from pyspark.sql import functions as F
+
+from headingflow.functions.candidates import (
+    best,
+    best_except_other,
+    hit_within,
+    needs_review,
+    rank_classes,
+    reported_hit,
+    softmax,
+    truth_rank,
+)
+from headingflow.operators.labels import decode_candidates
+from headingflow.operators.model import plugin_scores, predict_from_scores
+from headingflow.operators.widen import gather_candidates, top_k_rows, widen_candidates
+
+
+@pytest.fixture(scope="module")
+def scores(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(x) for x in rng.integers(0, 6, 7) / 10]) for i in range(60)]
+    return spark.createDataFrame(rows, "id long, scores array<double>").cache()
+
+
+@pytest.fixture(scope="module")
+def labels(spark):
+    names = ["Other", "beta", "alpha ", "delta", "eta", "zeta", "iota"]
+    return spark.createDataFrame([(n, i) for i, n in enumerate(names)], "heading string, label_id int")
+
+
+def test_softmax(spark):
+    logits = [[1.0, 2.0, 3.0], [1000.0, 0.0], [-5.0]]
+    rows = spark.createDataFrame([(x,) for x in logits], "x array<double>")
+    for got, x in zip(column(rows.select(softmax(F.col("x")))), logits):
+        e = np.exp(np.array(x) - max(x))
+        assert np.allclose(got, e / e.sum())
+
+
+@pytest.mark.parametrize("k", [1, 3, 7, 20])
+def test_rank_classes_equals_long_form(scores, k):
+    inside = scores.select("id", F.inline(rank_classes(F.col("scores"), k)))
+    long = scores.select("id", F.posexplode("scores").alias("class_id", "conf"))
+    outside = top_k_rows(long, "id", "class_id", "conf", k).select("id", "rank", "class_id", "conf")
+    assert sorted(map(tuple, inside.collect())) == sorted(map(tuple, outside.collect()))
+
+
+def test_ranking_against_numpy(scores):
+    for row in scores.withColumn("r", rank_classes(F.col("scores"))).collect():
+        order = np.lexsort((np.arange(7), -np.array(row["scores"])))
+        assert [c["class_id"] for c in row["r"]] == list(order)
+
+
+def test_unknown_class_ids(spark):
+    rows = spark.createDataFrame([([0.1, 0.7, 0.2],)], "scores array<double>")
+    two = spark.createDataFrame([("a", 0), ("b", 1)], "heading string, label_id int")
+    ranked = rows.withColumn("r", rank_classes(F.col("scores")))
+    assert [c["heading"] for c in column(decode_candidates(ranked, "r", two, "c"), "c")[0]] == ["b", "2", "a"]
+    marked = column(decode_candidates(ranked, "r", two, "c", "__UNK_{}__"), "c")[0]
+    assert marked[1]["heading"] == "__UNK_2__"
+
+
+def test_never_other(scores, labels):
+    names = [r["heading"] for r in sorted(labels.collect(), key=lambda r: r["label_id"])]
+    predicted = predict_from_scores(scores.withColumn("kept", F.col("scores")), labels, k=1, never_other=True)
+    seen_other = 0
+    for row in predicted.collect():
+        values = np.array(row["kept"])
+        order = np.lexsort((np.arange(7), -values))
+        expected = order[1] if names[order[0]] == "Other" else order[0]
+        seen_other += names[order[0]] == "Other"
+        assert row["pred_heading"] == names[expected]
+        assert row["pred_confidence"] == values[expected]
+        assert [c["heading"] for c in row["candidates"]] == [names[order[0]]]
+    assert seen_other
+
+
+def test_only_other_stays(spark):
+    rows = spark.createDataFrame([([(1, "Other", 0.9)],), ([],)], "c array<struct<rank:int,heading:string,conf:double>>")
+    got = column(rows.select(best_except_other(F.col("c"))))
+    assert got[0]["heading"] == "Other" and got[1] is None
+    assert column(rows.select(best(F.col("c"))))[1] is None
+
+
+HITS = [
+    ("b", "x", ["a", " b ", "c"], 2, False),
+    ("b", "x", ["a", "b"], 2, True),
+    (" a ", " a ", ["a"], 1, True),
+    ("", "", [""], None, False),
+    (None, "x", ["a"], None, False),
+    ("z", "x", ["a", "b"], 0, False),
+    ("f", "x", ["a", "b", "c", "d", "e", "f"], 6, False),
+]
+
+
+def test_hits(spark):
+    rows = spark.createDataFrame(
+        [(t, p, [(i + 1, h, 0.1) for i, h in enumerate(names)]) for t, p, names, _, _ in HITS],
+        "truth string, pred string, c array<struct<rank:int,heading:string,conf:double>>",
+    )
+    got = rows.select(
+        truth_rank(F.col("c"), F.col("truth")).alias("rank"),
+        reported_hit(F.col("truth"), F.col("pred"), F.col("c")).alias("report"),
+    )
+    got = got.withColumn("top4", hit_within(F.col("rank"), 4)).collect()
+    for row, (_, _, _, rank, report) in zip(got, HITS):
+        assert row["rank"] == rank
+        assert row["report"] is report
+        assert row["top4"] is (rank is not None and 1 <= rank <= 4)
+
+
+def test_review_flag(spark):
+    rows = spark.createDataFrame([(0.2499,), (0.25,), (None,)], "c double")
+    assert column(rows.select(needs_review(F.col("c")))) == [True, False, None]
+
+
+def test_widen_and_gather(scores, labels):
+    predicted = predict_from_scores(scores, labels, k=4)
+    wide = widen_candidates(predicted, 4)
+    assert [c for c in wide.columns if c.startswith("alt_heading")] == [f"alt_heading_{j}" for j in (1, 2, 3, 4)]
+    assert wide.filter("alt_heading_1 <> pred_heading").isEmpty()
+    again = gather_candidates(wide, 10).select("id", "candidates")
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, predicted.select("id", "candidates").collect()))
+    others = widen_candidates(predicted, 4, skip_first=True)
+    assert "alt_heading_4" not in others.columns
+    assert others.join(wide, "id").filter(others.alt_heading_1 != wide.alt_heading_2).isEmpty()
+    assert "alt_heading_4" not in widen_candidates(predicted, 4, shown=3).columns
+
+
+def test_plugin_scorer_loads_once_per_task(spark, labels, tmp_path):
+    folder = str(tmp_path)
+
+    def load():
+        import os
+        import uuid
+
+        open(os.path.join(folder, uuid.uuid4().hex), "w").close()
+        return lambda texts: [[float(len(t) == i) for i in range(7)] for t in texts]
+
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10")
+    try:
+        rows = spark.range(0, 90, 1, 3).select("id", F.repeat(F.lit("x"), (F.col("id") % 7).cast("int")).alias("t"))
+        scored = rows.withColumn("scores", plugin_scores(F.col("t"), load))
+        predicted = predict_from_scores(scored, labels, k=2).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    names = [r["heading"] for r in sorted(labels.collect(), key=lambda r: r["label_id"])]
+    assert all(r["pred_heading"] == names[r["id"] % 7] and r["pred_confidence"] == 1.0 for r in predicted)
+    assert len(list(tmp_path.iterdir())) == 3
