@@ -1,0 +1,197 @@
+import json
+from pathlib import Path
+
+import pytest
+from conftest import column
+from pyspark.sql import functions as F
+
+from headingflow.operators import guards
+from headingflow.operators.canon import extract_questions
+from headingflow.operators.upsert import read_table, upsert, upsert_table
+from headingflow.sources import shared
+from headingflow.sources.files import (
+    append_run,
+    read_csv,
+    read_csv_with_missing_words,
+    read_documents,
+    read_upload,
+    write_csv,
+    write_dated,
+)
+
+TEXTS = [
+    'plain', '  kept blanks  ', 'two\nlines', 'crlf\r\nline', 'a "quoted" word', 'comma, here', 'back\\slash "x\\"',
+    "it's", 'é 日本', '"', '\\', 'NA', 'tab\there', "trailing\n",
+]
+
+
+def test_csv_round_trip(spark, tmp_path):
+    rows = spark.createDataFrame([(i, t, None) for i, t in enumerate(TEXTS)], "id long, t string, gap string")
+    path = str(tmp_path / "t.csv")
+    write_csv(rows, path)
+    back = read_csv(spark, path, "id long, t string, gap string")
+    assert sorted(map(tuple, back.collect())) == [(i, t, None) for i, t in enumerate(TEXTS)]
+
+
+def test_csv_missing_words(spark, tmp_path):
+    path = tmp_path / "m.csv"
+    path.write_text('a,b\nNA,x\n"",None\nnull,"N/A "\n')
+    rows = read_csv_with_missing_words(spark, str(path), "a string, b string").collect()
+    assert sorted(map(tuple, rows), key=str) == sorted([(None, "x"), (None, None), (None, "N/A ")], key=str)
+
+
+UPLOAD = [{"question": "q1", "department": "d1"}, {"question": "q\n2", "department": None, "heading": "h"}]
+
+
+@pytest.mark.parametrize("envelope", [lambda rows: rows, lambda rows: {"data": rows}])
+def test_upload_json(spark, tmp_path, envelope):
+    path = tmp_path / "Upload.JSON"
+    path.write_text(json.dumps(envelope(UPLOAD), indent=2))
+    rows = read_upload(spark, str(path)).collect()
+    assert sorted(map(tuple, rows)) == [("q\n2", None, "h"), ("q1", "d1", None)]
+
+
+def test_upload_refuses_other_envelopes_and_suffixes(spark, tmp_path):
+    path = tmp_path / "u.json"
+    path.write_text(json.dumps({"items": UPLOAD}))
+    with pytest.raises(Exception, match="not a list"):
+        read_upload(spark, str(path)).collect()
+    with pytest.raises(ValueError, match="Unsupported file type"):
+        read_upload(spark, "table.xlsx")
+
+
+def test_upload_csv(spark, tmp_path):
+    path = tmp_path / "u.csv"
+    path.write_text('question,department,heading,extra\n"a, b",d,h,1\n')
+    assert list(map(tuple, read_upload(spark, str(path)).collect())) == [("a, b", "d", "h", "1")]
+    path.write_text("question,heading\na,b\n")
+    with pytest.raises(ValueError, match="department"):
+        read_upload(spark, str(path))
+
+
+def test_documents_per_file_and_per_line(spark, tmp_path):
+    item = {"question": "q", "heading": "h", "department": "d", "date": "2026-01-13"}
+    (tmp_path / "whole").mkdir()
+    (tmp_path / "lines").mkdir()
+    for i in range(3):
+        (tmp_path / "whole" / f"{i}.json").write_text(json.dumps({"items": [item] * (i + 1)}, indent=1))
+    (tmp_path / "lines" / "a.json").write_text("\n".join(json.dumps([item] * 2) for _ in range(4)))
+    assert extract_questions(read_documents(spark, str(tmp_path / "whole"))).count() == 6
+    assert extract_questions(read_documents(spark, str(tmp_path / "lines"), per_line=True)).count() == 8
+
+
+@pytest.mark.parametrize("fmt", ["json", "csv"])
+def test_dated_sink_replaces_its_day_only(spark, tmp_path, fmt):
+    path = str(tmp_path / "out")
+    write_dated(spark.range(3).select("id"), path, "2026-01-01", fmt)
+    write_dated(spark.range(5).select("id"), path, "2026-01-02", fmt)
+    write_dated(spark.range(4).select("id"), path, "2026-01-02", fmt)
+    back = spark.read.schema("id long, run_date string").option("header", True).format(fmt).load(path)
+    assert dict(map(tuple, back.groupBy("run_date").count().collect())) == {"2026-01-01": 3, "2026-01-02": 4}
+    assert sorted(p.name for p in Path(path).glob("run_date=*")) == ["run_date=2026-01-01", "run_date=2026-01-02"]
+
+
+def test_append_run(spark, tmp_path):
+    path = str(tmp_path / "runs")
+    for seed in (1, 2):
+        append_run(spark.range(1).select(F.lit(seed).alias("seed")), path)
+    assert sorted(column(spark.read.parquet(path))) == [1, 2]
+
+
+OLD = [("2026-01-01", 5, 0.5, "x"), ("2026-01-02", 6, 0.25, "y")]
+NEW = [("2026-01-02", 7, 9), ("2026-01-03", 8, 9)]
+
+
+def tables(spark):
+    old = spark.createDataFrame(OLD, "date string, n long, top1 double, retired string")
+    return old, spark.createDataFrame(NEW, "date string, n long, top4 long")
+
+
+def test_upsert(spark):
+    old, new = tables(spark)
+    once = upsert(old, new)
+    assert once.columns == ["date", "n", "top1", "retired", "top4"]
+    assert list(map(tuple, once.collect())) == [
+        ("2026-01-01", 5, 0.5, "x", None),
+        ("2026-01-02", 7, None, None, 9),
+        ("2026-01-03", 8, None, None, 9),
+    ]
+    assert upsert(once, new).collect() == once.collect()
+    assert upsert(old.limit(0), new).select(*new.columns).collect() == new.collect()
+
+
+def test_upsert_table(spark, tmp_path):
+    old, new = tables(spark)
+    path = str(tmp_path / "metrics")
+    upsert_table(old, path)
+    upsert_table(new, path)
+    once = read_table(spark, path)
+    expected = upsert(old, new).select(*once.columns).collect()
+    assert sorted(once.columns) == ["date", "n", "retired", "top1", "top4"] and once.columns[0] == "date"
+    assert once.collect() == expected
+    upsert_table(new, path)
+    assert read_table(spark, path).collect() == expected
+
+
+def test_upsert_table_with_two_keys(spark, tmp_path):
+    path = str(tmp_path / "metrics")
+    both = spark.createDataFrame([("m1", "2026-01-01", 1), ("m2", "2026-01-01", 2)], "model string, date string, n long")
+    upsert_table(both, path, ("model", "date"))
+    upsert_table(both.filter("model = 'm2'").withColumn("n", F.lit(5).cast("long")), path, ("model", "date"))
+    assert list(map(tuple, read_table(spark, path, ("model", "date")).collect())) == [
+        ("m1", "2026-01-01", 1),
+        ("m2", "2026-01-01", 5),
+    ]
+
+
+def test_guards(spark):
+    rows = spark.createDataFrame([("a",)], "question string")
+    with pytest.raises(ValueError, match=r"\['department', 'heading'\].*question"):
+        guards.require_columns(rows, ("question", "heading", "department"))
+    with pytest.raises(ValueError, match="No rows"):
+        guards.require_rows(rows.limit(0))
+    assert guards.require_rows(guards.require_columns(rows, ("question",))) is rows
+    assert guards.with_default(rows, "department", F.lit("")).columns == ["question", "department"]
+    assert guards.with_default(rows, "question", F.lit("")) is rows
+    assert guards.report_ks([10, 1, 4, 4], 10) == [1, 4, 10]
+    assert [guards.clamp_topk(k, 10) for k in (-1, 4, 30)] == [1, 4, 10]
+    assert guards.clamp_topk(30) == 30
+    assert guards.require_topk(3) == 3
+    for wrong in ([], [0], [1, 11]):
+        with pytest.raises(ValueError):
+            guards.report_ks(wrong, 10)
+    with pytest.raises(ValueError):
+        guards.require_topk(0)
+
+
+def test_shared_folder_comes_from_the_session(spark):
+    folder = spark.conf.get("spark.checkpoint.dir")
+    assert shared.shared_folder(spark) == folder
+    table = shared.materialise(spark.range(4), "kept")
+    assert all(f.removeprefix("file://").startswith(folder) for f in table.inputFiles())
+    assert table.count() == 4
+
+
+def test_a_cluster_without_a_shared_folder_is_an_error():
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(_, default):
+                return default
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared.shared_folder(Session())
+
+
+def test_spread(spark):
+    assert shared.spread(spark.range(0, 10, 1, 2)).rdd.getNumPartitions() == 4
+    many = spark.range(0, 10, 1, 9)
+    assert shared.spread(many) is many
