@@ -8,8 +8,11 @@ from headingflow.operators.canon import extract_questions
 from headingflow.operators.metrics import daily_metrics, validation_metrics
 from headingflow.operators.model import HeadingModel, logistic, naive_bayes, sweep, train
 from headingflow.operators.upsert import read_table
+from headingflow.operators.widen import widen_candidates
 from headingflow.plans.daily import run_daily
+from headingflow.plans.scoring import evaluate_predictions, score_arrays, score_questions, score_upload
 from headingflow.plans.training import prepare_training, run_metadata
+from headingflow.sources.files import read_csv
 from headingflow.streaming.refresh import refresh_metrics
 
 TOPICS = {
@@ -195,3 +198,53 @@ def test_trained_model_in_the_daily_job(spark, model, tmp_path):
     made = run_daily(source, {"logistic": lambda df: model.predict(df, k=5)}, str(tmp_path / "m"), ks=(1, 3), max_k=5)
     assert made.agg(F.sum("n")).first()[0] == 364
     assert made.agg(F.sum("n_top1")).first()[0] > 180
+
+
+def test_score_upload(spark, model, tmp_path):
+    rows = [{"question": f"to outline {w[0]} and {w[1]}", "department": "north", "heading": t} for t, w in TOPICS.items()]
+    source = tmp_path / "asked.json"
+    source.write_text(json.dumps({"data": rows}))
+    wide = score_upload(spark, str(source), model, str(tmp_path / "out"), k=2)
+    assert wide.columns == ["question", "department", "heading", "pred_heading", "pred_confidence",
+                            "alt_heading_1", "alt_conf_1", "alt_heading_2", "alt_conf_2"]
+    back = read_csv(spark, str(tmp_path / "out"), wide.schema)
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, wide.collect()))
+
+
+def test_score_questions(spark, corpus, model):
+    departments = corpus.select(F.coalesce("department", F.lit("")).alias("department")).distinct()
+    scored = score_questions(corpus, model, departments, k=4)
+    assert scored.filter("pred_heading = 'Other'").isEmpty()
+    assert scored.filter("needs_review <> (pred_confidence < 0.25)").isEmpty()
+    assert "alt_heading_3" in scored.columns and "alt_heading_4" not in scored.columns
+    with pytest.raises(ValueError, match=r"Unseen department: \['east'\]"):
+        score_questions(corpus.withColumn("department", F.lit("east")), model, departments)
+
+
+def test_score_arrays(spark, model, tmp_path):
+    batches = spark.createDataFrame(
+        [(1, "[0, 1]", json.dumps(["rent homes", "beds nurses"])), (2, "[1]", json.dumps(["exams pupils"]))],
+        "batch long, d string, q string",
+    )
+    departments = spark.createDataFrame([(0, "north"), (1, "south")], "department_id int, department string")
+    path = str(tmp_path / "predicted")
+    score_arrays(batches, "d", "q", "batch", departments, model, path, "2026-02-19")
+    back = spark.read.schema("question string, predicted_heading string, run_date string").json(path)
+    assert {r["question"] for r in back.collect()} == {"rent homes", "beds nurses", "exams pupils"}
+    assert {r["run_date"] for r in back.collect()} == {"2026-02-19"}
+
+
+def test_evaluation_of_wide_and_gathered_predictions(corpus, model):
+    scored = model.predict(corpus, k=5).cache()
+    gathered = evaluate_predictions(scored, "id")
+    wide = evaluate_predictions(widen_candidates(scored, 5), "id")
+    assert gathered.keys() == wide.keys()
+    for name in gathered:
+        same = set(gathered[name].columns) & set(wide[name].columns)
+        assert same == set(wide[name].columns)
+        left, right = (sorted(map(tuple, t[name].select(*sorted(same)).collect()), key=repr) for t in (gathered, wide))
+        assert left == right
+    with pytest.raises(ValueError, match="No rows"):
+        evaluate_predictions(scored.limit(0), "id")
+    with pytest.raises(ValueError, match="pred_heading"):
+        evaluate_predictions(corpus, "id")
