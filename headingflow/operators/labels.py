@@ -8,6 +8,7 @@ from headingflow.operators.numbering import number_rows
 from headingflow.sources.shared import materialise
 
 MIN_HEADING_COUNT = 8
+MAX_CLASSES = 100_000
 
 
 def value_counts(df: DataFrame, column: str = "heading", out: str = "n") -> DataFrame:
@@ -109,11 +110,16 @@ def collapse_unknown(
 def heading_array(labels: DataFrame, column: str = "heading", id_column: str = "label_id") -> Column:
     """All headings in class order, as one scalar for every row.
 
-    It has as many entries as each row's score vector, so it is never larger
-    than a single row of scores.
+    It has as many entries as each row's own score vector has. A dictionary with
+    more than ``MAX_CLASSES`` is no label map of a model, and an error before it
+    is gathered.
     """
     pairs = F.sort_array(F.collect_list(F.struct(F.col(id_column), F.col(column))))
-    return labels.agg(F.transform(pairs, lambda p: p[column]).alias("headings")).scalar()
+    too_many = F.raise_error(F.lit(f"more than {MAX_CLASSES} headings: collapse the rare ones first"))
+    headings = F.when(F.count(F.lit(1)) > MAX_CLASSES, too_many.cast("array<string>")).otherwise(
+        F.transform(pairs, lambda p: p[column])
+    )
+    return labels.limit(MAX_CLASSES + 1).agg(headings.alias("headings")).scalar()
 
 
 def decode_candidates(

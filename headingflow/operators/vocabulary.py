@@ -15,6 +15,9 @@ FIRST_WORD_ID = 2
 # The characters that split words, besides the blank.
 WORD_BREAKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~\t\n"
 
+# Beyond this the words no longer fit one scalar; a vocabulary is far smaller.
+MAX_WORDS = 1_000_000
+
 _BUCKETS = 1024
 
 
@@ -31,6 +34,8 @@ def vocabulary(df: DataFrame, column: str, num_words: int = NUM_WORDS) -> DataFr
     Ties in frequency go by word. Counting combines on the map side, so a word
     that makes up most of the text costs one row per task.
     """
+    if num_words > MAX_WORDS:
+        raise ValueError(f"num_words may be at most {MAX_WORDS}")
     counted = (
         df.select(F.explode(words(F.col(column))).alias("word"))
         .groupBy("word")

@@ -7,7 +7,7 @@ can be compared across engines.
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headingflow.functions.candidates import (
@@ -19,7 +19,13 @@ from headingflow.functions.candidates import (
     softmax,
     truth_rank,
 )
-from headingflow.functions.text import clean_question, model_input, normalise_spaces, word_count
+from headingflow.functions.text import (
+    clean_question,
+    model_input,
+    normalise_spaces,
+    quoted,
+    word_count,
+)
 from headingflow.functions.values import number, parse_day
 from headingflow.operators import concentration, holdout, labels, metrics
 from headingflow.operators.canon import extract_questions, zip_arrays
@@ -47,15 +53,8 @@ ITERATIONS = 15
 
 def rounded(df: DataFrame) -> DataFrame:
     """Doubles to six digits, days to text."""
-
-    def shown(name: str, kind: str) -> Column:
-        if kind == "double":
-            return F.round(name, 6).alias(name)
-        if kind == "date":
-            return F.date_format(name, "yyyy-MM-dd").alias(name)
-        return F.col(name)
-
-    return df.select(*[shown(name, kind) for name, kind in df.dtypes])
+    shown = {"double": "round({0}, 6) as {0}", "date": "string({0}) as {0}"}
+    return df.selectExpr(*[shown.get(kind, "{0}").format(quoted(name)) for name, kind in df.dtypes])
 
 
 def known_headings(counts: DataFrame) -> DataFrame:

@@ -116,3 +116,12 @@ def test_distribution_and_coverage(asked, headings):
             place += 1
         assert row["top_headings"] == place
         assert (row["headings"], row["questions"]) == (len(counts), total)
+
+
+def test_too_many_classes_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(labels, "MAX_CLASSES", 2)
+    rows = spark.createDataFrame([([(1, 0, 0.5)],)], "r array<struct<rank:int,class_id:int,conf:double>>")
+    three = spark.createDataFrame([("a", 0), ("b", 1), ("c", 2)], "heading string, label_id int")
+    assert labels.decode_candidates(rows, "r", three.filter("label_id < 2")).first()["candidates"][0]["heading"] == "a"
+    with pytest.raises(Exception, match="collapse the rare ones"):
+        labels.decode_candidates(rows, "r", three).collect()
