@@ -15,6 +15,7 @@ SPACE_CLASS = (
     r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
     r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 )
+WORD_CLASS = r"[\p{L}\p{N}_]"
 
 # The boilerplate patterns, in the order in which they apply.
 # Each match becomes one space.
@@ -67,11 +68,20 @@ def quoted(name: str) -> str:
 
 
 def _java(pattern: str) -> str:
-    # (?iU) keeps \b and \s Unicode-aware. The look-ahead lets the engine reject
-    # a position by its first letter before it tests the dear word boundary.
-    first = re.match(r"\\b(?:\((\w)\w*\|(\w)\w*\)|(\w))", pattern)
-    ahead = "(?=[" + "".join(x for x in first.groups() if x) + "])" if first else ""
-    return "(?iU)" + ahead + pattern
+    r"""The pattern for Java, with the Unicode meaning of ``\s``, ``\d`` and ``\b`` spelled out.
+
+    A word holds letters, numbers and underscores; combining marks end it. Each
+    ``\b`` here stands before a first letter or after a last one. The look-ahead
+    rejects a position by its first letter before the boundary is tested.
+    """
+    java = pattern.replace(r"\s", SPACE_CLASS).replace(r"\d", r"\p{Nd}")
+    first = re.match(r"\\b(?:\((\w)\w*\|(\w)\w*\)|(\w))", java)
+    if first:
+        letters = "".join(x for x in first.groups() if x)
+        java = f"(?=[{letters}])(?<!{WORD_CLASS})" + java.removeprefix(r"\b")
+    if java.endswith(r"\b"):
+        java = java.removesuffix(r"\b") + f"(?!{WORD_CLASS})"
+    return "(?iu)" + java
 
 
 def _rewrite(held: str, pattern: str, hint: str | None) -> str:

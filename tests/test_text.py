@@ -1,5 +1,6 @@
 import random
 import re
+import unicodedata
 
 import pytest
 from conftest import column
@@ -62,7 +63,7 @@ def test_cleaning_matches_the_rules_on_mixed_fragments(spark):
         "asked the Minister for Health", "asked the Minister of State at Culture", ",", ". ", "Deputy Ann O'Neill asked",
         "the Taoiseach", "Tánaiste", "if he will make a statement on the matter", "and", "if", "so", "not",
         "and if she will make a statement", "to outline", "to provide  details", "in relation\nto", "the", "7.",
-        "cost of details", "estate", "Beta-2", "x_y", "—", " ", "whether she will make a statement on the matter",
+        "\u0301", "\x1c", "é", "_", "\u2003", "cost of details", "estate", "Beta-2", "x_y", "—", " ", "whether she will make a statement on the matter",
     ]
     rng = random.Random(5)
     texts = [rng.choice(["", " "]).join(rng.choices(pieces, k=rng.randint(1, 12))) for _ in range(400)]
