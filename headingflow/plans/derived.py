@@ -113,18 +113,18 @@ def canon_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     show = lambda text: f"named_struct('showAs', {text})"
     sections = f"'debateSection', {show('heading')}, 'to', {show('department')}"
-    flat = "to_json(named_struct('question', question, 'heading', {}, 'department', department, 'date', {}))"
+    flat = "to_json(named_struct('question', {}, 'heading', {}, 'department', department, 'date', {}))"
     nested = f"named_struct('question', named_struct('showAs', question, 'date', string(date), {sections}))"
     rooted = f"named_struct('showAs', question, {sections}, 'contextDate', string(date) || 'T09:30:00.000Z')"
     item = f"""case pq_id % 3 when 0 then to_json({nested})
-      when 1 then {flat.format("heading", "date_format(date, 'dd/MM/yyyy')")} else to_json({rooted}) end"""
-    blank_heading = flat.format("'  '", "string(date)")
-    bad_date = flat.format("heading", "'not-a-date'")
+      when 1 then {flat.format("question", "heading", "date_format(date, 'dd/MM/yyyy')")} else to_json({rooted}) end"""
+    blank_heading = flat.format("'dropped'", "'  '", "string(date)")
+    bad_date = flat.format("'dropped'", "heading", "'not-a-date'")
     items = f"""concat('[', concat_ws(',', {blank_heading}, {item}, '17,"text",null', {bad_date}), ']')"""
     envelopes = ['{"items":', *[f'{{"items":"none","{k}":' for k in ("results", "data", "pqs", "questions")]]
     opened = " ".join(f"when {i} then '{text}'" for i, text in enumerate(envelopes))
     turn = "(pq_id div 3) % 6"
-    return questions(spark, sf_dir).selectExpr(
+    return spread_questions(spark, sf_dir).selectExpr(
         f"concat(case {turn} {opened} else '' end, {items}, if({turn} = 5, '', '}}')) as value"
     )
 
