@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from headingflow.functions.candidates import OTHER
 from headingflow.functions.text import DEPARTMENT_INPUT, clean_question
-from headingflow.operators.guards import require_columns, with_default
+from headingflow.operators.guards import require_columns
 from headingflow.operators.labels import (
     MIN_HEADING_COUNT,
     collapse_rare,
@@ -31,12 +31,15 @@ def prepare_training(
     Counts, labels and the cuts of the split read the narrow columns only; the
     texts are read, cleaned and written once, in the last step.
     """
-    require_columns(corpus, (id_column, "question", "department", "heading"))
+    text = "question_clean" if "question_clean" in corpus.columns else "question"
+    require_columns(corpus, (id_column, text, "department", "heading"))
     counts = heading_counts(corpus)
     labels = dictionary(
         collapse_rare(counts, min_count=min_count, counts=counts), "heading_collapsed", "label_id"
     )
-    texts = with_default(corpus, "question_clean", clean_question("question"))
+    texts = corpus
+    if text == "question":
+        texts = corpus.withColumn("question_clean", clean_question(text))
     whole = texts.select(
         id_column, "question_clean", F.coalesce("department", F.lit("")).alias("department"), "heading"
     )

@@ -4,6 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from headingflow.functions.text import clean_question
 from headingflow.operators.canon import extract_questions
 from headingflow.operators.metrics import daily_metrics, validation_metrics
 from headingflow.operators.model import HeadingModel, logistic, naive_bayes, sweep, train
@@ -61,6 +62,15 @@ def test_prepared_training_table(prepared):
     assert training.filter("heading_collapsed = 'Other'").count() == 4
 
 
+def test_a_cleaned_corpus_needs_no_raw_text(corpus, prepared):
+    cleaned = corpus.select("id", clean_question("question").alias("question_clean"), "department", "heading")
+    names = ["id", "question_clean", "department", "label_id", "split"]
+    again = prepare_training(cleaned, "id")[0].select(*names)
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, prepared[0].select(*names).collect()))
+    with pytest.raises(ValueError, match="question"):
+        prepare_training(cleaned.drop("question_clean"), "id")
+
+
 def test_model_beats_the_largest_class(prepared, model):
     training, _ = prepared
     val = training.filter("split = 'val'")

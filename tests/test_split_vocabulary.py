@@ -58,7 +58,7 @@ def test_split_by_day(spark):
     assert Counter(column(split_by_day(asked, "id", 7), "split")) == {"train": 7, "val": 3}
 
 
-def keras_words(text):
+def plain_words(text):
     return [w for w in re.sub(r"[!\"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~\t\n]", " ", (text or "").lower()).split(" ") if w]
 
 
@@ -73,14 +73,14 @@ def texts():
 @pytest.mark.parametrize("num_words", [2, 3, 50, 20000])
 def test_vocabulary_and_sequences(spark, texts, num_words):
     asked = spark.createDataFrame(texts, "id long, t string").repartition(3)
-    counts = Counter(w for _, t in texts for w in keras_words(t))
+    counts = Counter(w for _, t in texts for w in plain_words(t))
     ranked = sorted(counts.items(), key=lambda c: (-c[1], c[0].encode()))
     ids = {w: i for i, (w, _) in enumerate(ranked, start=2) if i < num_words}
     made = vocabulary(asked, "t", num_words)
     assert {r["word"]: (r["word_id"], r["n"]) for r in made.collect()} == {w: (i, counts[w]) for w, i in ids.items()}
     length = 30
     for row in encode_sequences(asked, made, "t", length=length).collect():
-        expected = [ids.get(w, 1) for w in keras_words(row["t"])][:length]
+        expected = [ids.get(w, 1) for w in plain_words(row["t"])][:length]
         assert row["word_ids"] == expected + [0] * (length - len(expected))
 
 
