@@ -9,6 +9,8 @@ from headingflow.operators import labels
 from headingflow.operators.concentration import coverage_thresholds, heading_distribution
 from headingflow.operators.guards import require_known, unseen_values
 from headingflow.operators.numbering import number_rows
+from headingflow.operators.split import split_rows
+from headingflow.sources.shared import materialise
 
 
 @pytest.fixture(scope="module")
@@ -125,3 +127,31 @@ def test_too_many_classes_are_refused(spark, monkeypatch):
     assert labels.decode_candidates(rows, "r", three.filter("label_id < 2")).first()["candidates"][0]["heading"] == "a"
     with pytest.raises(Exception, match="collapse the rare ones"):
         labels.decode_candidates(rows, "r", three).collect()
+
+
+def test_lookups_beyond_the_broadcast_size_shuffle_and_agree(spark, asked):
+    known = labels.dictionary(asked, "heading", "label_id")
+
+    def results():
+        coded = labels.encode(labels.collapse_rare(asked), known, "heading", "label_id")
+        split = split_rows(coded, "id")
+        return split.select("id", "heading_collapsed", "label_id", "split")
+
+    small = sorted(map(tuple, results().collect()))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        large = results()
+        plan = large._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+        assert sorted(map(tuple, large.collect())) == small
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_lookups_of_known_size_do_not_shuffle_the_rows(spark, asked):
+    rows = materialise(asked, "asked")
+    known = labels.dictionary(rows, "heading", "label_id")
+    coded = labels.encode(labels.collapse_rare(rows), known, "heading", "label_id")
+    plan = coded._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and plan.count("BroadcastHashJoin") == 2

@@ -99,6 +99,20 @@ def test_daily_metrics(predictions, rows, ks):
         same(got, expected_day([r for r in rows if r[1] == day], sorted(ks), thresholds))
 
 
+def test_one_aggregation_whatever_the_ks_and_thresholds(predictions):
+    table = metrics.daily_metrics(predictions, ks=(1, 2, 3, 4, 10), thresholds=metrics.THRESHOLDS)
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+@pytest.mark.parametrize("parts", [1, 4, 17])
+def test_metrics_do_not_depend_on_partitions(predictions, parts):
+    counts = ["date", "n", "n_top1", "n_top4_only", "n_top10_only", "n_outside_top10", "auto_error_rate_t050"]
+    whole = metrics.daily_metrics(predictions).select(*counts)
+    again = metrics.daily_metrics(predictions.repartition(parts)).select(*counts)
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, whole.collect()))
+
+
 def test_no_automatic_rows_give_null_rates(predictions):
     table = metrics.daily_metrics(predictions, thresholds=(2.0,)).collect()
     assert all(r["auto_error_rate_t200"] is None and r["auto_top4_rescue_t200"] is None for r in table)
