@@ -7,6 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from headingflow.llm.near_duplicates import near_duplicates
 from headingflow.llm.storage import new_path
 from headingflow.llm.token_counts import count_tokens
 from headingflow.llm.token_files import file_starts, read_ids, write_ids
@@ -26,6 +27,10 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > 1024)
 
 
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def token_digests(docs: DataFrame) -> DataFrame:
     """``doc_id, start, n_tokens, ids_crc32`` from files written for the documents."""
     spark = docs.sparkSession
@@ -46,6 +51,7 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op5_token_counts": op5_token_counts,
+    "op6_near_duplicates": op6_near_duplicates,
     "op9_token_files": op9_token_files,
 }
 ORACLE: dict[str, str] = {}
