@@ -4,57 +4,130 @@ A text may be cut before a single space that stands between two characters that
 are no white space. The pre-tokenizers accepted here end a token before such a
 space and look at no character before it, so the tokens of the text are those
 of its pieces, one after the other. Most pieces recur, and each worker encodes
-a piece it knows by one look-up.
+a piece it knows by one look-up. Of a new piece of Latin letters it looks up
+the words, and only new words go to the library's model.
 """
 
 import json
 import os
 import re
+import sys
+import unicodedata
+from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 # Patterns that keep a space only in front of what follows it, or drop it.
-SPACE_FIRST = (
-    r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+",
-    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+",
-)
+DROPS_SPACE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+KEEPS_SPACE = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 CUT = re.compile(r"(?<=\S) (?=\S)")
-#: Pieces that a worker remembers; it forgets all of them beyond that.
-KNOWN_PIECES = 300_000
+#: Pieces, and words, that a worker remembers; twice as many with those it is about to forget.
+KNOWN_PIECES = 250_000
 #: Longer pieces are encoded each time, so that their number bounds the memory.
 LONGEST_KNOWN = 200
+#: Characters of texts that are split at once.
+RUN = 1 << 19
+#: Below this character the rules are applied here, after a test against the library.
+LATIN = 0x180
 
 
-def cuts_are_stable(spec: dict) -> bool:
-    """Whether the tokenizer's rules prove that tokens end at every cut."""
+def _flat(part: dict | None, inner: str) -> list[dict]:
+    if not part:
+        return []
+    return [y for x in part[inner] for y in _flat(x, inner)] if part["type"] == "Sequence" else [part]
 
-    def flat(part: dict | None, inner: str) -> list[dict]:
-        if not part:
-            return []
-        return [y for x in part[inner] for y in flat(x, inner)] if part["type"] == "Sequence" else [part]
+
+def split_pattern(spec: dict) -> str | None:
+    """The pattern by which the tokenizer splits, if its rules prove that tokens end at every cut."""
 
     def normal(part: dict) -> bool:
         if part["type"] == "Replace":
             return part["pattern"] == {"Regex": r"\s+"} and part["content"] == " "
         return part["type"] in ("NFC", "NFD", "Lowercase")
 
-    splits = flat(spec.get("pre_tokenizer"), "pretokenizers")
+    splits = _flat(spec.get("pre_tokenizer"), "pretokenizers")
     first = splits[0] if splits else {"type": None}
-    by_pattern = first["type"] == "Split" and first["pattern"].get("Regex") in SPACE_FIRST
-    by_bytes = first["type"] == "ByteLevel" and first["use_regex"] and not first["add_prefix_space"]
-    return (
-        all(normal(p) for p in flat(spec.get("normalizer"), "normalizers"))
-        and (by_pattern or by_bytes)
-        and all(p["type"] == "ByteLevel" and not p["add_prefix_space"] for p in splits[1:])
-        and all(
-            not (t["lstrip"] or t["rstrip"] or t["single_word"] or re.search(r"\s", t["content"]))
-            for t in spec.get("added_tokens", [])
-        )
+    pattern = None
+    if first["type"] == "Split" and first["behavior"] == "Removed" and first["invert"]:
+        pattern = first["pattern"].get("Regex")
+    elif first["type"] == "ByteLevel" and first["use_regex"] and not first["add_prefix_space"]:
+        pattern = KEEPS_SPACE
+    rest = all(p["type"] == "ByteLevel" and not (p["add_prefix_space"] or p["use_regex"]) for p in splits[1:])
+    plain = all(
+        not (t["lstrip"] or t["rstrip"] or t["single_word"] or re.search(r"\s", t["content"]))
+        for t in spec.get("added_tokens", [])
     )
+    proven = rest and plain and all(normal(p) for p in _flat(spec.get("normalizer"), "normalizers"))
+    return pattern if proven and pattern in (DROPS_SPACE, KEEPS_SPACE) else None
+
+
+class LatinWords:
+    """Words of a piece as the library splits it, for texts of characters below ``LATIN``.
+
+    ``trusted`` is False if a test of each of these characters, in several
+    places, differs from the library; then nothing is split here.
+    """
+
+    def __init__(self, tokenizer, spec: dict, pattern: str):
+        letters, digits, white = ("".join(re.escape(c) for c in map(chr, range(LATIN)) if f(c)) for f in (
+            lambda c: unicodedata.category(c)[0] == "L",
+            lambda c: unicodedata.category(c)[0] == "N",
+            lambda c: c.isspace() and not "\x1c" <= c <= "\x1f",
+        ))
+        own = pattern.replace(r"[^\s\p{L}\p{N}]", f"[^{white}{letters}{digits}]").replace(r"[\p{L}]", f"[{letters}]")
+        own = own.replace(r"[\p{N}]", f"[{digits}]").replace(r"\p{L}", f"[{letters}]").replace(r"\p{N}", f"[{digits}]")
+        own = own.replace(r"\S", f"[^{white}]").replace(r"\s", f"[{white}]")
+        self.find = re.compile(own).findall
+        self.lower = any(p["type"] == "Lowercase" for p in _flat(spec.get("normalizer"), "normalizers"))
+        self.special = re.compile("|".join(re.escape(t["content"]) for t in spec.get("added_tokens", [])) or r"(?!)")
+        # Bytes that print stand for themselves, the others for the next free characters.
+        shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+        hidden = [b for b in range(256) if b not in shown]
+        self.shown = {b: 256 + i for i, b in enumerate(hidden)}
+        self.trusted = all(
+            self.split(x) == self._library(tokenizer, x)
+            for c in map(chr, range(LATIN))
+            for x in (f" a{c}", f" {c}b{c}{c}1", f" 1{c}!{c}", f"{c}", f" x'{c}", f"a{c} ")
+        )
+
+    @staticmethod
+    def _library(tokenizer, text: str) -> list[str]:
+        text = tokenizer.normalizer.normalize_str(text) if tokenizer.normalizer else text
+        return [word for word, _ in tokenizer.pre_tokenizer.pre_tokenize_str(text)]
+
+    def split(self, piece: str) -> list[str]:
+        words = self.find(piece.lower() if self.lower else piece)
+        return [w.encode().decode("latin-1").translate(self.shown) for w in words]
+
+    def takes(self, piece: str) -> bool:
+        return (piece.isascii() or max(piece) < chr(LATIN)) and not self.special.search(piece)
+
+
+class Recent(dict):
+    """A dictionary that forgets what was not asked for since it was last full."""
+
+    def __init__(self, limit: int):
+        super().__init__()
+        self.limit, self.before = limit, {}
+
+    def turn(self) -> None:
+        """Start anew if full; call it where no entry is held by another look-up."""
+        if len(self) > self.limit:
+            self.before = dict(self)
+            self.clear()
+
+    def missing(self, keys: set) -> list:
+        """The keys that are not known; those known from before are kept on."""
+        new = [k for k in keys if k not in self]
+        if self.before:
+            before = self.before
+            self.update({k: before[k] for k in new if k in before})
+            new = [k for k in new if k not in before]
+        return new
 
 
 class PieceEncoder:
-    """``value(ids)`` of every piece of a text; ``value`` must be additive over pieces.
+    """``value(ids)`` of every piece of a text; ``add`` joins the values of the words of a piece.
 
     ``known`` holds pieces without their leading space. A piece enters it only if
     it neither begins nor ends with white space, so each of its occurrences
@@ -62,30 +135,44 @@ class PieceEncoder:
     runs of white space are cut by the pattern, and keep their pieces in ``odd``.
     """
 
-    def __init__(self, spec: str, value: Callable, limit: int = KNOWN_PIECES):
+    def __init__(self, spec: str, value: Callable, add: Callable, limit: int = KNOWN_PIECES):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        if not cuts_are_stable(json.loads(spec)):
+        rules = json.loads(spec)
+        pattern = split_pattern(rules)
+        if pattern is None:
             raise ValueError("the rules of this tokenizer do not prove that texts can be cut at spaces")
         self.tokenizer = Tokenizer.from_str(spec)
-        self.value = value
-        self.limit = limit
-        self.known: dict = {}
-        self.odd: dict = {}
+        self.latin = LatinWords(self.tokenizer, rules, pattern)
+        self.model = Tokenizer.from_str(
+            json.dumps(rules | {"normalizer": None, "pre_tokenizer": None, "post_processor": None, "added_tokens": []})
+        )
+        self.value, self.add = value, add
+        self.known, self.words, self.odd = Recent(limit), Recent(limit), Recent(limit // 10)
 
     def _encode(self, pieces: list[str]) -> list:
-        made = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-        return [self.value(x.ids) for x in made]
+        """The values of pieces, their leading spaces included."""
+        latin = self.latin
+        split = [latin.split(p) if latin.trusted and latin.takes(p) else None for p in pieces]
+        words = self.words
+        words.turn()
+        new = words.missing({w for s in split if s for w in s})
+        made = self.model.encode_batch_fast(new, add_special_tokens=False)
+        words.update(zip(new, [self.value(x.ids) for x in made], strict=True))
+        whole = self.tokenizer.encode_batch_fast(
+            [p for p, s in zip(pieces, split, strict=True) if s is None], add_special_tokens=False
+        )
+        rest = iter(whole)
+        return [self.value(next(rest).ids) if s is None else self.add(map(words.__getitem__, s)) for s in split]
 
     def learn(self, parts: set[str]) -> None:
         """Remember the pieces among ``parts``, texts between single spaces."""
-        if len(self.known) > self.limit:
-            self.known.clear()
+        self.known.turn()
         new = [
             p
-            for p in parts
-            if p not in self.known and 0 < len(p) <= LONGEST_KNOWN and not (p[0].isspace() or p[-1].isspace())
+            for p in self.known.missing(parts)
+            if 0 < len(p) <= LONGEST_KNOWN and not (p[0].isspace() or p[-1].isspace())
         ]
         self.known.update(zip(new, self._encode([f" {p}" for p in new]), strict=True))
 
@@ -94,41 +181,52 @@ class PieceEncoder:
         found = self.odd.get(piece)
         if found is None:
             found = self._encode([piece])[0]
-            if len(self.odd) > self.limit:
-                self.odd.clear()
+            self.odd.turn()
             if len(piece) <= LONGEST_KNOWN:
                 self.odd[piece] = found
         return found
 
-    def values(self, texts: list[str]) -> Iterator[list]:
-        """The values of the pieces of each text, in order."""
-        split = [t.split(" ") for t in texts]
-        self.learn(set().union(*(p[1:] for p in split)) if split else set())
-        for text, parts in zip(texts, split, strict=True):
-            head = parts[0]
-            try:
-                if len(parts) > 1 and (not head or head[-1].isspace()):
-                    raise KeyError(head)
-                found = list(map(self.known.__getitem__, parts[1:]))
-                found.insert(0, self.exact(head))
-            except KeyError:
-                cut = CUT.split(text)
-                found = [self.exact(p) for p in [cut[0], *(f" {p}" for p in cut[1:])]]
-            yield found
+    def values(self, texts: list[str]) -> Iterator:
+        """The value of each text."""
+        at = 0
+        while at < len(texts):
+            end, size = at, 0
+            while end < len(texts) and (end == at or size < RUN):
+                size += len(texts[end])
+                end += 1
+            split = [t.split(" ") for t in texts[at:end]]
+            self.learn({p for parts in split for p in parts[1:]})
+            for text, parts in zip(texts[at:end], split, strict=True):
+                head = parts[0]
+                try:
+                    if len(parts) > 1 and (not head or head[-1].isspace()):
+                        raise KeyError(head)
+                    parts[0] = ""
+                    yield self.add([self.exact(head), *map(self.known.__getitem__, parts[1:])])
+                except KeyError:
+                    cut = CUT.split(text)
+                    yield self.add([self.exact(p) for p in [cut[0], *(f" {p}" for p in cut[1:])]])
+            at = end
 
 
 @lru_cache(maxsize=2)
 def counter(spec: str) -> PieceEncoder:
     """This worker's encoder that counts tokens."""
-    return PieceEncoder(spec, len)
+    return PieceEncoder(spec, len, sum)
 
 
 @lru_cache(maxsize=2)
 def id_writer(spec: str, kind: str) -> PieceEncoder:
-    """This worker's encoder that gives ids as bytes of the numpy type ``kind``."""
-    import numpy as np
+    """This worker's encoder that gives ids as little-endian bytes, ``<u2`` or ``<u4``."""
+    code = {"<u2": "H", "<u4": "I"}[kind]
+
+    def packed(ids: list[int]) -> bytes:
+        made = array(code, ids)
+        if sys.byteorder == "big":
+            made.byteswap()
+        return made.tobytes()
 
-    return PieceEncoder(spec, lambda ids: np.asarray(ids, dtype=kind).tobytes())
+    return PieceEncoder(spec, packed, b"".join)
 
 
 def read_spec(path: str) -> str:

@@ -100,14 +100,14 @@ def count_tokens(
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = counter(spec.value)
-        splicer = Splicer(lambda piece: sum(next(encoder.values([piece]))), overlap)
+        splicer = Splicer(lambda piece: next(encoder.values([piece])), overlap)
         for batch in batches:
             chunks, n, k = (batch.column(c).to_pylist() for c in ("_chunk", "_n", "_k"))
             whole = encoder.values([c for c, parts in zip(chunks, n, strict=True) if parts == 1])
             totals = []
             for piece, parts, at in zip(chunks, n, k, strict=True):
                 if parts == 1:
-                    totals.append(sum(next(whole)))
+                    totals.append(next(whole))
                     continue
                 splicer.add(piece)
                 totals.append(splicer.finish() if at == parts - 1 else None)

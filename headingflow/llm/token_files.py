@@ -70,9 +70,8 @@ def encode_documents(df: DataFrame, spec: str, kind: str, id_column: str, text_c
             size = 0
             keys, rows = batch.column("_id").to_pylist(), batch.column("_row").to_pylist()
             found = encoder.values(batch.column("_text").to_pylist())
-            for key, row, parts in zip(keys, rows, found, strict=True):
-                parts.append(end)
-                whole = b"".join(parts)
+            for key, row, codes in zip(keys, rows, found, strict=True):
+                whole = codes + end
                 n = -(-len(whole) // (width * BLOCK))
                 for k in range(n):
                     out.append((key, row, k, k == n - 1, whole[width * BLOCK * k : width * BLOCK * (k + 1)]))
