@@ -11,6 +11,7 @@ from headingflow.llm.near_duplicates import near_duplicates
 from headingflow.llm.storage import new_path
 from headingflow.llm.token_counts import count_tokens
 from headingflow.llm.token_files import file_starts, read_ids, write_ids
+from headingflow.llm.warc import read_warc, write_warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,9 +50,23 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(table(spark, sf_dir, "documents"))
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "archives")
+    write_warc(table(spark, sf_dir, "pages"), path)
+    found = read_warc(spark, path)
+    return found.select(
+        F.col("record_id").cast("long").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to").cast("long").alias("refers_to"),
+    )
+
+
 QUERIES = {
     "op5_token_counts": op5_token_counts,
     "op6_near_duplicates": op6_near_duplicates,
     "op9_token_files": op9_token_files,
+    "op10_warc": op10_warc,
 }
 ORACLE: dict[str, str] = {}
