@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headingflow.llm.near_duplicates import near_duplicates
+from headingflow.llm.sharding import assign_shards
 from headingflow.llm.storage import new_path
 from headingflow.llm.token_counts import count_tokens
 from headingflow.llm.token_files import file_starts, read_ids, write_ids
@@ -32,6 +33,10 @@ def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return assign_shards(table(spark, sf_dir, "documents"))
+
+
 def token_digests(docs: DataFrame) -> DataFrame:
     """``doc_id, start, n_tokens, ids_crc32`` from files written for the documents."""
     spark = docs.sparkSession
@@ -66,6 +71,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op5_token_counts": op5_token_counts,
     "op6_near_duplicates": op6_near_duplicates,
+    "op8_shards": op8_shards,
     "op9_token_files": op9_token_files,
     "op10_warc": op10_warc,
 }
