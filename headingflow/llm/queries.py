@@ -13,6 +13,7 @@ from headingflow.llm.storage import new_path
 from headingflow.llm.token_counts import count_tokens
 from headingflow.llm.token_files import file_starts, read_ids, write_ids
 from headingflow.llm.warc import read_warc, write_warc
+from headingflow.llm.weak_rules import judge_quality
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +25,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_quality(table(spark, sf_dir, "documents"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return counted.withColumn("over_limit", F.col("n_tokens") > 1024)
@@ -69,6 +74,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_quality_rules": op2_quality_rules,
     "op5_token_counts": op5_token_counts,
     "op6_near_duplicates": op6_near_duplicates,
     "op8_shards": op8_shards,
