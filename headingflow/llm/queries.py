@@ -7,11 +7,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from headingflow.llm.decontamination import find_passages
 from headingflow.llm.near_duplicates import near_duplicates
 from headingflow.llm.sharding import assign_shards
 from headingflow.llm.storage import new_path
 from headingflow.llm.token_counts import count_tokens
 from headingflow.llm.token_files import file_starts, read_ids, write_ids
+from headingflow.llm.toxicity import THRESHOLD, learn_lexicon, score_toxicity
 from headingflow.llm.warc import read_warc, write_warc
 from headingflow.llm.weak_rules import judge_quality
 
@@ -29,6 +31,19 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(table(spark, sf_dir, "documents"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    fold = F.crc32(F.col("doc_id").cast("string")) % 4
+    labels = table(spark, sf_dir, "labels").filter(fold != 2)
+    lexicon = learn_lexicon(docs, labels)
+    return score_toxicity(docs, lexicon).select(
+        "doc_id",
+        F.coalesce(fold == 2, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return counted.withColumn("over_limit", F.col("n_tokens") > 1024)
@@ -38,6 +53,10 @@ def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_shards(table(spark, sf_dir, "documents"))
 
@@ -75,8 +94,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_quality_rules": op2_quality_rules,
+    "op3_toxicity": op3_toxicity,
     "op5_token_counts": op5_token_counts,
     "op6_near_duplicates": op6_near_duplicates,
+    "op7_decontamination": op7_decontamination,
     "op8_shards": op8_shards,
     "op9_token_files": op9_token_files,
     "op10_warc": op10_warc,
