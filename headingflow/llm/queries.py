@@ -7,8 +7,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from headingflow.llm.co_training import THRESHOLD as QUALITY_THRESHOLD
+from headingflow.llm.co_training import fit_quality, score_quality
 from headingflow.llm.decontamination import find_passages
+from headingflow.llm.mixing import SEED, mix, word_tokens
 from headingflow.llm.near_duplicates import near_duplicates
+from headingflow.llm.oracle import mixing_sql
 from headingflow.llm.sharding import assign_shards
 from headingflow.llm.storage import new_path
 from headingflow.llm.token_counts import count_tokens
@@ -27,6 +31,42 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Target weights of the tree's nodes among their siblings; all others weigh 1.
+MIX_WEIGHTS = [
+    ("domain", "forum", 5), ("domain", "news", 3), ("domain", "wiki", 2),
+    ("lang", "en", 6), ("lang", "de", 2), ("lang", "es", 2),
+]
+#: The tables have no domain: one of three by the number in the source's name.
+DOMAIN = "{} % 3 = 0 THEN 'forum' WHEN {} % 3 = 1 THEN 'news' ELSE 'wiki' END"
+
+
+def domain_sql(cast: str) -> str:
+    number = f"coalesce({cast}(regexp_extract(source, '([0-9]+)$', 1) AS BIGINT), 0)"
+    return f"CASE WHEN {DOMAIN.format(number, number)}"
+
+
+def mixed(docs: DataFrame) -> DataFrame:
+    """The documents with ``domain, n_tokens, copies``."""
+    weights = docs.sparkSession.createDataFrame(MIX_WEIGHTS, "level string, name string, weight int")
+    counted = docs.withColumns(
+        {"domain": F.expr(domain_sql("try_cast")), "n_tokens": word_tokens(F.col("text").cast("string"))}
+    )
+    return mix(counted, weights)
+
+
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = score_quality(docs, fit_quality(docs, table(spark, sf_dir, "labels")))
+    q = F.col("quality")
+    return scored.select(
+        "doc_id",
+        q["by_text"].alias("by_text"),
+        q["by_page"].alias("by_page"),
+        q["probability"].alias("score"),
+        (q["probability"] >= QUALITY_THRESHOLD).alias("kept"),
+    )
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(table(spark, sf_dir, "documents"))
 
@@ -44,6 +84,12 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chosen = mixed(table(spark, sf_dir, "documents"))
+    names = [F.coalesce(c, F.lit("")).alias(c) for c in ("domain", "lang", "source")]
+    return chosen.select("doc_id", *names, "n_tokens", "copies")
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return counted.withColumn("over_limit", F.col("n_tokens") > 1024)
@@ -93,8 +139,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality_classifier": op1_quality_classifier,
     "op2_quality_rules": op2_quality_rules,
     "op3_toxicity": op3_toxicity,
+    "op4_mixing": op4_mixing,
     "op5_token_counts": op5_token_counts,
     "op6_near_duplicates": op6_near_duplicates,
     "op7_decontamination": op7_decontamination,
@@ -102,4 +150,6 @@ QUERIES = {
     "op9_token_files": op9_token_files,
     "op10_warc": op10_warc,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op4_mixing": mixing_sql("SELECT * FROM documents", MIX_WEIGHTS, domain_sql("TRY_CAST"), SEED),
+}
