@@ -4,8 +4,9 @@ A text may be cut before a single space that stands between two characters that
 are no white space. The pre-tokenizers accepted here end a token before such a
 space and look at no character before it, so the tokens of the text are those
 of its pieces, one after the other. Most pieces recur, and each worker encodes
-a piece it knows by one look-up. Of a new piece of Latin letters it looks up
-the words, and only new words go to the library's model.
+a piece it knows by one look-up. Texts of Latin letters, whose rules are tested
+against the library when a worker starts, are split into their words, which
+recur more often still.
 """
 
 import json
@@ -14,7 +15,7 @@ import re
 import sys
 import unicodedata
 from array import array
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 # Patterns that keep a space only in front of what follows it, or drop it.
@@ -22,13 +23,11 @@ DROPS_SPACE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 KEEPS_SPACE = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 CUT = re.compile(r"(?<=\S) (?=\S)")
 #: Pieces, and words, that a worker remembers; twice as many with those it is about to forget.
-KNOWN_PIECES = 250_000
+KNOWN_PIECES = 350_000
 #: Longer pieces are encoded each time, so that their number bounds the memory.
 LONGEST_KNOWN = 200
 #: Characters of texts that are split at once.
-RUN = 1 << 19
-#: Below this character the rules are applied here, after a test against the library.
-LATIN = 0x180
+RUN = 1 << 20
 
 
 def _flat(part: dict | None, inner: str) -> list[dict]:
@@ -62,31 +61,30 @@ def split_pattern(spec: dict) -> str | None:
 
 
 class LatinWords:
-    """Words of a piece as the library splits it, for texts of characters below ``LATIN``.
+    """Words of a text as the library splits it, for texts of Latin-1 characters without special tokens.
 
     ``trusted`` is False if a test of each of these characters, in several
     places, differs from the library; then nothing is split here.
     """
 
     def __init__(self, tokenizer, spec: dict, pattern: str):
-        letters, digits, white = ("".join(re.escape(c) for c in map(chr, range(LATIN)) if f(c)) for f in (
-            lambda c: unicodedata.category(c)[0] == "L",
-            lambda c: unicodedata.category(c)[0] == "N",
-            lambda c: c.isspace() and not "\x1c" <= c <= "\x1f",
-        ))
+        latin = list(map(chr, range(256)))
+        letters = "".join(re.escape(c) for c in latin if unicodedata.category(c)[0] == "L")
+        digits = "".join(re.escape(c) for c in latin if unicodedata.category(c)[0] == "N")
+        white = "".join(re.escape(c) for c in latin if c.isspace() and not "\x1c" <= c <= "\x1f")
         own = pattern.replace(r"[^\s\p{L}\p{N}]", f"[^{white}{letters}{digits}]").replace(r"[\p{L}]", f"[{letters}]")
         own = own.replace(r"[\p{N}]", f"[{digits}]").replace(r"\p{L}", f"[{letters}]").replace(r"\p{N}", f"[{digits}]")
         own = own.replace(r"\S", f"[^{white}]").replace(r"\s", f"[{white}]")
         self.find = re.compile(own).findall
         self.lower = any(p["type"] == "Lowercase" for p in _flat(spec.get("normalizer"), "normalizers"))
-        self.special = re.compile("|".join(re.escape(t["content"]) for t in spec.get("added_tokens", [])) or r"(?!)")
+        self.special = [t["content"] for t in spec.get("added_tokens", [])]
         # Bytes that print stand for themselves, the others for the next free characters.
         shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
         hidden = [b for b in range(256) if b not in shown]
         self.shown = {b: 256 + i for i, b in enumerate(hidden)}
         self.trusted = all(
-            self.split(x) == self._library(tokenizer, x)
-            for c in map(chr, range(LATIN))
+            [self.mapped(w) for w in self.words(x)] == self._library(tokenizer, x)
+            for c in latin
             for x in (f" a{c}", f" {c}b{c}{c}1", f" 1{c}!{c}", f"{c}", f" x'{c}", f"a{c} ")
         )
 
@@ -95,44 +93,53 @@ class LatinWords:
         text = tokenizer.normalizer.normalize_str(text) if tokenizer.normalizer else text
         return [word for word, _ in tokenizer.pre_tokenizer.pre_tokenize_str(text)]
 
-    def split(self, piece: str) -> list[str]:
-        words = self.find(piece.lower() if self.lower else piece)
-        return [w.encode().decode("latin-1").translate(self.shown) for w in words]
+    def words(self, text: str) -> list[str]:
+        return self.find(text.lower() if self.lower else text)
 
-    def takes(self, piece: str) -> bool:
-        return (piece.isascii() or max(piece) < chr(LATIN)) and not self.special.search(piece)
+    def mapped(self, word: str) -> str:
+        """Bytes as the characters that stand for them in the vocabulary."""
+        return word.encode().decode("latin-1").translate(self.shown)
 
+    def takes(self, text: str) -> bool:
+        if not text.isascii():
+            try:
+                text.encode("latin-1")
+            except UnicodeEncodeError:
+                return False
+        return self.trusted and not any(x in text for x in self.special)
 
-class Recent(dict):
-    """A dictionary that forgets what was not asked for since it was last full."""
+
+class Recent:
+    """Values by key; forgets those not asked for since it was last full."""
 
     def __init__(self, limit: int):
-        super().__init__()
-        self.limit, self.before = limit, {}
-
-    def turn(self) -> None:
-        """Start anew if full; call it where no entry is held by another look-up."""
-        if len(self) > self.limit:
-            self.before = dict(self)
-            self.clear()
-
-    def missing(self, keys: set) -> list:
-        """The keys that are not known; those known from before are kept on."""
-        new = [k for k in keys if k not in self]
-        if self.before:
+        self.limit = limit
+        self.now: dict = {}
+        self.before: dict = {}
+
+    def missing(self, keys: set) -> set:
+        """The keys that are not known; those known from before are kept on. Call it before each look-up."""
+        if len(self.now) > self.limit:
+            self.now, self.before = {}, self.now
+        new = keys.difference(self.now)
+        if self.before and new:
             before = self.before
-            self.update({k: before[k] for k in new if k in before})
-            new = [k for k in new if k not in before]
+            again = {k: before[k] for k in new if k in before}
+            self.now.update(again)
+            new.difference_update(again)
         return new
 
 
 class PieceEncoder:
-    """``value(ids)`` of every piece of a text; ``add`` joins the values of the words of a piece.
-
-    ``known`` holds pieces without their leading space. A piece enters it only if
-    it neither begins nor ends with white space, so each of its occurrences
-    between two single spaces is a piece in the sense above. Texts with other
-    runs of white space are cut by the pattern, and keep their pieces in ``odd``.
+    """``value(ids)`` of whole texts; ``add`` joins the values of their parts.
+
+    A Latin text is split into words by the tokenizer's own pattern, and only
+    words not met before go to the library's model. Any other text is cut into
+    pieces, and new pieces go to the library. ``known`` holds pieces without
+    their leading space. A piece enters it only if it neither begins nor ends
+    with white space, so each of its occurrences between two single spaces is a
+    piece in the sense above. Texts with other runs of white space are cut by
+    the pattern, and keep their pieces in ``odd``.
     """
 
     def __init__(self, spec: str, value: Callable, add: Callable, limit: int = KNOWN_PIECES):
@@ -149,64 +156,68 @@ class PieceEncoder:
             json.dumps(rules | {"normalizer": None, "pre_tokenizer": None, "post_processor": None, "added_tokens": []})
         )
         self.value, self.add = value, add
-        self.known, self.words, self.odd = Recent(limit), Recent(limit), Recent(limit // 10)
-
-    def _encode(self, pieces: list[str]) -> list:
-        """The values of pieces, their leading spaces included."""
-        latin = self.latin
-        split = [latin.split(p) if latin.trusted and latin.takes(p) else None for p in pieces]
-        words = self.words
-        words.turn()
-        new = words.missing({w for s in split if s for w in s})
-        made = self.model.encode_batch_fast(new, add_special_tokens=False)
-        words.update(zip(new, [self.value(x.ids) for x in made], strict=True))
-        whole = self.tokenizer.encode_batch_fast(
-            [p for p, s in zip(pieces, split, strict=True) if s is None], add_special_tokens=False
-        )
-        rest = iter(whole)
-        return [self.value(next(rest).ids) if s is None else self.add(map(words.__getitem__, s)) for s in split]
+        self.words, self.known, self.odd = Recent(limit), Recent(limit // 4), Recent(limit // 20)
 
-    def learn(self, parts: set[str]) -> None:
-        """Remember the pieces among ``parts``, texts between single spaces."""
-        self.known.turn()
-        new = [
-            p
-            for p in self.known.missing(parts)
-            if 0 < len(p) <= LONGEST_KNOWN and not (p[0].isspace() or p[-1].isspace())
-        ]
-        self.known.update(zip(new, self._encode([f" {p}" for p in new]), strict=True))
+    def _encode(self, tokenizer, pieces: list[str]) -> list:
+        return [self.value(x.ids) for x in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
 
     def exact(self, piece: str):
         """The value of one piece, its leading space included."""
-        found = self.odd.get(piece)
-        if found is None:
-            found = self._encode([piece])[0]
-            self.odd.turn()
-            if len(piece) <= LONGEST_KNOWN:
-                self.odd[piece] = found
+        if self.odd.missing({piece}):
+            found = self._encode(self.tokenizer, [piece])[0]
+            if len(piece) > LONGEST_KNOWN:
+                return found
+            self.odd.now[piece] = found
+        return self.odd.now[piece]
+
+    def values(self, texts: Iterable[str]) -> Iterator:
+        """The value of each text, some texts at a time."""
+        held: list[str] = []
+        size = 0
+        for text in texts:
+            held.append(text)
+            size += len(text)
+            if size >= RUN:
+                yield from self._values(held)
+                held, size = [], 0
+        yield from self._values(held)
+
+    def _values(self, texts: list[str]) -> list:
+        latin = [self.latin.takes(t) for t in texts]
+        by_words = iter(self._by_words([t for t, yes in zip(texts, latin, strict=True) if yes]))
+        by_pieces = iter(self._by_pieces([t for t, yes in zip(texts, latin, strict=True) if not yes]))
+        return [next(by_words if yes else by_pieces) for yes in latin]
+
+    def _by_words(self, texts: list[str]) -> list:
+        split = [self.latin.words(t) for t in texts]
+        new = list(self.words.missing(set().union(*split)))
+        known = self.words.now
+        known.update(zip(new, self._encode(self.model, list(map(self.latin.mapped, new))), strict=True))
+        found = [self.add([known[w] for w in words]) for words in split]
+        for w in new:
+            if len(w) > LONGEST_KNOWN:
+                del known[w]
         return found
 
-    def values(self, texts: list[str]) -> Iterator:
-        """The value of each text."""
-        at = 0
-        while at < len(texts):
-            end, size = at, 0
-            while end < len(texts) and (end == at or size < RUN):
-                size += len(texts[end])
-                end += 1
-            split = [t.split(" ") for t in texts[at:end]]
-            self.learn({p for parts in split for p in parts[1:]})
-            for text, parts in zip(texts[at:end], split, strict=True):
-                head = parts[0]
-                try:
-                    if len(parts) > 1 and (not head or head[-1].isspace()):
-                        raise KeyError(head)
-                    parts[0] = ""
-                    yield self.add([self.exact(head), *map(self.known.__getitem__, parts[1:])])
-                except KeyError:
-                    cut = CUT.split(text)
-                    yield self.add([self.exact(p) for p in [cut[0], *(f" {p}" for p in cut[1:])]])
-            at = end
+    def _by_pieces(self, texts: list[str]) -> list:
+        split = [t.split(" ") for t in texts]
+        new = [
+            p
+            for p in self.known.missing(set().union(*split))
+            if 0 < len(p) <= LONGEST_KNOWN and not (p[0].isspace() or p[-1].isspace())
+        ]
+        known = self.known.now
+        known.update(zip(new, self._encode(self.tokenizer, [f" {p}" for p in new]), strict=True))
+        found = []
+        for text, parts in zip(texts, split, strict=True):
+            head = parts[0]
+            if (len(parts) == 1 or (head and not head[-1].isspace())) and all(p in known for p in parts[1:]):
+                values = [self.exact(head), *(known[p] for p in parts[1:])]
+            else:
+                cut = CUT.split(text)
+                values = [self.exact(p) for p in [cut[0], *(f" {p}" for p in cut[1:])]]
+            found.append(self.add(values))
+        return found
 
 
 @lru_cache(maxsize=2)

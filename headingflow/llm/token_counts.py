@@ -102,14 +102,14 @@ def count_tokens(
         encoder = counter(spec.value)
         splicer = Splicer(lambda piece: next(encoder.values([piece])), overlap)
         for batch in batches:
-            chunks, n, k = (batch.column(c).to_pylist() for c in ("_chunk", "_n", "_k"))
-            whole = encoder.values([c for c, parts in zip(chunks, n, strict=True) if parts == 1])
+            chunks, n, k = batch.column("_chunk"), batch.column("_n").to_pylist(), batch.column("_k").to_pylist()
+            whole = encoder.values(c.as_py() for c, parts in zip(chunks, n, strict=True) if parts == 1)
             totals = []
             for piece, parts, at in zip(chunks, n, k, strict=True):
                 if parts == 1:
                     totals.append(next(whole))
                     continue
-                splicer.add(piece)
+                splicer.add(piece.as_py())
                 totals.append(splicer.finish() if at == parts - 1 else None)
             made = pa.array(totals, pa.int64())
             kept = made.is_valid()

@@ -69,7 +69,7 @@ def encode_documents(df: DataFrame, spec: str, kind: str, id_column: str, text_c
             out: list[tuple] = []
             size = 0
             keys, rows = batch.column("_id").to_pylist(), batch.column("_row").to_pylist()
-            found = encoder.values(batch.column("_text").to_pylist())
+            found = encoder.values(x.as_py() for x in batch.column("_text"))
             for key, row, codes in zip(keys, rows, found, strict=True):
                 whole = codes + end
                 n = -(-len(whole) // (width * BLOCK))
