@@ -17,15 +17,16 @@ WIDTH = 5
 PERCENT = 85
 #: 20 bands of 5 samples miss a pair at 85 percent 8 times in a million.
 BANDS, ROWS = 20, 5
-BITS = 512
+#: Samples folded into an odd sketch, and its bits.
+SAMPLES, BITS = 384, 1536
 #: A candidate goes on to the full sets if its estimate lies above the
-#: threshold less five standard deviations of the estimate.
-SIGMAS = 5.0
+#: threshold less so many standard deviations of the estimate.
+SIGMAS = 4.5
 
 
 def _estimate_floor(percent: int, samples: int) -> float:
     share = percent / 100
-    return max(0.0, share - SIGMAS * math.sqrt(share * (1 - share) / samples) - 0.02)
+    return max(0.0, share - SIGMAS * math.sqrt(share * (1 - share) / samples))
 
 
 def most_odd_bits(percent: int, samples: int, bits: int = BITS) -> int:
@@ -133,13 +134,16 @@ def near_duplicates(
     are neither read nor returned.
     """
     spark = df.sparkSession
-    sketcher = Sketcher(bands, rows, BITS)
-    most = most_odd_bits(percent, bands * rows)
+    sketcher = Sketcher(bands, rows, SAMPLES, BITS)
+    most = most_odd_bits(percent, sketcher.n_samples)
     sketches, sketches_path = written(_sketches(df, id_column, text_column, sketcher, width), "sketches")
 
     found = sketches.filter("digest is not null and _id is not null")
     one = found.groupBy("digest").agg(
-        F.min("_id").alias("rep"), F.first("keys").alias("keys"), F.first("sketch").alias("sketch")
+        F.min("_id").alias("rep"),
+        F.first("n_shingles").alias("size"),
+        F.first("keys").alias("keys"),
+        F.first("sketch").alias("sketch"),
     )
     classes, classes_path = written(one, "classes")
     buckets = classes.select("rep", F.explode("keys").alias("key"))
@@ -151,23 +155,31 @@ def near_duplicates(
         .groupBy("key")
         .agg(F.max_by("rep", F.struct("weight", "rep")).alias("pivot"))
     )
-    sketch_of = classes.groupBy("rep").agg(F.first("sketch").alias("sketch"))
+    # All that can be compared: their sketches, and by one pass over the table their texts.
+    members = crowded.select("rep").distinct()
+    sketch_of = classes.join(members, "rep", "left_semi").groupBy("rep").agg(
+        F.first("size").alias("size"), F.first("sketch").alias("sketch")
+    )
+    sketch_of, sketch_path = written(sketch_of, "members")
+    whole = df.select(F.col(id_column).alias("_id"), F.col(text_column).cast("string").alias("_text"))
+    wanted = members.select(F.col("rep").alias("_id")).hint("shuffle_hash")
+    texts, texts_path = written(whole.join(wanted, "_id", "left_semi"), "texts")
+
+    def alike(left: str, right: str) -> Column:
+        """Whether two sketches, and two set sizes, allow a link."""
+        small, large = (f(f"{left}.size", f"{right}.size") for f in (F.least, F.greatest))
+        return (100 * small >= percent * large) & (odd_bits(left, right) <= most)
 
     def likely(pairs: DataFrame) -> DataFrame:
         x, y = sketch_of.alias("x"), sketch_of.alias("y")
         joined = pairs.join(x, F.col("a") == F.col("x.rep")).join(y, F.col("b") == F.col("y.rep"))
-        return joined.filter(odd_bits("x", "y") <= most).select("a", "b")
+        return joined.filter(alike("x", "y")).select("a", "b")
 
     starred = crowded.join(pivots, "key").filter("rep <> pivot")
     first, first_path = written(likely(starred.select(F.col("rep").alias("a"), F.col("pivot").alias("b")).distinct()), "pairs")
 
     def linked(pairs: DataFrame) -> tuple[DataFrame, str]:
-        ids = pairs.select(F.col("a").alias("_id")).unionByName(pairs.select(F.col("b").alias("_id"))).distinct()
-        texts = df.select(F.col(id_column).alias("_id"), F.col(text_column).cast("string").alias("_text"))
-        needed, needed_path = written(texts.join(ids, "_id", "left_semi"), "texts")
-        links, path = written(_confirm(pairs, needed, width, percent), "links")
-        drop(spark, needed_path)
-        return links, path
+        return written(_confirm(pairs, texts, width, percent), "links")
 
     links, links_path = linked(first)
     labels, labels_path = components(links)
@@ -184,7 +196,7 @@ def near_duplicates(
     outside, inside = open_rows.filter("label <> main").alias("x"), open_rows.alias("y")
     apart = (F.col("x.key") == F.col("y.key")) & (F.col("x.label") != F.col("y.label"))
     more = (
-        outside.join(inside, apart & (odd_bits("x", "y") <= most))
+        outside.join(inside, apart & alike("x", "y"))
         .select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b"))
         .distinct()
     )
@@ -201,6 +213,7 @@ def near_duplicates(
     )
     named_classes, _ = written(named_classes, "components")
     drop(spark, classes_path, crowded_path, first_path, links_path, labels_path, open_path, second_path)
+    drop(spark, sketch_path, texts_path)
     narrow = sketches.select("_id", "n_shingles", "digest").join(named_classes, "digest", "left")
     component = F.when(F.col("_id").isNotNull(), F.coalesce("component_id", "_id"))
     return narrow.select(

@@ -98,19 +98,20 @@ class Sketcher:
     The odd sketch is a bitmap of ``bits``: each sample, with its place, flips
     one bit. Two sketches differ in about ``bits / 2 * (1 - exp(-2 d / bits))``
     bits if the samples have ``d`` elements that are in one of them only, and
-    ``d`` is ``2 * samples * (1 - similarity)``.
+    ``d`` is ``2 * samples * (1 - similarity)``. The bands take the first samples,
+    the odd sketch all.
     """
 
-    def __init__(self, bands: int, rows: int, bits: int, seed: int = 1):
-        self.bands, self.rows, self.bits = bands, rows, bits
-        n = bands * rows
+    def __init__(self, bands: int, rows: int, samples: int, bits: int, seed: int = 1):
+        self.bands, self.rows, self.n_samples, self.bits = bands, rows, max(samples, bands * rows), bits
+        n = self.n_samples
         ladder = mixed(np.arange(1, 2 * n + 1, dtype=np.uint64) + np.uint64(seed << 32))
         self.flips, self.factors = ladder[:n], ladder[n:] | np.uint64(1)
 
     def samples(self, owner: np.ndarray, made: np.ndarray) -> np.ndarray:
         """One row of samples for each text that has a shingle, in order."""
         starts = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
-        out = np.empty((len(starts), self.bands * self.rows), dtype=np.uint64)
+        out = np.empty((len(starts), self.n_samples), dtype=np.uint64)
         buffer = np.empty_like(made)
         for i, (flip, factor) in enumerate(zip(self.flips, self.factors, strict=True)):
             np.bitwise_xor(made, flip, out=buffer)
