@@ -90,17 +90,19 @@ def _key(id_column: str, epoch: Column, seed: int) -> Column:
 def mix(
     df: DataFrame,
     weights: DataFrame,
-    levels: Sequence[str] = ("domain", "lang", "source"),
-    tokens: str = "n_tokens",
+    levels: dict[str, Column],
+    tokens: Column,
     id_column: str = "doc_id",
     share: float = 1.0,
     epochs: int = MOST_EPOCHS,
     seed: int = SEED,
+    out: str = "copies",
 ) -> DataFrame:
-    """Every row with ``copies``: how often the mix holds it, 0 if not at all.
+    """Every row with ``out``: how often the mix holds it, 0 if not at all.
 
     The mix has ``share`` times the tokens of the table, dealt over the tree of
-    ``levels``. A leaf gives its whole epochs first, then the documents of the
+    ``levels``, expressions from the root's children down, by their names in
+    ``weights``. A leaf gives its whole epochs first, then the documents of the
     next epoch in the order of a seeded hash as long as their tokens fit.
 
     The last document is found without sorting a leaf: sums over buckets of the
@@ -110,15 +112,15 @@ def mix(
 
     NULL levels count as ``""``, NULL tokens as 0, a negative share as 0. Rows
     that repeat an id are taken or left together. An empty table stays empty.
-    Columns named like those made here must not be in the table.
+    Columns of the table may bear the names of the levels.
     """
     spark = df.sparkSession
     path = list(levels)
-    filled = {c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in path}
+    filled = {c: F.coalesce(e.cast("string"), F.lit("")) for c, e in levels.items()}
     narrow = df.select(
         F.col(id_column).alias("_id"),
-        *[filled[c].alias(c) for c in path],
-        F.coalesce(F.col(tokens), F.lit(0)).cast("long").alias("_tokens"),
+        *[e.alias(c) for c, e in filled.items()],
+        F.coalesce(tokens, F.lit(0)).cast("long").alias("_tokens"),
     )
     narrow, narrow_path = written(narrow, "narrow")
     leaves, leaves_path = written(narrow.groupBy(*path).agg(F.sum("_tokens").alias("tokens")), "leaves")
@@ -165,8 +167,7 @@ def mix(
     limits, _ = written(limits, "limits")
     drop(spark, narrow_path, leaves_path, granted_path, cuts_path)
 
-    same = [filled[c] == F.col(f"_leaf_{c}") for c in path]
-    joined = df.join(limits, same)
+    at_leaf = [filled[c] == F.col(f"_leaf_{c}") for c in path]
     key = _key(id_column, F.col("_full") + 1, seed)
     copies = F.col("_full") + F.when(key <= F.col("_limit"), 1).otherwise(0)
-    return joined.select(*df.columns, copies.cast("long").alias("copies"))
+    return df.join(limits, at_leaf).select(*df.columns, copies.cast("long").alias(out))

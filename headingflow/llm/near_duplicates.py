@@ -158,7 +158,7 @@ def near_duplicates(
     # All that can be compared: their sketches, and by one pass over the table their texts.
     members = crowded.select("rep").distinct()
     sketch_of = classes.join(members, "rep", "left_semi").groupBy("rep").agg(
-        F.first("size").alias("size"), F.first("sketch").alias("sketch")
+        *[F.first(c).alias(c) for c in ("size", "sketch", "keys")]
     )
     sketch_of, sketch_path = written(sketch_of, "members")
     whole = df.select(F.col(id_column).alias("_id"), F.col(text_column).cast("string").alias("_text"))
@@ -195,8 +195,10 @@ def near_duplicates(
     )
     outside, inside = open_rows.filter("label <> main").alias("x"), open_rows.alias("y")
     apart = (F.col("x.key") == F.col("y.key")) & (F.col("x.label") != F.col("y.label"))
+    # A pair that meets in several buckets is made in one of them.
+    once = F.array_min(F.array_intersect("x.keys", "y.keys")) == F.col("x.key")
     more = (
-        outside.join(inside, apart & alike("x", "y"))
+        outside.join(inside, apart & alike("x", "y") & once)
         .select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b"))
         .distinct()
     )

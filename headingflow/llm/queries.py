@@ -45,13 +45,11 @@ def domain_sql(cast: str) -> str:
     return f"CASE WHEN {DOMAIN.format(number, number)}"
 
 
-def mixed(docs: DataFrame) -> DataFrame:
-    """The documents with ``domain, n_tokens, copies``."""
+def mixed(docs: DataFrame, out: str = "copies") -> DataFrame:
+    """The documents with the number of copies in the mix."""
     weights = docs.sparkSession.createDataFrame(MIX_WEIGHTS, "level string, name string, weight int")
-    counted = docs.withColumns(
-        {"domain": F.expr(domain_sql("try_cast")), "n_tokens": word_tokens(F.col("text").cast("string"))}
-    )
-    return mix(counted, weights)
+    levels = {"domain": F.expr(domain_sql("try_cast")), "lang": F.col("lang"), "source": F.col("source")}
+    return mix(docs, weights, levels, word_tokens(F.col("text")), out=out)
 
 
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,8 +84,13 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     chosen = mixed(table(spark, sf_dir, "documents"))
-    names = [F.coalesce(c, F.lit("")).alias(c) for c in ("domain", "lang", "source")]
-    return chosen.select("doc_id", *names, "n_tokens", "copies")
+    return chosen.select(
+        "doc_id",
+        F.expr(domain_sql("try_cast")).alias("domain"),
+        *[F.coalesce(c, F.lit("")).alias(c) for c in ("lang", "source")],
+        word_tokens(F.col("text")).alias("n_tokens"),
+        "copies",
+    )
 
 
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
