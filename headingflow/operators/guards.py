@@ -24,16 +24,13 @@ def with_default(df: DataFrame, name: str, value: Column) -> DataFrame:
     return df if name in df.columns else df.withColumn(name, value)
 
 
-def require_known(df: DataFrame, known: DataFrame, column: str, shown: int = 50) -> DataFrame:
-    """Fail with the sorted values of ``column`` that ``known`` lacks.
-
-    The message shows the first of them and counts the rest.
-    """
+def require_known(df: DataFrame, known: DataFrame, column: str) -> DataFrame:
+    """Fail with all sorted values of ``column`` that ``known`` lacks, joined to one text by Spark."""
     unknown = unseen_values(df, known, column)
-    listed = [row[0] for row in unknown.orderBy(column).limit(shown + 1).collect()]
-    if listed:
-        more = " ..." if len(listed) > shown else ""
-        raise ValueError(f"Unseen {column}: {listed[:shown]}{more}")
+    listed = F.array_join(F.transform(F.array_sort(F.collect_list(column)), lambda v: F.concat(F.lit("'"), v, F.lit("'"))), ", ")
+    found = unknown.agg(F.count(F.lit(1)).alias("n"), listed.alias("listed")).first()
+    if found["n"]:
+        raise ValueError(f"Unseen {column}: [{found['listed']}] ({found['n']})")
     return df
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from headingflow.functions.candidates import reported_hit
 from headingflow.functions.values import number, text_or_empty
+from headingflow.sources.shared import discard, materialise
 
 REVIEW_THRESHOLDS = (0.20, 0.25, 0.30, 0.35, 0.40)
 
@@ -70,14 +71,19 @@ def error_sample(
 ) -> DataFrame:
     """The most and the least confident wrong rows, each once; a missing confidence counts as -1.
 
-    Of ``keep`` only the present columns are shown. Each half is a top-n that
-    keeps ``size`` rows per task.
+    Of ``keep`` only the present columns are shown. Both halves are top-n over
+    ids and confidences alone, which keep ``size`` rows per task; the chosen ids
+    then fetch their rows, so texts are read once.
     """
     wrong = predictions.filter(~_correct(truth)).withColumn(
         "pred_confidence", number(F.col("pred_confidence"), default=-1.0)
     )
     shown = [c for c in keep if c in wrong.columns]
     rows = wrong.select(id_column, *[c for c in shown if c != id_column])
-    sure = rows.orderBy(F.desc("pred_confidence"), F.asc(id_column)).limit(size)
-    unsure = rows.orderBy(F.asc("pred_confidence"), F.asc(id_column)).limit(size)
-    return sure.unionByName(unsure).distinct()
+    narrow = materialise(wrong.select(F.col(id_column).alias("_id"), F.col("pred_confidence").alias("_conf")), "wrong")
+    sure = narrow.orderBy(F.desc("_conf"), F.asc("_id")).limit(size)
+    unsure = narrow.orderBy(F.asc("_conf"), F.asc("_id")).limit(size)
+    # At most twice ``size`` ids.
+    chosen = materialise(sure.unionByName(unsure).select("_id").distinct(), "error-ids")
+    discard(narrow)
+    return rows.join(chosen, F.col(id_column) == F.col("_id"), "left_semi").distinct()

@@ -8,7 +8,6 @@ from headingflow.operators.numbering import number_rows
 from headingflow.sources.shared import materialise
 
 MIN_HEADING_COUNT = 8
-MAX_CLASSES = 100_000
 
 
 def value_counts(df: DataFrame, column: str = "heading", out: str = "n") -> DataFrame:
@@ -108,18 +107,23 @@ def collapse_unknown(
 
 
 def heading_array(labels: DataFrame, column: str = "heading", id_column: str = "label_id") -> Column:
-    """All headings in class order, as one scalar for every row.
+    """The headings at the places of their ids, as one scalar for every row; NULL where an id is missing.
 
-    It has as many entries as each row's own score vector has. A dictionary with
-    more than ``MAX_CLASSES`` is no label map of a model, and an error before it
-    is gathered.
+    It is as long as the largest id, which each row's own score vector exceeds.
+    Two headings for one id are an error.
     """
-    pairs = F.sort_array(F.collect_list(F.struct(F.col(id_column), F.col(column))))
-    too_many = F.raise_error(F.lit(f"more than {MAX_CLASSES} headings: collapse the rare ones first"))
-    headings = F.when(F.count(F.lit(1)) > MAX_CLASSES, too_many.cast("array<string>")).otherwise(
-        F.transform(pairs, lambda p: p[column])
+    id_text = F.concat(F.lit("two headings have the id "), F.col("_id").cast("string"))
+    one = F.when(F.count(F.lit(1)) > 1, F.raise_error(id_text).cast("string")).otherwise(F.first("_heading"))
+    known = (
+        labels.select(F.col(id_column).cast("int").alias("_id"), F.col(column).alias("_heading"))
+        .filter(F.col("_id") >= 0)
+        .groupBy("_id")
+        .agg(one.alias("_heading"))
     )
-    return labels.limit(MAX_CLASSES + 1).agg(headings.alias("headings")).scalar()
+    slots = known.agg(F.max("_id").alias("_last")).select(F.explode(F.sequence(F.lit(0), "_last")).alias("_id"))
+    pairs = F.sort_array(F.collect_list(F.struct("_id", "_heading")))
+    whole = slots.join(known, "_id", "left").agg(F.transform(pairs, lambda p: p["_heading"]).alias("headings"))
+    return whole.scalar()
 
 
 def decode_candidates(

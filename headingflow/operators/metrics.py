@@ -104,8 +104,15 @@ def daily_top1(
     return _grouped(flags, keys, totals, ["n", "avg_conf", "try_divide(n_top1, n) as top1", "n_top1"])
 
 
-def _rates(flags: DataFrame, keys: Sequence[str], ks: Sequence[int], name: str, extra: Sequence[str] = ()):
-    totals = ["count(*) as n", *[f"count_if(hit_{k}) as n_top{k}" for k in ks]]
+def _rates(
+    flags: DataFrame,
+    keys: Sequence[str],
+    ks: Sequence[int],
+    name: str,
+    extra: Sequence[str] = (),
+    more_totals: Sequence[str] = (),
+) -> DataFrame:
+    totals = ["count(*) as n", *[f"count_if(hit_{k}) as n_top{k}" for k in ks], *more_totals]
     shown = ["n", *[f"try_divide(n_top{k}, n) as {name.format(k)}" for k in ks], *extra]
     return _grouped(flags, keys, totals, shown)
 
@@ -115,11 +122,22 @@ def headline(
     truth: str = "heading",
     ks: Sequence[int] = REPORT_KS,
     keys: Sequence[str] = (),
+    collapsed: str | None = None,
+    other: str = OTHER,
 ) -> DataFrame:
-    """Top-k rates and the share outside the largest k, over all rows or per key."""
+    """Top-k rates and the share outside the largest k, over all rows or per key.
+
+    With ``collapsed``, a truth with rare headings collapsed, also the rows
+    where it is ``other``, and their share.
+    """
     ks = report_ks([1, *ks], max(ks))
     outside = f"try_divide(n - n_top{ks[-1]}, n) as outside_top{ks[-1]}"
-    return _rates(_flags(predictions, truth, ks, keys), keys, ks, "top{}", [outside])
+    if collapsed is None:
+        return _rates(_flags(predictions, truth, ks, keys), keys, ks, "top{}", [outside])
+    marked = predictions.withColumn("_is_other", F.coalesce(F.col(collapsed) == other, F.lit(False)))
+    flags = _flags(marked, truth, ks, [*keys, "_is_other"])
+    extra = [outside, "n_other", "try_divide(n_other, n) as other_share"]
+    return _rates(flags, keys, ks, "top{}", extra, ["count_if(_is_other) as n_other"])
 
 
 def other_share(df: DataFrame, truth: str = "heading_eval", other: str = OTHER) -> DataFrame:

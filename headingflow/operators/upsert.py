@@ -5,13 +5,17 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from headingflow.sources.shared import materialise
+
 
 def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str] = ("date",)) -> DataFrame:
     """Old rows whose key is not in ``new``, then the new rows, sorted by key.
 
     The columns are the union of both, the old ones first; a missing one is NULL.
+    The new rows are written first, as they are read twice.
     """
     keys = list(keys)
+    new = materialise(new, "upsert")
     kept = old.join(new.select(*keys).distinct(), keys, "left_anti").select(*old.columns)
     return kept.unionByName(new, allowMissingColumns=True).orderBy(*keys)
 

@@ -5,11 +5,12 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from headingflow.functions.text import clean_question
 from headingflow.operators.canon import extract_questions
 from headingflow.operators.guards import report_ks, require_rows
 from headingflow.operators.metrics import REPORT_KS, daily_metrics
 from headingflow.operators.upsert import upsert_table
-from headingflow.sources.shared import materialise, spread
+from headingflow.sources.shared import materialise
 
 Scorer = Callable[[DataFrame], DataFrame]
 
@@ -30,16 +31,20 @@ def run_daily(
     predictions_path: str | None = None,
     ks: Sequence[int] = REPORT_KS,
     max_k: int = 10,
+    parts: int | None = None,
 ) -> DataFrame:
     """Extract, score, measure and upsert by model and day; returns the metrics of this run.
 
-    The questions are extracted once for all models, and scoring runs once per
-    model: its output is written before the metrics read it.
+    The questions are extracted and cleaned once for all models, and scoring runs
+    once per model: its output is written before the metrics read it. ``parts``
+    deals the questions out anew, for documents in files that cannot be split.
     """
     ks = report_ks(ks, max_k)
-    asked = materialise(extract_questions(documents), "questions")
+    asked = extract_questions(documents)
+    if parts:
+        asked = asked.repartition(parts)
+    asked = materialise(asked.withColumn("question_clean", clean_question("question")), "questions")
     require_rows(asked)
-    asked = spread(asked)
     scored = score_with_models(asked, models)
     if predictions_path is None:
         predictions = materialise(scored, "predictions")

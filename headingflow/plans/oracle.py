@@ -342,6 +342,14 @@ departments AS (
     + """SELECT pq_id, rank, heading, conf FROM (
         SELECT pq_id, row_number() OVER (PARTITION BY pq_id ORDER BY cand_conf DESC, class_id) AS rank,
           cand_heading AS heading, round(cand_conf, 6) AS conf FROM pq_candidates) t WHERE rank <= 3""",
+    "topk_inrow": with_(QUESTIONS, LABELS, candidates())
+    + """SELECT pq_id, rank, cand_heading AS heading, conf FROM (
+        SELECT pq_id, row_number() OVER (PARTITION BY pq_id ORDER BY cand_conf DESC, class_id) AS rank,
+          cand_heading, class_id, round(cand_conf, 6) AS conf FROM pq_candidates) t WHERE rank <= 3""",
+    "decode_sparse": with_(QUESTIONS, LABELS, candidates())
+    + """SELECT pq_id, rank, CASE WHEN class_id % 3 = 0 THEN CAST(class_id AS VARCHAR) ELSE cand_heading END AS heading, conf FROM (
+        SELECT pq_id, row_number() OVER (PARTITION BY pq_id ORDER BY cand_conf DESC, class_id) AS rank,
+          cand_heading, class_id, round(cand_conf, 6) AS conf FROM pq_candidates) t WHERE rank <= 3""",
     "topk_hit": with_(*PREDICTED)
     + """SELECT pq_id, coalesce(truth_rank <= 4, false) AS top4, coalesce(truth_rank <= 10, false) AS top10,
       pred_heading = heading OR coalesce(truth_rank <= 5, false) AS report_hit FROM pq_predictions""",
@@ -350,10 +358,12 @@ departments AS (
       round(exp(cand_conf * 10) / sum(exp(cand_conf * 10)) OVER (PARTITION BY pq_id), 6) AS probability
       FROM pq_candidates""",
     "never_other": with_(QUESTIONS, LABELS, COUNTS, candidates())
-    + """SELECT pq_id, arg_min(name, place) AS pred_heading, round(arg_min(cand_conf, place), 6) AS pred_confidence
-      FROM (SELECT c.*, CASE WHEN n < 8 THEN 'Other' ELSE cand_heading END AS name,
-          CASE WHEN n < 8 THEN 100 + rank ELSE rank END AS place
-        FROM pq_candidates c JOIN heading_counts h ON h.heading = c.cand_heading) t GROUP BY pq_id""",
+    + """SELECT pq_id, arg_min(name, place) AS pred_heading, round(arg_min(conf, place), 6) AS pred_confidence
+      FROM (SELECT q.pq_id, coalesce(cand_conf, 0) AS conf, CASE WHEN n < 8 THEN 'Other' ELSE l.heading END AS name,
+          row_number() OVER (PARTITION BY q.pq_id ORDER BY coalesce(cand_conf, 0) DESC, l.label_id)
+            + CASE WHEN n < 8 THEN 1000000 ELSE 0 END AS place
+        FROM pq_questions q CROSS JOIN pq_labels l JOIN heading_counts h ON h.heading = l.heading
+        LEFT JOIN pq_candidates c ON c.pq_id = q.pq_id AND c.class_id = l.label_id) t GROUP BY pq_id""",
     "widen_candidates": with_(QUESTIONS, LABELS, candidates())
     + f"""SELECT pq_id, max(cand_heading) FILTER (rank = 1) AS pred_heading,
       round(max(cand_conf) FILTER (rank = 1), 6) AS pred_confidence,

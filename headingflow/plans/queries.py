@@ -15,6 +15,7 @@ from headingflow.functions.candidates import (
     best_except_other,
     hit_within,
     needs_review,
+    rank_classes,
     reported_hit,
     softmax,
     truth_rank,
@@ -46,9 +47,6 @@ SECOND_MODEL_TURN = 7
 RUN_DATE = "2026-02-19"
 PREVIEW_ROWS = 10
 KNOWN_DAYS = 3
-# The test texts are made of few words: a small hashed space suits them.
-TEXT_FEATURES = 1 << 10
-ITERATIONS = 15
 
 
 def rounded(df: DataFrame) -> DataFrame:
@@ -89,7 +87,7 @@ def daily_top1(spark, sf_dir):
 def headline_metrics(spark, sf_dir):
     made = derived.predictions(spark, sf_dir)
     known = known_headings(labels.heading_counts(made))
-    return rounded(metrics.headline(made).join(metrics.other_share(labels.collapse_unknown(made, known)), "n"))
+    return rounded(metrics.headline(labels.collapse_unknown(made, known), collapsed="heading_eval"))
 
 
 def multi_model_metrics(spark, sf_dir):
@@ -298,6 +296,26 @@ def topk_long(spark, sf_dir):
     return rounded(decoded.select("pq_id", F.col("rank").cast("long").alias("rank"), "heading", "conf"))
 
 
+def topk_inrow(spark, sf_dir):
+    return best_in_row(spark, sf_dir, lambda known: known)
+
+
+def decode_sparse(spark, sf_dir):
+    # A label map with gaps: the ids it lacks are shown themselves.
+    return best_in_row(spark, sf_dir, lambda known: known.filter(F.col("label_id") % 3 != 0))
+
+
+def best_in_row(spark, sf_dir, label_map):
+    """The best three classes of whole score vectors, ranked and decoded inside the row."""
+    asked = derived.questions(spark, sf_dir).select("pq_id", "heading")
+    known = derived.labels(asked)
+    vectors = derived.score_vectors(derived.ranked_questions(asked, known), known)
+    ranked = vectors.withColumn("ranked", rank_classes(F.col("scores"), 3))
+    decoded = labels.decode_candidates(ranked, "ranked", label_map(known))
+    rows = decoded.select("pq_id", F.inline("candidates"))
+    return rounded(rows.select("pq_id", F.col("rank").cast("long").alias("rank"), "heading", "conf"))
+
+
 def topk_hit(spark, sf_dir):
     made = derived.predictions(spark, sf_dir)
     rank = truth_rank(F.col("candidates"), F.col("heading"))
@@ -323,7 +341,8 @@ def never_other(spark, sf_dir):
     known = derived.labels(asked)
     counts = labels.heading_counts(asked)
     collapsed = labels.collapse_rare(known, out="heading", counts=counts)
-    ranked = derived.ranked_questions(asked, known)
+    vectors = derived.score_vectors(derived.ranked_questions(asked, known), known)
+    ranked = vectors.withColumn("ranked", rank_classes(F.col("scores")))
     decoded = labels.decode_candidates(ranked, "ranked", collapsed)
     chosen = best_except_other(F.col("candidates"))
     picked = decoded.select("pq_id", chosen.alias("best"))
@@ -388,7 +407,7 @@ def run_record(spark, sf_dir):
 
 def train_score_baseline(spark, sf_dir):
     training, known = prepare_training(derived.spread_questions(spark, sf_dir), "pq_id")
-    model = train(training, known, naive_bayes(), TEXT_FEATURES)
+    model = train(training, known, naive_bayes())
     scored = model.predict(training, k=3)
     return rounded(
         metrics.daily_top1(
@@ -400,7 +419,7 @@ def train_score_baseline(spark, sf_dir):
 def score_topk(spark, sf_dir):
     asked = derived.spread_questions(spark, sf_dir)
     training, known = prepare_training(asked, "pq_id")
-    model = train(training, known, logistic(max_iter=ITERATIONS), TEXT_FEATURES)
+    model = train(training, known, logistic())
     scored = model.predict(asked.select("pq_id", "question", "department"), k=4, never_other=True)
     flagged = scored.withColumn("needs_review", needs_review(F.col("pred_confidence")))
     return rounded(widen_candidates(flagged.drop("question", "question_clean"), 4, shown=3))
@@ -408,7 +427,7 @@ def score_topk(spark, sf_dir):
 
 def validation_metrics(spark, sf_dir):
     training, known = prepare_training(derived.spread_questions(spark, sf_dir), "pq_id")
-    model = train(training, known, logistic(max_iter=ITERATIONS), TEXT_FEATURES)
+    model = train(training, known, logistic())
     scored = model.predict(training.filter(F.col("split") == "val"), k=3)
     return rounded(metrics.validation_metrics(scored, "heading_collapsed"))
 
@@ -417,11 +436,11 @@ def model_sweep(spark, sf_dir):
     training, known = prepare_training(derived.spread_questions(spark, sf_dir), "pq_id")
     choices = {
         "naive_bayes": naive_bayes(),
-        "logistic_1e-2": logistic(1e-2, ITERATIONS),
-        "logistic_1e-1": logistic(1e-1, ITERATIONS),
+        "logistic_1e-2": logistic(1e-2),
+        "logistic_1e-1": logistic(1e-1),
     }
     # One row per choice, measured on the whole validation part.
-    _, results = sweep(training, known, choices, TEXT_FEATURES)
+    _, results = sweep(training, known, choices)
     measured = spark.createDataFrame(
         [(r.name, r.n, r.top1_accuracy, r.top3_accuracy) for r in results],
         "choice string, n long, top1_accuracy double, top3_accuracy double",
@@ -462,6 +481,8 @@ QUERIES: dict[str, Query] = {
     "heading_distribution": heading_distribution,
     "coverage_thresholds": coverage_thresholds,
     "topk_long": topk_long,
+    "topk_inrow": topk_inrow,
+    "decode_sparse": decode_sparse,
     "topk_hit": topk_hit,
     "softmax": softmax_scores,
     "never_other": never_other,

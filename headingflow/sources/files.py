@@ -2,12 +2,12 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from headingflow.functions.values import MISSING_STRINGS
-from headingflow.operators.canon import explode_items, scalar_text_sql
+from headingflow.operators.canon import explode_items
 from headingflow.operators.guards import require_columns
 
 UPLOAD_COLUMNS = ("question", "department", "heading")
@@ -71,16 +71,14 @@ def read_documents(spark: SparkSession, path: str, per_line: bool = False) -> Da
     return spark.read.text(path, wholetext=not per_line)
 
 
-def read_upload(
-    spark: SparkSession,
-    path: str,
-    columns: Sequence[str] = UPLOAD_COLUMNS,
-    per_line: bool = False,
-) -> DataFrame:
-    """An uploaded table, its format chosen by the suffix of the path.
+def read_upload(spark: SparkSession, path: str, per_line: bool = False) -> DataFrame:
+    """An uploaded table with all its columns as text, its format chosen by the suffix of the path.
 
     ``.csv`` has a header. ``.json`` is a list of objects or an object whose
-    ``data`` is one; other envelopes are refused.
+    ``data`` is one; other envelopes are refused. The columns of a JSON upload
+    are the keys of all its objects, those of ``UPLOAD_COLUMNS`` first. A table
+    without a question or a department column is an error; one without any
+    object has no rows.
     """
     name = path.rstrip("/").lower()
     if name.endswith(".csv"):
@@ -89,10 +87,23 @@ def read_upload(
         return require_columns(table, ("question", "department"))
     if name.endswith(".json"):
         items = explode_items(read_documents(spark, path, per_line), "value", keys=("data",))
-        return items.select(*[F.expr(scalar_text_sql("item", f"$.{c}")).alias(c) for c in columns])
+        fields = items.select(F.expr("try_variant_get(item, '$', 'map<string,variant>')").alias("_fields"))
+        # One name for each column of the upload.
+        names = fields.select(F.explode(F.map_keys("_fields")).alias("name")).distinct().orderBy("name").collect()
+        keys = [r["name"] for r in names] or list(UPLOAD_COLUMNS)
+        first = [c for c in UPLOAD_COLUMNS if c in keys]
+        keys = first + [c for c in keys if c not in first]
+        table = fields.select(*[_scalar_text(F.col("_fields")[F.lit(c)]).alias(c) for c in keys])
+        return require_columns(table, ("question", "department"))
     raise ValueError("Unsupported file type: give a .csv or a .json path.")
 
 
+def _scalar_text(value: Column) -> Column:
+    """Text or number of a variant as text; NULL for an object or a list."""
+    plain = ~F.schema_of_variant(value).rlike("^(OBJECT|ARRAY)")
+    return F.when(plain, F.try_variant_get(value, "$", "string"))
+
+
 def write_dated(df: DataFrame, path: str, run_date: str, fmt: str = "json") -> None:
     """Write under ``<path>/run_date=<run_date>/``; a second run of a day replaces that day."""
     (

@@ -1,25 +1,17 @@
 """The folder that all executors share, and tables written into it."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's folder from ``spark.checkpoint.dir``.
+    """The folder from ``spark.checkpoint.dir``, else one below the warehouse.
 
-    Where it is unset, a local session gets a temporary folder; on a cluster
-    that would be a folder of one machine, so it is an error there.
+    Both are shared by all executors, whatever the master.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-    folder = tempfile.mkdtemp(prefix="headingflow-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return shared_folder(spark)
+    return (folder or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared").rstrip("/")
 
 
 def new_path(spark: SparkSession, name: str) -> str:
@@ -41,6 +33,16 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete a table that ``materialise`` wrote and nothing reads any more."""
+    spark = df.sparkSession
+    for file in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
+        place = spark._jvm.org.apache.hadoop.fs.Path(file)
+        if "/headingflow/" not in file:
+            raise ValueError(f"{file} is no intermediate table")
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def spread(scan: DataFrame) -> DataFrame:
     """Give every core a part of a scan that has fewer parts than there are cores.
 

@@ -10,7 +10,7 @@ from headingflow.operators.canon import extract_questions
 from headingflow.operators.metrics import REPORT_KS, daily_metrics
 from headingflow.operators.upsert import upsert_table
 from headingflow.plans.daily import Scorer, score_with_models
-from headingflow.sources.shared import materialise, spread
+from headingflow.sources.shared import discard, materialise
 
 STORED = ("model", "heading", "pred_heading", "pred_confidence", "candidates", "date", "batch")
 
@@ -36,15 +36,18 @@ def refresh_metrics(
         asked = materialise(extract_questions(batch), "questions")
         if asked.isEmpty():
             return
-        scored = score_with_models(spread(asked), models).withColumn("batch", F.lit(number))
-        upsert_table(scored.select(*STORED), predictions_path, keys=("date", "batch"))
+        scored = score_with_models(asked, models).withColumn("batch", F.lit(number))
+        # One file per day and batch, a few for a day with most of the rows.
+        clustered = scored.select(*STORED).repartition("date", F.pmod(F.xxhash64("heading"), F.lit(4)))
+        upsert_table(clustered, predictions_path, keys=("date", "batch"))
 
         session = batch.sparkSession
         stored = session.read.schema(scored.select(*STORED).schema).parquet(predictions_path)
         # The touched days prune the partitions that are read.
-        touched = stored.join(F.broadcast(_days(asked)), "date", "left_semi")
+        touched = stored.join(materialise(_days(asked), "days"), "date", "left_semi")
         metrics = daily_metrics(touched, ks=ks, keys=("model", "date"))
         upsert_table(materialise(metrics, "metrics"), metrics_path, keys=("model", "date"))
+        discard(asked)
 
     return (
         spark.readStream.text(landing)

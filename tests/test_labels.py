@@ -120,13 +120,22 @@ def test_distribution_and_coverage(asked, headings):
         assert (row["headings"], row["questions"]) == (len(counts), total)
 
 
-def test_too_many_classes_are_refused(spark, monkeypatch):
-    monkeypatch.setattr(labels, "MAX_CLASSES", 2)
+def test_sparse_label_maps_decode_by_id(spark):
+    rows = spark.createDataFrame(
+        [([(1, 1, 0.5), (2, 2, 0.3), (3, 0, 0.2), (4, 7, 0.0)],)], "r array<struct<rank:int,class_id:int,conf:double>>"
+    )
+    sparse = spark.createDataFrame([("zero", 0), ("two", 2)], "heading string, label_id int")
+    found = labels.decode_candidates(rows, "r", sparse).first()["candidates"]
+    assert [c["heading"] for c in found] == ["1", "two", "zero", "7"]
+    none = labels.decode_candidates(rows, "r", sparse.limit(0)).first()["candidates"]
+    assert [c["heading"] for c in none] == ["1", "2", "0", "7"]
+
+
+def test_two_headings_of_one_id_are_refused(spark):
     rows = spark.createDataFrame([([(1, 0, 0.5)],)], "r array<struct<rank:int,class_id:int,conf:double>>")
-    three = spark.createDataFrame([("a", 0), ("b", 1), ("c", 2)], "heading string, label_id int")
-    assert labels.decode_candidates(rows, "r", three.filter("label_id < 2")).first()["candidates"][0]["heading"] == "a"
-    with pytest.raises(Exception, match="collapse the rare ones"):
-        labels.decode_candidates(rows, "r", three).collect()
+    twice = spark.createDataFrame([("a", 0), ("b", 0)], "heading string, label_id int")
+    with pytest.raises(Exception, match="two headings have the id 0"):
+        labels.decode_candidates(rows, "r", twice).collect()
 
 
 def test_lookups_beyond_the_broadcast_size_shuffle_and_agree(spark, asked):

@@ -1,4 +1,5 @@
 import json
+import os
 from pathlib import Path
 
 import pytest
@@ -172,10 +173,8 @@ def test_shared_folder_comes_from_the_session(spark):
     assert table.count() == 4
 
 
-def test_a_cluster_without_a_shared_folder_is_an_error():
+def test_without_a_folder_of_the_session_the_warehouse_holds_it():
     class Context:
-        master = "spark://host:7077"
-
         def getCheckpointDir(self):
             return None
 
@@ -184,11 +183,31 @@ def test_a_cluster_without_a_shared_folder_is_an_error():
 
         class conf:
             @staticmethod
-            def get(_, default):
-                return default
+            def get(key, default=None):
+                return {"spark.sql.warehouse.dir": "hdfs://store/warehouse/"}.get(key, default)
+
+    assert shared.shared_folder(Session()) == "hdfs://store/warehouse/_shared"
+
+
+def test_discarded_tables_are_gone(spark):
+    table = shared.materialise(spark.range(4), "gone")
+    folder = table.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+    assert os.path.isdir(folder)
+    shared.discard(table)
+    assert not os.path.exists(folder)
 
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared.shared_folder(Session())
+
+def test_upload_json_keeps_all_columns(spark, tmp_path):
+    path = tmp_path / "u.json"
+    path.write_text('[{"question":"a","department":"d","ref":"R1","a b":5},{"question":"b","x.y":[1]}]')
+    table = read_upload(spark, str(path))
+    assert table.columns == ["question", "department", "a b", "ref", "x.y"]
+    assert sorted(map(tuple, table.collect())) == [("a", "d", "5", "R1", None), ("b", None, None, None, None)]
+    path.write_text('[{"question":"a","ref":"R1"}]')
+    with pytest.raises(ValueError, match="department"):
+        read_upload(spark, str(path))
+    path.write_text("[]")
+    assert read_upload(spark, str(path)).collect() == []
 
 
 def test_spread(spark):
