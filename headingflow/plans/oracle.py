@@ -5,7 +5,7 @@ Written for DuckDB. Model results depend on the fit and have none; tests cover t
 
 from headingflow.functions.text import BOILERPLATE
 from headingflow.plans.derived import DAYS, FIRST_DAY
-from headingflow.plans.queries import KNOWN_DAYS, PREVIEW_ROWS, RUN_DATE, SECOND_MODEL_TURN
+from headingflow.plans.queries import KNOWN_DAYS, PREVIEW_ROWS, RUN_DATE, SECOND_MODEL_TURN, WIDE_COUNT
 
 QUESTIONS = f"""
 pq_questions AS (
@@ -101,6 +101,46 @@ vocab AS (
   QUALIFY row_number() OVER (ORDER BY n DESC, word) + 1 < 20000)"""
 
 
+# Multinomial naive Bayes with smoothing 0.1 over word counts and the department.
+BAYES = r"""
+doc_words AS (
+  SELECT pq_id, word AS term, count(*) AS x FROM (SELECT pq_id, unnest(tokens) AS word FROM token_lists) t GROUP BY ALL),
+model_words AS (
+  SELECT word FROM (
+    SELECT term AS word, sum(x) AS n FROM doc_words JOIN parts USING (pq_id) WHERE split = 'train' GROUP BY term) c
+  QUALIFY row_number() OVER (ORDER BY n DESC, word) + 1 < 20000),
+doc_terms AS (
+  SELECT pq_id, 'w' || term AS term, x FROM doc_words JOIN model_words ON word = term
+  UNION ALL SELECT pq_id, 'd' || department, 1 FROM parts
+  WHERE department IN (SELECT department FROM parts WHERE split = 'train')),
+class_terms AS (
+  SELECT heading_collapsed AS c, term, sum(x) AS n FROM doc_terms JOIN parts USING (pq_id)
+  WHERE split = 'train' GROUP BY ALL),
+sizes AS (
+  SELECT (SELECT count(*) FROM model_words)
+      + (SELECT count(DISTINCT department) FROM parts WHERE split = 'train') AS v,
+    (SELECT count(*) FROM parts WHERE split = 'train') AS docs,
+    (SELECT count(DISTINCT heading_collapsed) FROM parts WHERE split = 'train') AS k),
+classes AS (
+  SELECT c, ln(d.docs_c + 0.1E0) - ln(s.docs + s.k * 0.1E0) AS prior, ln(t.total + s.v * 0.1E0) AS below
+  FROM (SELECT c, sum(n) AS total FROM class_terms GROUP BY c) t
+  JOIN (SELECT heading_collapsed AS c, count(*) AS docs_c FROM parts WHERE split = 'train' GROUP BY ALL) d USING (c)
+  CROSS JOIN sizes s),
+lengths AS (SELECT pq_id, sum(x) AS x FROM doc_terms GROUP BY pq_id),
+hits AS (
+  SELECT d.pq_id, c, sum(x * (ln(n + 0.1E0) - ln(0.1E0))) AS gain
+  FROM doc_terms d JOIN class_terms USING (term) GROUP BY ALL),
+scored AS (
+  SELECT p.pq_id, split, heading_collapsed, k.c,
+    prior + coalesce(gain, 0) + coalesce(l.x, 0) * (ln(0.1E0) - below) AS score
+  FROM parts p CROSS JOIN classes k LEFT JOIN lengths l USING (pq_id)
+  LEFT JOIN hits h ON h.pq_id = p.pq_id AND h.c = k.c),
+bayes AS (
+  SELECT pq_id, split, heading_collapsed, c, row_number() OVER (PARTITION BY pq_id ORDER BY score DESC, c) AS place,
+    1 / sum(exp(score - top)) OVER (PARTITION BY pq_id) AS conf
+  FROM (SELECT *, max(score) OVER (PARTITION BY pq_id) AS top FROM scored) t)"""
+
+
 def with_(*parts: str) -> str:
     return "WITH " + ",".join(parts) + "\n"
 
@@ -189,6 +229,16 @@ ranked AS (
     CAST(sum(n) OVER () AS BIGINT) AS total
   FROM heading_counts)"""
 
+COLLAPSED = """
+collapsed AS (
+  SELECT pq_id, department, CASE WHEN n < 8 THEN 'Other' ELSE heading END AS heading_collapsed
+  FROM pq_questions JOIN heading_counts USING (heading))"""
+
+TRAINED = (
+    QUESTIONS, COUNTS, COLLAPSED, f"\nparts AS ({split_sql('heading_collapsed', 'collapsed')})", CLEAN, WORDS, BAYES
+)
+
+
 ORACLE: dict[str, str] = {
     "daily_metrics": with_(*PREDICTED)
     + f"SELECT date, {daily_columns()} FROM ({HIT1}) p GROUP BY date",
@@ -325,6 +375,9 @@ departments AS (
     "rare_collapse": with_(QUESTIONS, COUNTS)
     + """SELECT pq_id, CASE WHEN n < 8 THEN 'Other' ELSE heading END AS heading_collapsed
       FROM pq_questions JOIN heading_counts USING (heading)""",
+    "rare_collapse_wide": with_(QUESTIONS, COUNTS)
+    + f"""SELECT pq_id, CASE WHEN n < {WIDE_COUNT} THEN 'Other' ELSE heading END AS heading_collapsed
+      FROM pq_questions JOIN heading_counts USING (heading)""",
     "rare_collapse_summary": with_(QUESTIONS, COUNTS)
     + """SELECT count(DISTINCT heading) AS n_before, count(DISTINCT c) AS n_after,
       count(DISTINCT heading) FILTER (n < 8) AS n_rare,
@@ -405,4 +458,14 @@ collapsed AS (
       count(*) FILTER (split = 'train') AS train_rows, count(*) FILTER (split = 'val') AS val_rows,
       20000 AS num_words, 300 AS maxlen, 0.1E0 AS val_split, 42 AS seed, 8 AS min_heading_count,
       'Other' AS other_label, '[DEPT] {department} [SEP] {question}' AS text_format FROM parts""",
+    "train_score_baseline": with_(*TRAINED)
+    + """SELECT split, count(*) AS n, round(avg(conf), 6) AS avg_conf,
+      round(avg(CAST(c = heading_collapsed AS INTEGER)), 6) AS top1,
+      count(*) FILTER (c = heading_collapsed) AS n_top1 FROM bayes WHERE place = 1 GROUP BY split""",
+    "validation_metrics": with_(*TRAINED)
+    + """SELECT count(*) FILTER (place = 1) AS n,
+      round(count(*) FILTER (place = 1 AND c = heading_collapsed) / CAST(count(DISTINCT pq_id) AS DOUBLE), 6)
+        AS top1_accuracy,
+      round(count(*) FILTER (place <= 3 AND c = heading_collapsed) / CAST(count(DISTINCT pq_id) AS DOUBLE), 6)
+        AS top3_accuracy FROM bayes WHERE split = 'val'""",
 }

@@ -47,6 +47,7 @@ SECOND_MODEL_TURN = 7
 RUN_DATE = "2026-02-19"
 PREVIEW_ROWS = 10
 KNOWN_DAYS = 3
+WIDE_COUNT = 60
 
 
 def rounded(df: DataFrame) -> DataFrame:
@@ -272,6 +273,12 @@ def rare_collapse(spark, sf_dir):
     return labels.collapse_rare(asked).select("pq_id", "heading_collapsed")
 
 
+def rare_collapse_wide(spark, sf_dir):
+    # At this bound some headings are rare in a large table too.
+    asked = derived.questions(spark, sf_dir).select("pq_id", "heading")
+    return labels.collapse_rare(asked, min_count=WIDE_COUNT).select("pq_id", "heading_collapsed")
+
+
 def rare_collapse_summary(spark, sf_dir):
     return labels.collapse_summary(derived.questions(spark, sf_dir).select("heading"))
 
@@ -427,7 +434,7 @@ def score_topk(spark, sf_dir):
 
 def validation_metrics(spark, sf_dir):
     training, known = prepare_training(derived.spread_questions(spark, sf_dir), "pq_id")
-    model = train(training, known, logistic())
+    model = train(training, known, naive_bayes())
     scored = model.predict(training.filter(F.col("split") == "val"), k=3)
     return rounded(metrics.validation_metrics(scored, "heading_collapsed"))
 
@@ -477,6 +484,7 @@ QUERIES: dict[str, Query] = {
     "truth_collapse": truth_collapse,
     "unseen_departments": unseen_departments,
     "rare_collapse": rare_collapse,
+    "rare_collapse_wide": rare_collapse_wide,
     "rare_collapse_summary": rare_collapse_summary,
     "heading_distribution": heading_distribution,
     "coverage_thresholds": coverage_thresholds,

@@ -50,7 +50,7 @@ def prepared(corpus):
 
 @pytest.fixture(scope="module")
 def model(prepared):
-    return train(*prepared, logistic(1e-2, 12), num_features=256)
+    return train(*prepared, logistic(1e-2, 12), num_words=60)
 
 
 def test_prepared_training_table(prepared):
@@ -116,7 +116,7 @@ def test_save_and_load(spark, corpus, model, tmp_path):
 
 def test_sweep_keeps_the_best(prepared):
     choices = {"flat": logistic(1e3, 3), "bayes": naive_bayes(), "logistic": logistic(1e-2, 8)}
-    best, results = sweep(*prepared, choices, num_features=256)
+    best, results = sweep(*prepared, choices, num_words=60)
     assert [r.name for r in results] == list(choices)
     top = max(r.top1_accuracy for r in results)
     training, _ = prepared
