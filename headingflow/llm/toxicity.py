@@ -10,6 +10,7 @@ an exception phrase.
 import math
 import re
 import unicodedata
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -182,10 +183,13 @@ def learn_lexicon(
         drop(spark, path)
         return Lexicon({}, exceptions, usual)
 
+    good, good_path = written(_documents_of(rows.filter("_toxic = 0"), Lexicon({}), "good"), "terms")
     weights: dict[str, float] = {}
     for safe in SAFE_RATIOS:
-        found = _entries(rows, Lexicon(weights, exceptions), n_good, safe, entries)
-        weights = found | weights
+        bad, bad_path = written(_documents_of(rows.filter("_toxic = 1"), Lexicon(weights, exceptions), "bad"), "terms")
+        weights = _entries(bad, good, n_good, safe, entries) | weights
+        drop(spark, bad_path)
+    drop(spark, good_path)
     # An entry is not needed if a beginning of it weighs as much.
     weights = {
         t: w
@@ -197,54 +201,46 @@ def learn_lexicon(
     return Lexicon(weights, exceptions, base, slope)
 
 
-def _entries(rows: DataFrame, lexicon: Lexicon, n_good: int, safe: float, most: int) -> dict[str, float]:
-    """Terms that tell toxic documents without a match of the lexicon from documents that are not toxic.
-
-    Words that merely stand beside toxic words gain nothing: their documents are
-    explained already.
-    """
+def _documents_of(rows: DataFrame, lexicon: Lexicon, out: str) -> DataFrame:
+    """``term, out``: documents of each term, those with a match of the lexicon left out; ``""`` is in all."""
     shared = rows.sparkSession.sparkContext.broadcast(lexicon)
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(shared.value)
         for batch in batches:
-            texts, labels = (batch.column(c).to_pylist() for c in ("_text", "_toxic"))
-            tally: dict[str, list[int]] = {}
-            for text, toxic in zip(texts, labels, strict=True):
-                if toxic and matcher.density(text):
-                    continue
-                for term in terms_of(text):
-                    tally.setdefault(term, [0, 0])[toxic] += 1
-                tally.setdefault("", [0, 0])[toxic] += 1
-            columns = [tally.keys(), [v[0] for v in tally.values()], [v[1] for v in tally.values()]]
-            kinds = (pa.string(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], names=["term", "good", "bad"]
-            )
-
-    counted, path = written(
-        rows.mapInArrow(split, "term string, good long, bad long")
-        .groupBy("term")
-        .agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"))
-        .filter(F.col("bad") >= LEAST_DOCUMENTS),
-        "terms",
-    )
-    left = counted.filter("term = ''").first()
+            tally: Counter[str] = Counter()
+            for text in batch.column("_text"):
+                whole = text.as_py()
+                if not matcher.density(whole):
+                    tally.update(terms_of(whole))
+                    tally[""] += 1
+            columns = [pa.array(list(tally), pa.string()), pa.array(list(tally.values()), pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["term", "n"])
+
+    return rows.mapInArrow(split, "term string, n long").groupBy("term").agg(F.sum("n").alias(out))
+
+
+def _entries(bad: DataFrame, good: DataFrame, n_good: int, safe: float, most: int) -> dict[str, float]:
+    """Terms that tell toxic documents without a match so far from documents that are not toxic.
+
+    Words that merely stand beside toxic words gain nothing: their documents are
+    explained already.
+    """
+    left = bad.filter("term = ''").first()
     if left is None:
-        drop(rows.sparkSession, path)
         return {}
+    often = bad.filter((F.col("bad") >= LEAST_DOCUMENTS) & (F.col("term") != ""))
+    counted = often.join(good, "term", "left").withColumn("good", F.coalesce("good", F.lit(0)))
     ratio = ((F.col("bad") + 0.5) / (left["bad"] + 1)) / ((F.col("good") + 0.5) / (n_good + 1))
     error = F.sqrt(1 / (F.col("bad") + 0.5) + 1 / (F.col("good") + 0.5))
     chosen = (
-        counted.filter("term <> ''")
-        .withColumn("weight", F.log(ratio))
+        counted.withColumn("weight", F.log(ratio))
         .filter(F.col("weight") >= math.log(LEAST_RATIO))
         .filter(F.col("weight") - 1.5 * error >= math.log(safe))
         .orderBy(F.desc(F.col("weight") * F.sqrt("bad")), "term")
         .limit(most)
         .collect()
     )
-    drop(rows.sparkSession, path)
     return {r["term"]: float(r["weight"]) for r in chosen}
 
 
