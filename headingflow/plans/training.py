@@ -13,8 +13,11 @@ from headingflow.operators.labels import (
     encode,
     heading_counts,
 )
+from headingflow.operators.metrics import validation_metrics
+from headingflow.operators.model import HeadingModel, logistic, naive_bayes, sweep
 from headingflow.operators.split import SEED, VALIDATION_SHARE, split_rows
 from headingflow.operators.vocabulary import MAX_LENGTH, NUM_WORDS
+from headingflow.sources.files import append_run
 from headingflow.sources.shared import materialise
 
 
@@ -72,3 +75,38 @@ def run_metadata(training: DataFrame, **settings) -> DataFrame:
         F.sum("train").alias("train_rows"),
         F.sum("val").alias("val_rows"),
     ).select("*", *[F.lit(value).alias(name) for name, value in shown.items()])
+
+
+def run_training(
+    corpus: DataFrame,
+    id_column: str,
+    out: str,
+    classifiers: dict | None = None,
+    num_words: int = NUM_WORDS,
+    **settings,
+) -> tuple[HeadingModel, DataFrame]:
+    """From a corpus to a saved model, its record and its validation metrics.
+
+    Fits each classifier, keeps the best by validation top-1, saves it under
+    ``<out>/model`` and appends the record of the run, with the objective of
+    every iteration where the classifier keeps one, to ``<out>/runs``. Returns
+    the model and the metrics of the validation rows.
+    """
+    training, labels = prepare_training(corpus, id_column, **settings)
+    choices = classifiers or {"naive_bayes": naive_bayes(), "logistic": logistic()}
+    model, results = sweep(training, labels, choices, num_words)
+    model.save(f"{out}/model")
+    best = max(results, key=lambda r: r.top1_accuracy or 0.0)
+    last = model.pipeline.stages[-1]
+    history = list(last.summary.objectiveHistory) if getattr(last, "hasSummary", False) else []
+    record = run_metadata(
+        training,
+        num_words=num_words,
+        classifier=best.name,
+        val_top1=best.top1_accuracy,
+        val_top3=best.top3_accuracy,
+        objective_history=history,
+    )
+    append_run(record.withColumn("objective_history", F.col("objective_history").cast("array<double>")), f"{out}/runs")
+    val = model.predict(training.filter(F.col("split") == "val"), k=3)
+    return model, validation_metrics(val, "heading_collapsed")

@@ -12,7 +12,7 @@ from headingflow.operators.upsert import read_table
 from headingflow.operators.widen import widen_candidates
 from headingflow.plans.daily import run_daily
 from headingflow.plans.scoring import evaluate_predictions, score_arrays, score_questions, score_upload
-from headingflow.plans.training import prepare_training, run_metadata
+from headingflow.plans.training import prepare_training, run_metadata, run_training
 from headingflow.sources.files import read_csv
 from headingflow.streaming.refresh import refresh_metrics
 
@@ -71,6 +71,20 @@ def test_a_cleaned_corpus_needs_no_raw_text(corpus, prepared):
         prepare_training(cleaned.drop("question_clean"), "id")
 
 
+def test_training_run_saves_model_record_and_report(spark, corpus, tmp_path):
+    out = str(tmp_path / "run")
+    choices = {"naive_bayes": naive_bayes(), "logistic": logistic(1e-2, 8)}
+    model, report = run_training(corpus, "id", out, choices, num_words=60)
+    run_training(corpus, "id", out, {"logistic": logistic(1e-2, 8)}, num_words=60)
+    runs = spark.read.parquet(f"{out}/runs").collect()
+    assert len(runs) == 2 and {r["num_words"] for r in runs} == {60}
+    logistic_run = next(r for r in runs if r["classifier"] == "logistic")
+    assert logistic_run["objective_history"][0] > logistic_run["objective_history"][-1]
+    assert report.first()["top1_accuracy"] == pytest.approx(max(r["val_top1"] for r in runs), abs=1e-9)
+    again = HeadingModel.load(spark, f"{out}/model")
+    assert again.predict(corpus, k=1).count() == corpus.count()
+
+
 def test_model_beats_the_largest_class(prepared, model):
     training, _ = prepared
     val = training.filter("split = 'val'")
