@@ -68,31 +68,32 @@ def _let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def _repeated_positions(words: Column) -> Column:
+def _repeated_positions(words: Column, hashes: Column) -> Column:
     """Number of words in windows of three that occur twice or more.
 
-    The windows are sorted with their places; equal ones are neighbours.
+    The hashes of the windows are sorted with their places, so equal ones are
+    neighbours; what counts is whether the words at both places are equal.
     """
-    last = F.size(words) - 3
-    windows = F.transform(
-        F.sequence(F.lit(0), last),
-        lambda i: F.struct(F.concat_ws(" ", words[i], words[i + 1], words[i + 2]).alias("w"), i.alias("i")),
-    )
+    placed = F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.cast("int").alias("i")))
 
     def starts(ordered: Column) -> Column:
-        def twin(place: Column) -> Column:
-            here = F.get(ordered, place)["w"]
-            before, after = (F.get(ordered, place + d)["w"] for d in (-1, 1))
-            return F.coalesce(here == before, F.lit(False)) | F.coalesce(here == after, F.lit(False))
-
-        return F.transform(F.filter(F.sequence(F.lit(0), last), twin), lambda place: F.get(ordered, place)["i"])
+        def same(one: Column, other: Column) -> Column:
+            a, b = one["i"], other["i"]
+            equal = (words[a] == words[b]) & (words[a + 1] == words[b + 1]) & (words[a + 2] == words[b + 2])
+            return F.coalesce((one["h"] == other["h"]) & equal, F.lit(False))
+
+        twins = F.filter(
+            ordered,
+            lambda x, k: same(x, F.get(ordered, k - 1)) | same(x, F.get(ordered, k + 1)),
+        )
+        return F.transform(twins, lambda x: x["i"])
 
     def covered(first: Column) -> Column:
         # A second parameter would be the place in the array.
         second, third = F.transform(first, lambda i: i + 1), F.transform(first, lambda i: i + 2)
         return F.size(F.array_union(F.array_union(first, second), third))
 
-    return _let(F.array_sort(windows), lambda ordered: _let(starts(ordered), covered))
+    return _let(F.array_sort(placed), lambda ordered: _let(starts(ordered), covered))
 
 
 def text_statistics(df: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -100,7 +101,7 @@ def text_statistics(df: DataFrame, id_column: str = "doc_id", text_column: str =
 
     ``n_repeat_words`` counts the words that lie in a window of three words found
     twice or more in the text. Windows are hashed first; only a text with two
-    equal hashes has its windows compared themselves.
+    equal hashes has the words of such windows compared.
     """
     text = F.coalesce(F.col(text_column).cast("string"), F.lit(""))
     rows = df.select(F.col(id_column).alias("_id"), text.alias("_text"))
@@ -114,22 +115,24 @@ def text_statistics(df: DataFrame, id_column: str = "doc_id", text_column: str =
         F.transform(F.sequence(F.lit(0), F.size(w) - 3), lambda i: F.xxhash64(w[i], w[i + 1], w[i + 2])),
     )
 
-    def without(characters: str) -> Column:
-        return F.length(F.translate("_text", characters, ""))
+    def found(characters: str) -> Column:
+        """Occurrences of single-byte characters, from the bytes that are left without each."""
+        gone = [F.octet_length("_text") - F.octet_length(F.replace("_text", F.lit(c), F.lit(""))) for c in characters]
+        return sum(gone, F.lit(0))
 
     rows = rows.withColumn("_hashes", hashes)
     repeats = F.size(F.array_distinct("_hashes")) < F.size("_hashes")
     counts = {
         "n_words": F.size(w),
-        "word_chars": without(SPACES),
-        "n_symbols": F.length("_text") - without(SYMBOLS),
+        "word_chars": F.length("_text") - found(SPACES),
+        "n_symbols": found(SYMBOLS),
         "n_lines": F.size("_lines"),
         "n_dup_lines": F.size("_lines") - F.size(F.array_distinct("_lines")),
-        "n_repeat_words": F.when(repeats, _repeated_positions(w)).otherwise(0),
+        "n_repeat_words": F.when(repeats, _repeated_positions(w, F.col("_hashes"))).otherwise(0),
         "n_distinct_words": F.size(F.array_distinct(w)),
         "n_capitals": F.length("_text") - F.length(F.regexp_replace("_text", r"\p{Lu}+", "")),
-        "n_marks": F.length("_text") - without("!?"),
-        "n_stops": F.length("_text") - without("."),
+        "n_marks": found("!?"),
+        "n_stops": found("."),
     }
     return rows.select("_id", *[c.cast("long").alias(name) for name, c in counts.items()])
 
