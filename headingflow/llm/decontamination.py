@@ -165,14 +165,16 @@ def _matches(index: GramIndex, batch: list[tuple]) -> Iterator[tuple]:
     for doc, owner, diagonal in index.bands(joined, starts):
         segment = index.segments[owner]
         points = batch[doc][1]
-        low = max(0, diagonal - segment.edits)
-        window = points[low : max(0, diagonal) + index.width + len(segment.points) + segment.edits]
+        low = diagonal - segment.edits
+        window = points[max(0, low) : diagonal + index.width + len(segment.points) + segment.edits]
+        if low < 0:  # what is left out before the text's first character leads to diagonals below 0
+            window = np.concatenate([np.repeat(gap, -low), window])
         made = aligned(segment.points, window, segment.edits, index.width)
         if made:
-            edits, begin, end = made
+            edits, begin, end = made[0], max(0, low + made[1]), low + made[2]
             spans = seen.setdefault((doc, owner), [])
-            if all(low + begin >= e or low + end <= s for _, s, e in spans):
-                spans.append((edits, low + begin, low + end))
+            if all(begin >= e or end <= s for _, s, e in spans):
+                spans.append((edits, begin, end))
     for (doc, owner), spans in sorted(seen.items()):
         key, _, places = batch[doc]
         for edits, start, end in spans:

@@ -72,6 +72,33 @@ def test_all_passages_equal_brute_force(spark, docs, items):
             assert distance(segment.points.tolist(), part.tolist()) <= r.edits <= segment.edits
 
 
+def test_passages_at_the_start_equal_brute_force(spark):
+    """Characters left out at the front, or anywhere, of a passage that the document begins with or soon has."""
+    chance = random.Random(6)
+    items = [(i, " ".join(chance.choice(VOCABULARY) for _ in range(30))) for i in range(8)]
+    docs = []
+    for offset in range(21):
+        for lost in (0, 1, 3, 6, 12):
+            letters = list(chance.choice(items)[1])
+            for _ in range(lost):
+                letters.pop(chance.randrange(len(letters)) if chance.random() < 0.5 else 0)
+            docs.append((len(docs), "z" * offset + "".join(letters) + chance.choice(["", " zq xz"])))
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    found = find_passages(table, spark.createDataFrame(items, "item_id long, text string")).collect()
+    expected = {
+        (key, s.item, s.number)
+        for key, text in docs
+        for i, item in items
+        for s in segments_of(i, item)
+        if distance(s.points.tolist(), normal(text)[0].tolist()) <= s.edits
+    }
+    assert {(r.doc_id, r.item_id, r.segment) for r in found} == expected and len(expected) > 80
+    for r in found:
+        segment = next(s for s in segments_of(r.item_id, dict(items)[r.item_id]) if s.number == r.segment)
+        part = normal(dict(docs)[r.doc_id][r.start : r.end])[0]
+        assert distance(segment.points.tolist(), part.tolist()) <= r.edits <= segment.edits
+
+
 def test_lemma_bound_is_positive():
     for n in range(7, 400):
         for s in segments_of(0, "abcdefghij" * 40)[:1] + segments_of(0, ("abcdefghij" * 40)[:n]):
