@@ -145,10 +145,19 @@ class CoModel:
 
 
 def co_train(
-    labelled: tuple[np.ndarray, np.ndarray], y: np.ndarray, pool: tuple[np.ndarray, np.ndarray], rounds: int = ROUNDS
+    labelled: tuple[np.ndarray, np.ndarray],
+    y: np.ndarray,
+    pool: tuple[np.ndarray, np.ndarray],
+    rounds: int = ROUNDS,
+    weights: np.ndarray | None = None,
 ) -> CoModel:
-    """Fit both views in rounds: what one is sure of among the pool becomes a pseudo-label for the other."""
-    usual = float(y.mean()) if len(y) else 1.0
+    """Fit both views in rounds: what one is sure of among the pool becomes a pseudo-label for the other.
+
+    ``weights`` say how many rows each labelled one stands for; they count in
+    proportion, 1 on average.
+    """
+    w = np.ones(len(y)) if weights is None or not len(y) else weights / weights.mean()
+    usual = float(np.average(y, weights=w)) if len(y) else 1.0
     held = np.arange(len(y)) % CALIBRATION == 0
     if any(not 0 < y[part].sum() < part.sum() for part in (held, ~held)):
         return CoModel(usual)
@@ -160,7 +169,7 @@ def co_train(
             extra = np.array(sorted(taught[side]), dtype=int)
             x = np.vstack([labelled[side][~held], pool[side][extra]])
             target = np.concatenate([y[~held], [taught[side][i] for i in extra]])
-            weight = np.concatenate([np.ones((~held).sum()), np.full(len(extra), PSEUDO_WEIGHT)])
+            weight = np.concatenate([w[~held], np.full(len(extra), PSEUDO_WEIGHT)])
             views.append(fit_view(x, target, weight))
         if turn == rounds:
             break
@@ -169,11 +178,10 @@ def co_train(
             for label, sureness in ((1.0, chance), (0.0, 1 - chance)):
                 new = [i for i in np.argsort(-sureness, kind="stable") if i not in taught[1 - side]][:HANDED]
                 taught[1 - side].update({int(i): label for i in new if sureness[i] >= SURE})
-    one = np.ones(held.sum())
     logits = [v.logits(x[held]) for v, x in zip(views, labelled, strict=True)]
-    calibrated = [_regression(z[:, None], y[held], one, pull=1e-2) for z in logits]
+    calibrated = [_regression(z[:, None], y[held], w[held], pull=1e-2) for z in logits]
     sides = np.column_stack([z * c[0] + c[1] for z, c in zip(logits, calibrated, strict=True)])
-    return CoModel(usual, tuple(views), tuple(calibrated), _regression(sides, y[held], one, pull=1e-2))
+    return CoModel(usual, tuple(views), tuple(calibrated), _regression(sides, y[held], w[held], pull=1e-2))
 
 
 def _numbers() -> Column:
@@ -196,13 +204,14 @@ def _inputs(df: DataFrame, text_column: str) -> list[Column]:
     return [(F.col(c) if c in df.columns else F.lit(None)).cast(k) for c, k in kinds.items()]
 
 
-def _gathered(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Numbers of a bounded sample as two matrices, and its labels, in order of the id's hash."""
-    found = rows.orderBy("_order").select("_numbers", "_label").toArrow()
+def _gathered(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Numbers of a bounded sample as two matrices, its labels and weights, in order of the id's hash."""
+    found = rows.orderBy("_order").select("_numbers", "_label", "_weight").toArrow()
     n = len(content_numbers("a"))
     matrix = np.array(found.column("_numbers").to_pylist(), dtype=float)
     matrix = matrix.reshape(found.num_rows, -1) if found.num_rows else np.zeros((0, n + 1))
-    return matrix[:, :n], matrix[:, n:], np.array(found.column("_label").to_pylist(), dtype=float)
+    labels, weights = (np.array(found.column(c).to_pylist(), dtype=float) for c in ("_label", "_weight"))
+    return matrix[:, :n], matrix[:, n:], labels, weights
 
 
 def fit_quality(
@@ -217,7 +226,7 @@ def fit_quality(
 ) -> CoModel:
     """Co-train on ``most_rows`` labelled rows of each label and ``pool_rows`` others at most.
 
-    Only the sampled ids are broadcast and only the numbers of the sample, not
+    Labelled rows are weighted to the shares of all labels. Only the sampled ids are broadcast and only the numbers of the sample, not
     its texts, reach the driver; both are bounded by these parameters. NULL
     labels and ids are left out. Without both labels the model is the share of
     good rows, or 1 without any label.
@@ -228,23 +237,23 @@ def fit_quality(
     pool_ids = F.broadcast(others.orderBy(F.xxhash64("_key"), "_key").limit(pool_rows))
     numbers = _numbers()
 
-    def sample(rows: DataFrame) -> tuple[tuple[np.ndarray, np.ndarray, np.ndarray], str]:
+    def sample(rows: DataFrame) -> tuple[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray], str]:
         # Written first: the texts are read once, in all parts of the table.
         made, path = written(
             rows.select(
-                F.xxhash64(id_column).alias("_order"), "_label", numbers(*_inputs(rows, text_column)).alias("_numbers")
+                F.xxhash64(id_column).alias("_order"), "_label", "_weight", numbers(*_inputs(rows, text_column)).alias("_numbers")
             ),
             "sample",
         )
         return _gathered(made), path
 
-    (content, page, y), first = sample(labelled_sample(docs, labels, label_column, id_column, most_rows))
-    chosen = docs.join(pool_ids, F.col(id_column) == F.col("_key")).withColumn("_label", F.lit(0))
-    (pool_content, pool_page, _), second = sample(chosen)
+    (content, page, y, weights), first = sample(labelled_sample(docs, labels, label_column, id_column, most_rows))
+    chosen = docs.join(pool_ids, F.col(id_column) == F.col("_key")).withColumns({"_label": F.lit(0), "_weight": F.lit(1.0)})
+    (pool_content, pool_page, *_), second = sample(chosen)
     drop(docs.sparkSession, first, second)
     if not len(pool_content):
         pool_content, pool_page = np.zeros((0, content.shape[1])), np.zeros((0, page.shape[1]))
-    return co_train((content, page), y, (pool_content, pool_page), rounds)
+    return co_train((content, page), y, (pool_content, pool_page), rounds, weights)
 
 
 def score_quality(df: DataFrame, model: CoModel, text_column: str = "text", out: str = "quality") -> DataFrame:

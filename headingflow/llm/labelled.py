@@ -18,6 +18,10 @@ def labelled_sample(
 ) -> DataFrame:
     """The rows of ``docs`` with ``_label`` 0 or 1, ``most`` of each at most: those with the smallest hash of the id.
 
+    ``_weight`` is how many labelled ids each row stands for: those of its label
+    over those sampled. Weighted rows have the shares of the whole, so what is
+    fitted on them does not depend on whether ``most`` was reached.
+
     Only the sampled ids are broadcast, and their number is bounded by ``most``,
     so the documents are not shuffled. NULL ids and other labels are left out;
     an id labelled twice keeps its larger label.
@@ -28,6 +32,9 @@ def labelled_sample(
         .groupBy("_key")
         .agg(F.max("_label").alias("_label"))
     )
+    totals = {r["_label"]: r["count"] for r in known.groupBy("_label").count().collect()}
     parts = [known.filter(F.col("_label") == v).orderBy(F.xxhash64("_key"), "_key").limit(most) for v in (0, 1)]
     chosen = F.broadcast(reduce(DataFrame.unionByName, parts))
-    return docs.join(chosen, F.col(id_column) == F.col("_key")).drop("_key")
+    one, zero = (F.lit(max(1.0, totals.get(v, 0) / most)) for v in (1, 0))
+    sampled = docs.join(chosen, F.col(id_column) == F.col("_key")).drop("_key")
+    return sampled.withColumn("_weight", F.when(F.col("_label") == 1, one).otherwise(zero))

@@ -167,7 +167,9 @@ def learn_lexicon(
 ) -> Lexicon:
     """Weigh words by their documents of either label, and fit base and slope of the score.
 
-    Of each label ``most_rows`` rows are used at most. Counting is a grouped
+    Of each label ``most_rows`` rows are used at most. Weights of words compare
+    shares within either label, which a sample of each keeps; base and slope are
+    fitted on rows weighted to the shares of all labels. Counting is a grouped
     aggregation; at most ``entries`` rows come to the driver. NULL labels are
     left out. Without toxic rows, or without others, the lexicon is empty and
     every score the share of toxic rows.
@@ -175,10 +177,11 @@ def learn_lexicon(
     spark = docs.sparkSession
     texts = docs.select(F.col(id_column), F.coalesce(F.col(text_column), F.lit("")).alias("_text"))
     sample = labelled_sample(texts, labels, label_column, id_column, most_rows)
-    rows, path = written(sample.select("_text", F.col("_label").alias("_toxic")), "labelled")
-    totals = {r["_toxic"]: r["count"] for r in rows.groupBy("_toxic").count().collect()}
+    rows, path = written(sample.select("_text", F.col("_label").alias("_toxic"), "_weight"), "labelled")
+    counted = rows.groupBy("_toxic").agg(F.count(F.lit(1)).alias("n"), F.sum("_weight").alias("whole")).collect()
+    totals, whole = ({r["_toxic"]: r[c] for r in counted} for c in ("n", "whole"))
     n_bad, n_good = totals.get(1, 0), totals.get(0, 0)
-    usual = math.log((n_bad + 0.5) / (n_good + 0.5)) if n_bad + n_good else -50.0
+    usual = math.log((whole.get(1, 0) + 0.5) / (whole.get(0, 0) + 0.5)) if n_bad + n_good else -50.0
     if not (n_bad and n_good):
         drop(spark, path)
         return Lexicon({}, exceptions, usual)
@@ -196,7 +199,10 @@ def learn_lexicon(
         for t, w in weights.items()
         if not any(weights.get(f"{t.rstrip('*')[:n]}*", 0.0) >= w for n in BEGINNINGS if n < len(t.rstrip("*")))
     }
-    base, slope = _fit(rows, Lexicon(weights, exceptions), usual)
+    # What a row of either label counts, 1 on average.
+    mean = sum(whole.values()) / (n_bad + n_good)
+    counts = {y: whole[y] / totals[y] / mean for y in totals}
+    base, slope = _fit(rows, Lexicon(weights, exceptions), usual, counts)
     drop(spark, path)
     return Lexicon(weights, exceptions, base, slope)
 
@@ -244,8 +250,11 @@ def _entries(bad: DataFrame, good: DataFrame, n_good: int, safe: float, most: in
     return {r["term"]: float(r["weight"]) for r in chosen}
 
 
-def _fit(rows: DataFrame, lexicon: Lexicon, usual: float) -> tuple[float, float]:
-    """Base and slope by logistic regression over a histogram of the densities: 200 classes, however many rows."""
+def _fit(rows: DataFrame, lexicon: Lexicon, usual: float, counts: dict[int, float]) -> tuple[float, float]:
+    """Base and slope by logistic regression over a histogram of the densities: 200 classes, however many rows.
+
+    A row counts as its label's entry of ``counts``.
+    """
     shared = rows.sparkSession.sparkContext.broadcast(lexicon)
 
     def densities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -255,7 +264,7 @@ def _fit(rows: DataFrame, lexicon: Lexicon, usual: float) -> tuple[float, float]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), batch.column("_toxic")], names=["d", "y"])
 
     table = rows.mapInArrow(densities, "d int, y int").groupBy("d", "y").count().collect()
-    points = [(r["d"] / 10, r["y"], r["count"]) for r in table]
+    points = [(r["d"] / 10, r["y"], r["count"] * counts[r["y"]]) for r in table]
     base, slope = usual, 1.0
     for _ in range(200):  # Newton's steps, with a small pull of the slope towards 1
         g0 = g1 = h00 = h01 = h11 = 0.0

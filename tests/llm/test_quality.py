@@ -133,6 +133,33 @@ def test_sample_is_bounded(spark):
     assert Counter(r["_label"] for r in found) == {0: 7, 1: 7}
 
 
+def test_sample_weights_restore_the_shares(spark):
+    docs = spark.range(100).selectExpr("id as doc_id", "'t' as text")
+    labels = spark.range(100).selectExpr("id as doc_id", "cast(id % 10 > 0 as int) as quality")
+    for most in (7, 10, 1000):
+        found = Counter()
+        for r in labelled_sample(docs, labels, "quality", most=most).collect():
+            found[r["_label"]] += r["_weight"]
+        assert found[0] == pytest.approx(10) and found[1] == pytest.approx(90)
+
+
+def test_the_share_kept_does_not_depend_on_the_sample(spark):
+    """86 % good, and texts that tell little: a bounded sample of each label keeps what all labels keep."""
+    chance = random.Random(8)
+    rows = []
+    for key in range(3000):
+        good = chance.random() < 0.86
+        words = [("word" if chance.random() < (0.62 if good else 0.5) else "WORD") + str(i) for i in range(25)]
+        rows.append((key, " ".join(words), int(good)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, quality int").repartition(4)
+    shares = []
+    for most in (50, 3000):
+        model = fit_quality(docs.drop("quality"), docs.drop("text"), most_rows=most)
+        found = [r.quality.probability for r in score_quality(docs.drop("quality"), model).collect()]
+        shares.append(sum(p >= 0.5 for p in found) / len(found))
+    assert abs(shares[0] - shares[1]) < 0.08, shares
+
+
 def test_classifier_on_held_out_labels(spark, sf_dir):
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")

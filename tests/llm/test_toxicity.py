@@ -74,6 +74,25 @@ def test_learned_words_find_held_out_texts(spark):
     assert all((scores[k] >= 0.3) == bool(toxic) for k, _, toxic in test)
 
 
+def test_the_share_called_toxic_does_not_depend_on_the_sample(spark):
+    """Toxic words in a third of the toxic texts only, and 8 % toxic: plain texts stay below the threshold."""
+    chance = random.Random(7)
+    rows = []
+    for key in range(2400):
+        words = [chance.choice(PLAIN) + chance.choice(["", "s", "en"]) for _ in range(chance.randint(10, 80))]
+        toxic = key % 12 == 0
+        if toxic and chance.random() < 0.35:
+            words[0] = "glorbish"
+        rows.append((key, " ".join(words), int(toxic)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    shares = []
+    for most in (50, 2400):
+        lexicon = learn_lexicon(docs.drop("toxic"), docs.drop("text"), most_rows=most)
+        scores = [r.score for r in score_toxicity(docs, lexicon).collect()]
+        shares.append(sum(x >= 0.3 for x in scores) / len(scores))
+    assert abs(shares[0] - shares[1]) < 0.05, shares
+
+
 def test_edge_cases(edge_docs, edge_rows, no_docs, spark):
     labels = spark.createDataFrame([(5, 1), (7, 0), (None, 1), (4, None)], "doc_id long, toxic int")
     lexicon = learn_lexicon(edge_docs, labels)
