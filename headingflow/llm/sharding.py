@@ -6,16 +6,17 @@ are interchangeable and travel as one cell, so a group has at most as many
 cells as there are shards, however many rows it has.
 """
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from headingflow.llm.storage import drop, written
 from headingflow.operators.numbering import number_rows
 
 SHARDS = 24
-ROUNDS = 8
-#: Classes of equal priority that a quota is cut between.
-_CLASSES = 1024
+#: Bits of the hash in a cell's key, below its priority, and how many of them each finer cut adds.
+_HASH_BITS, _STEP_BITS = 50, 10
+#: Cells that a shard passes over in a round, at most; those behind wait for the next.
+_PASSED_OVER = 64
 
 
 def _picked(values: list[int], index: Column) -> Column:
@@ -28,63 +29,83 @@ def _loads(cells: DataFrame, shards: int) -> list[int]:
     return [found.get(s, 0) for s in range(shards)]
 
 
-def propagate(cells: DataFrame, shards: int, quota: int, rounds: int = ROUNDS) -> tuple[DataFrame, str]:
+def _limits(wishes: DataFrame, room: list[int]) -> tuple[list[int], list[list[int]]]:
+    """For each shard the key below which cells go there, and the keys below it that do not.
+
+    Cells are taken in order of their keys while they fit, and one that does not
+    is passed over. Keys are counted in classes, and the class in which the room
+    ends in finer ones. One row for each target and class reaches the driver,
+    which the numbers of shards and classes bound.
+    """
+    shards = len(room)
+    left, limits, passed = list(room), [0] * shards, [[] for _ in room]
+    part = wishes
+    for shift in range(_HASH_BITS - _STEP_BITS, -1, -_STEP_BITS):
+        asked = part.groupBy("target", F.shiftright("key", shift).alias("class"))
+        sums = asked.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("cells"), F.min("key").alias("key"))
+        found = sums.orderBy("target", "class").toArrow()
+        cut, closed = [-1] * shards, set()
+        for target, number, n, cells, key in zip(*(c.to_pylist() for c in found.columns), strict=True):
+            if target in closed:
+                continue
+            if n <= left[target]:
+                left[target] -= n
+                limits[target] = number + 1 << shift
+            elif cells == 1 and len(passed[target]) < _PASSED_OVER:
+                passed[target].append(key)
+            else:
+                closed.add(target)
+                cut[target] = number if cells > 1 else -1
+        if max(cut) < 0:
+            break
+        part = wishes.filter(F.shiftright("key", shift) == _picked(cut, F.col("target")))
+    return limits, passed
+
+
+def propagate(cells: DataFrame, shards: int, quota: int) -> tuple[DataFrame, str]:
     """Move the cells ``grp, origin, shard, n`` towards the shards of their groups.
 
     In each round a cell wishes to go where most of its group is, if the shard
-    has room for it and holds more of the group than its own. A shard takes the
-    cells with the largest groups first, in classes, as long as their sum stays
-    within its room, so no shard exceeds ``quota`` by a move. Ends when nothing
-    moves. Returns the table and its path.
+    has room for it and holds more of the group than its own, or as much and has
+    a smaller number. A shard takes the cells with the largest groups first and
+    passes over those that do not fit, so no shard exceeds ``quota`` by a move.
+
+    Ends when no cell moves. It does end: the moves of a round all lead up one
+    order of the group's shards, so the sum of the squared totals of all groups
+    in all shards, a whole number with a bound, grows in each. Returns the table
+    and its path.
     """
     spark = cells.sparkSession
     cells, path = written(cells, "cells")
-    for _ in range(rounds):
+    while True:
         room = [max(0, quota - load) for load in _loads(cells, shards)]
         there = cells.groupBy("grp", "shard").agg(F.sum("n").alias("total"))
-        # At most one entry for each shard.
-        spread = there.groupBy("grp").agg(F.collect_list(F.struct("shard", "total")).alias("spread"))
+        # At most one entry for each shard, the best first.
+        entries = F.collect_list(F.struct("total", (-F.col("shard")).alias("minus")))
+        spread = there.groupBy("grp").agg(F.sort_array(entries, asc=False).alias("spread"))
         seen = cells.join(spread, "grp").withColumn(
-            "own", F.filter("spread", lambda x: x["shard"] == F.col("shard"))[0]["total"]
+            "own", F.filter("spread", lambda x: x["minus"] == -F.col("shard"))[0]
         )
-        better = F.filter(
-            "spread",
-            lambda x: (
-                ((x["total"] > F.col("own")) | ((x["total"] == F.col("own")) & (x["shard"] < F.col("shard"))))
-                & (_picked(room, x["shard"]) >= F.col("n"))
-            ),
-        )
-        best = F.array_max(F.transform(better, lambda x: F.struct(x["total"], (-x["shard"]).alias("minus"))))
-        wishes = seen.withColumn("_best", best).withColumns(
+        better = F.filter("spread", lambda x: (x > F.col("own")) & (_picked(room, -x["minus"]) >= F.col("n")))
+        wishes = seen.withColumn("_best", F.get(better, 0)).withColumns(
             {
-                "target": (-F.col("_best.minus")).cast("int"),
-                "class": (63 - F.floor(F.log2("_best.total"))) * _CLASSES
-                + F.pmod(F.xxhash64("grp", "origin"), F.lit(_CLASSES)),
+                "target": -F.col("_best.minus"),
+                "key": F.shiftleft(63 - F.floor(F.log2("_best.total")), _HASH_BITS)
+                + F.xxhash64("grp", "origin").bitwiseAND(F.lit((1 << _HASH_BITS) - 1)),
             }
         )
-        wishes, wishes_path = written(wishes.select("grp", "origin", "shard", "n", "target", "class"), "wishes")
-        # One row for each target and class, which the numbers of shards and classes bound.
-        asked = wishes.filter("target is not null").groupBy("target", "class").agg(F.sum("n").alias("n"))
-        upto = F.sum("n").over(Window.partitionBy("target").orderBy("class"))
-        cut = (
-            asked.withColumn("_upto", upto)
-            .filter(F.col("_upto") <= _picked(room, F.col("target")))
-            .groupBy("target")
-            .agg(F.max("class").alias("last"))
-            .collect()  # one row for each shard
-        )
-        last = {r["target"]: r["last"] for r in cut}
-        if not last:
+        wishes, wishes_path = written(wishes.select("grp", "origin", "shard", "n", "target", "key"), "wishes")
+        limits, passed = _limits(wishes.filter("target is not null"), room)
+        if not any(limits):
             drop(spark, wishes_path)
-            break
-        goes = F.col("target").isNotNull() & (
-            F.col("class") <= _picked([last.get(s, -1) for s in range(shards)], F.col("target"))
-        )
+            return cells, path
+        stays = F.array(*[F.array(*map(F.lit, keys)).cast("array<long>") for keys in passed])[F.col("target")]
+        below = F.col("key") < _picked(limits, F.col("target"))
+        goes = F.col("target").isNotNull() & below & ~F.array_contains(stays, F.col("key"))
         moved = wishes.withColumn("shard", F.when(goes, F.col("target")).otherwise(F.col("shard")))
         cells, new_path = written(moved.select("grp", "origin", "shard", "n"), "cells")
         drop(spark, path, wishes_path)
         path = new_path
-    return cells, path
 
 
 def assign_shards(
@@ -92,7 +113,6 @@ def assign_shards(
     id_column: str = "doc_id",
     text_column: str = "text",
     shards: int = SHARDS,
-    rounds: int = ROUNDS,
 ) -> DataFrame:
     """``id_column, size, text_crc32, law, shard, slot, grown_shard`` for every row.
 
@@ -100,7 +120,7 @@ def assign_shards(
     first shards have the odd rows. ``slot`` numbers the rows of a shard from 0
     without gaps. ``size`` is the text in UTF-8 bytes plus 8.
 
-    Linked rows move by label propagation within the quotas; rows without a copy
+    Linked rows move by label propagation within the quotas until none moves; rows without a copy
     go where they fall by the hash of their id, and at the end the rows above a
     quota, those without a copy first, fill the shards below theirs. A group
     larger than a shard fills as few shards as its cells allow.
@@ -128,7 +148,7 @@ def assign_shards(
     counted = base.groupBy("grp", "origin").agg(F.count(F.lit(1)).alias("n"))
     groups = counted.groupBy("grp").agg(F.sum("n").alias("_rows")).filter("_rows > 1").drop("_rows")
     cells = counted.join(groups, "grp").withColumn("shard", F.col("origin"))
-    moved, moved_path = propagate(cells.select("grp", "origin", "shard", "n"), shards, total // shards, rounds)
+    moved, moved_path = propagate(cells.select("grp", "origin", "shard", "n"), shards, total // shards)
 
     goal = moved.select("grp", "origin", F.col("shard").alias("_goal"))
     placed = base.join(goal, ["grp", "origin"], "left").select(

@@ -1,3 +1,4 @@
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -43,6 +44,29 @@ def test_groups_stay_together_and_a_hot_one_fills_few_shards(spark):
     assert len(split) <= 6
 
 
+def test_moves_go_on_until_none_is_left(spark):
+    """24,000 rows: nearly equal cells of a hot group, and small groups that wait for them."""
+    chance, quota = random.Random(1), 1000
+    rows = ["hot"] * 8000 + [f"group {i // 4}" for i in range(4000)]
+    cells = Counter((g, chance.randrange(24)) for g in rows)
+    table = spark.createDataFrame([(g, s, s, n) for (g, s), n in cells.items()], "grp string, origin int, shard int, n long")
+    found = propagate(table, 24, quota)[0].collect()
+    assert Counter({(r.grp, r.origin): r.n for r in found}) == cells
+    loads, totals = Counter(), defaultdict(Counter)
+    for r in found:
+        loads[r.shard] += r.n
+        totals[r.grp][r.shard] += r.n
+    assert max(loads.values()) <= quota
+    could = [
+        r
+        for r in found
+        for s, n in totals[r.grp].items()
+        if (n, -s) > (totals[r.grp][r.shard], -r.shard) and quota - loads[s] >= r.n
+    ]
+    split = sum(len(t) > 1 for g, t in totals.items() if g != "hot")
+    assert (len(could), split <= 10, len(totals["hot"]) <= 14) == (0, True, True), (len(could), split, len(totals["hot"]))
+
+
 def test_moves_keep_the_quota(spark):
     cells = [(f"g{i % 9}", i % 4, i % 4, 5 + i % 3) for i in range(36)]
     table = spark.createDataFrame(cells, "grp string, origin int, shard int, n long")
