@@ -1,13 +1,14 @@
 """Quality by co-training: a view of the text and a view of the page teach each other.
 
 Both classifiers are logistic regressions over a few numbers of each document.
-They are fitted on a bounded sample of labelled rows and of rows without a
+They are fitted on a bounded sample of labelled rows and on all rows without a
 label; every document is scored.
 """
 
 import math
 import operator
 import zlib
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,11 +19,9 @@ from pyspark.sql import functions as F
 from headingflow.llm.labelled import LABELLED_ROWS, labelled_sample
 from headingflow.llm.storage import drop, written
 
-#: Rows without a label that the views exchange pseudo-labels on, at most.
-POOL_ROWS = 20_000
 ROUNDS = 4
-#: A view hands on what it is this sure of, in each round this many of either label at most.
-SURE, HANDED = 0.95, 1000
+#: A view hands on what it is this sure of.
+SURE = 0.95
 #: Weight of a pseudo-label beside a label.
 PSEUDO_WEIGHT = 0.5
 #: Every so many labelled rows are left out of the fits, to calibrate and combine the views.
@@ -94,29 +93,102 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30.0, 30.0)))
 
 
-def _regression(x: np.ndarray, y: np.ndarray, w: np.ndarray, pull: float) -> np.ndarray:
-    """Weights and a constant last, by Newton's steps with a ridge."""
+def _slopes(x: np.ndarray, y: np.ndarray, w: np.ndarray, beta: np.ndarray) -> np.ndarray:
+    """Gradient and Hessian of the log-likelihood, in one line, as sums over the rows; the constant is last."""
     x = np.hstack([x, np.ones((len(x), 1))])
-    ridge = np.full(x.shape[1], pull)
+    p = _sigmoid(x @ beta)
+    hessian = (x * (w * np.maximum(p * (1 - p), 1e-9))[:, None]).T @ x
+    return np.concatenate([x.T @ (w * (y - p)), hessian.ravel()])
+
+
+def _step(slopes: np.ndarray, beta: np.ndarray, pull: float) -> np.ndarray:
+    """Newton's step with a ridge."""
+    n = len(beta)
+    ridge = np.full(n, pull)
     ridge[-1] = 1e-6
-    beta = np.zeros(x.shape[1])
+    return np.linalg.solve(slopes[n:].reshape(n, n) + np.diag(ridge), slopes[:n] - ridge * beta)
+
+
+def _regression(x: np.ndarray, y: np.ndarray, w: np.ndarray, pull: float) -> np.ndarray:
+    """Weights and a constant last, by Newton's steps with a ridge."""
+    beta = np.zeros(x.shape[1] + 1)
     for _ in range(50):
-        p = _sigmoid(x @ beta)
-        gradient = x.T @ (w * (y - p)) - ridge * beta
-        hessian = (x * (w * np.maximum(p * (1 - p), 1e-9))[:, None]).T @ x + np.diag(ridge)
-        step = np.linalg.solve(hessian, gradient)
+        step = _step(_slopes(x, y, w, beta), beta, pull)
         beta += np.clip(step, -3.0, 3.0)
         if np.abs(step).max() < 1e-8:
             break
     return beta
 
 
-def fit_view(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> View:
-    mean = np.average(x, axis=0, weights=w)
-    scale = np.sqrt(np.average((x - mean) ** 2, axis=0, weights=w))
-    scale[scale < 1e-9] = 1.0
-    standard = np.clip((x - mean) / scale, -8.0, 8.0)
-    return View(mean, scale, _regression(standard, y, w, pull=1.0))
+Views = tuple[View, View]
+#: Sums, of the given number, that a function of both views' numbers makes of the rows without a label.
+Over = Callable[[Callable[[np.ndarray, np.ndarray], np.ndarray], int], np.ndarray]
+
+
+def _taught(past: list[Views], side: int, pool: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Pseudo-labels for a view, by the first round in which the other was sure; NaN where it never was."""
+    found = np.full(len(pool[side]), np.nan)
+    for views in past:
+        chance = _sigmoid(views[1 - side].logits(pool[1 - side]))
+        new = np.isnan(found)
+        found[new & (chance >= SURE)] = 1.0
+        found[new & (1 - chance >= SURE)] = 0.0
+    return found
+
+
+def fit_views(
+    labelled: tuple[np.ndarray, np.ndarray], y: np.ndarray, w: np.ndarray, over: Over, past: list[Views]
+) -> Views:
+    """Both views, fitted on the labelled rows and on all that the ``past`` views hand over.
+
+    Rows without a label come in as sums: one pass for mean and deviation, one
+    for each of Newton's steps.
+    """
+    middle = [x.mean(axis=0) for x in labelled]
+    sizes = [x.shape[1] for x in labelled]
+
+    def moments(*pool: np.ndarray) -> np.ndarray:
+        parts = []
+        for side in (0, 1):
+            x = pool[side][~np.isnan(_taught(past, side, pool))] - middle[side]
+            parts += [[len(x)], x.sum(axis=0), (x**2).sum(axis=0)]
+        return PSEUDO_WEIGHT * np.concatenate(parts)
+
+    total = sum(2 * n + 1 for n in sizes)
+    sums = over(moments, total) if past else np.zeros(total)
+    scales = []
+    for x, m, n, part in zip(labelled, middle, sizes, np.split(sums, [2 * sizes[0] + 1]), strict=True):
+        count = w.sum() + part[0]
+        shift = (w @ (x - m) + part[1 : n + 1]) / count
+        scale = np.sqrt(np.maximum((w @ (x - m) ** 2 + part[n + 1 :]) / count - shift**2, 0.0))
+        scale[scale < 1e-9] = 1.0
+        scales.append((m + shift, scale))
+
+    def standard(x: np.ndarray, side: int) -> np.ndarray:
+        return np.clip((x - scales[side][0]) / scales[side][1], -8.0, 8.0)
+
+    betas = [np.zeros(n + 1) for n in sizes]
+    lengths = [(n + 1) * (n + 2) for n in sizes]
+    own = [standard(x, side) for side, x in enumerate(labelled)]
+    for _ in range(50):
+
+        def slopes(*pool: np.ndarray, betas: list[np.ndarray] = betas) -> np.ndarray:
+            parts = []
+            for side in (0, 1):
+                label = _taught(past, side, pool)
+                x, known = standard(pool[side][~np.isnan(label)], side), label[~np.isnan(label)]
+                parts.append(_slopes(x, known, np.full(len(x), PSEUDO_WEIGHT), betas[side]))
+            return np.concatenate(parts)
+
+        sums = over(slopes, sum(lengths)) if past else np.zeros(sum(lengths))
+        steps = [
+            _step(_slopes(x, y, w, beta) + part, beta, pull=1.0)
+            for x, beta, part in zip(own, betas, np.split(sums, [lengths[0]]), strict=True)
+        ]
+        betas = [beta + np.clip(step, -3.0, 3.0) for beta, step in zip(betas, steps, strict=True)]
+        if max(np.abs(step).max() for step in steps) < 1e-6:
+            break
+    return tuple(View(*scale, beta) for scale, beta in zip(scales, betas, strict=True))
 
 
 @dataclass(frozen=True)
@@ -147,12 +219,13 @@ class CoModel:
 def co_train(
     labelled: tuple[np.ndarray, np.ndarray],
     y: np.ndarray,
-    pool: tuple[np.ndarray, np.ndarray],
+    pool: tuple[np.ndarray, np.ndarray] | Over,
     rounds: int = ROUNDS,
     weights: np.ndarray | None = None,
 ) -> CoModel:
-    """Fit both views in rounds: what one is sure of among the pool becomes a pseudo-label for the other.
+    """Fit both views in rounds: all that one is sure of among the pool become pseudo-labels for the other.
 
+    The pool is given as numbers, or as what sums a function over them.
     ``weights`` say how many rows each labelled one stands for; they count in
     proportion, 1 on average.
     """
@@ -161,27 +234,15 @@ def co_train(
     held = np.arange(len(y)) % CALIBRATION == 0
     if any(not 0 < y[part].sum() < part.sum() for part in (held, ~held)):
         return CoModel(usual)
-    taught: list[dict[int, float]] = [{}, {}]  # for each view, the pseudo-labels of pool rows
-    views: list[View] = []
-    for turn in range(rounds + 1):
-        views = []
-        for side in (0, 1):
-            extra = np.array(sorted(taught[side]), dtype=int)
-            x = np.vstack([labelled[side][~held], pool[side][extra]])
-            target = np.concatenate([y[~held], [taught[side][i] for i in extra]])
-            weight = np.concatenate([w[~held], np.full(len(extra), PSEUDO_WEIGHT)])
-            views.append(fit_view(x, target, weight))
-        if turn == rounds:
-            break
-        for side in (0, 1):
-            chance = _sigmoid(views[side].logits(pool[side])) if len(pool[side]) else np.zeros(0)
-            for label, sureness in ((1.0, chance), (0.0, 1 - chance)):
-                new = [i for i in np.argsort(-sureness, kind="stable") if i not in taught[1 - side]][:HANDED]
-                taught[1 - side].update({int(i): label for i in new if sureness[i] >= SURE})
+    over = pool if callable(pool) else lambda part, size: part(*pool)
+    past: list[Views] = []
+    for _ in range(rounds + 1):
+        past.append(fit_views(tuple(x[~held] for x in labelled), y[~held], w[~held], over, past.copy()))
+    views = past[-1]
     logits = [v.logits(x[held]) for v, x in zip(views, labelled, strict=True)]
     calibrated = [_regression(z[:, None], y[held], w[held], pull=1e-2) for z in logits]
     sides = np.column_stack([z * c[0] + c[1] for z, c in zip(logits, calibrated, strict=True)])
-    return CoModel(usual, tuple(views), tuple(calibrated), _regression(sides, y[held], w[held], pull=1e-2))
+    return CoModel(usual, views, tuple(calibrated), _regression(sides, y[held], w[held], pull=1e-2))
 
 
 def _numbers() -> Column:
@@ -206,12 +267,33 @@ def _inputs(df: DataFrame, text_column: str) -> list[Column]:
 
 def _gathered(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Numbers of a bounded sample as two matrices, its labels and weights, in order of the id's hash."""
-    found = rows.orderBy("_order").select("_numbers", "_label", "_weight").toArrow()
-    n = len(content_numbers("a"))
-    matrix = np.array(found.column("_numbers").to_pylist(), dtype=float)
-    matrix = matrix.reshape(found.num_rows, -1) if found.num_rows else np.zeros((0, n + 1))
+    found = rows.orderBy(F.xxhash64("_id"), "_numbers").select("_numbers", "_label", "_weight").toArrow()
+    content, page = _matrices(found.column("_numbers").combine_chunks())
     labels, weights = (np.array(found.column(c).to_pylist(), dtype=float) for c in ("_label", "_weight"))
-    return matrix[:, :n], matrix[:, n:], labels, weights
+    return content, page, labels, weights
+
+
+def _matrices(numbers: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    n = len(content_numbers("a"))
+    width = n + len(page_numbers("a", None, None, None))
+    matrix = numbers.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+    return matrix[:, :n], matrix[:, n:]
+
+
+def _over(rows: DataFrame) -> Over:
+    """Sums over the column ``_numbers``: one row of sums for each task reaches the driver."""
+
+    def over(part: Callable[[np.ndarray, np.ndarray], np.ndarray], size: int) -> np.ndarray:
+        def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros(size)
+            for batch in batches:
+                total += part(*_matrices(batch.column("_numbers")))
+            yield pa.RecordBatch.from_arrays([pa.array([total], pa.list_(pa.float64()))], names=["sums"])
+
+        found = rows.mapInArrow(added, "sums array<double>").toArrow().column("sums")
+        return np.sum([np.zeros(size), *(x.values.to_numpy() for x in found)], axis=0)
+
+    return over
 
 
 def fit_quality(
@@ -221,39 +303,27 @@ def fit_quality(
     text_column: str = "text",
     label_column: str = "quality",
     most_rows: int = LABELLED_ROWS,
-    pool_rows: int = POOL_ROWS,
     rounds: int = ROUNDS,
 ) -> CoModel:
-    """Co-train on ``most_rows`` labelled rows of each label and ``pool_rows`` others at most.
+    """Co-train on ``most_rows`` labelled rows of each label at most, and on all rows without a label.
 
-    Labelled rows are weighted to the shares of all labels. Only the sampled ids are broadcast and only the numbers of the sample, not
-    its texts, reach the driver; both are bounded by these parameters. NULL
-    labels and ids are left out. Without both labels the model is the share of
-    good rows, or 1 without any label.
+    Labelled rows are weighted to the shares of all labels. The numbers of all
+    rows are written once; only those of the labelled sample reach the driver,
+    and of the others sums of a fixed size for each task. NULL labels and ids are
+    left out. Without both labels the model is the share of good rows, or 1
+    without any label.
     """
-    ids = docs.select(F.col(id_column).alias("_key")).dropna()
-    known = labels.select(F.col(id_column).alias("_key")).distinct()
-    others = ids.join(known, "_key", "left_anti").distinct()
-    pool_ids = F.broadcast(others.orderBy(F.xxhash64("_key"), "_key").limit(pool_rows))
-    numbers = _numbers()
-
-    def sample(rows: DataFrame) -> tuple[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray], str]:
-        # Written first: the texts are read once, in all parts of the table.
-        made, path = written(
-            rows.select(
-                F.xxhash64(id_column).alias("_order"), "_label", "_weight", numbers(*_inputs(rows, text_column)).alias("_numbers")
-            ),
-            "sample",
-        )
-        return _gathered(made), path
-
-    (content, page, y, weights), first = sample(labelled_sample(docs, labels, label_column, id_column, most_rows))
-    chosen = docs.join(pool_ids, F.col(id_column) == F.col("_key")).withColumns({"_label": F.lit(0), "_weight": F.lit(1.0)})
-    (pool_content, pool_page, *_), second = sample(chosen)
-    drop(docs.sparkSession, first, second)
-    if not len(pool_content):
-        pool_content, pool_page = np.zeros((0, content.shape[1])), np.zeros((0, page.shape[1]))
-    return co_train((content, page), y, (pool_content, pool_page), rounds, weights)
+    spark = docs.sparkSession
+    made = docs.select(F.col(id_column).alias("_id"), _numbers()(*_inputs(docs, text_column)).alias("_numbers"))
+    numbers, first = written(made.filter("_id is not null"), "numbers")
+    known, second = written(labels.select(F.col(id_column).alias("_key")).dropna().distinct(), "known")
+    others = numbers.join(known, F.col("_id") == F.col("_key"), "left_anti").select("_numbers")
+    pool, third = written(others, "pool")
+    named = labels.withColumnRenamed(id_column, "_id")
+    content, page, y, weights = _gathered(labelled_sample(numbers, named, label_column, "_id", most_rows))
+    model = co_train((content, page), y, _over(pool), rounds, weights)
+    drop(spark, first, second, third)
+    return model
 
 
 def score_quality(df: DataFrame, model: CoModel, text_column: str = "text", out: str = "quality") -> DataFrame:

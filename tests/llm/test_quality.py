@@ -106,6 +106,45 @@ def test_views_teach_each_other():
     assert right(both) >= right(alone.score(*test)[2]) - 0.02
 
 
+def test_all_sure_rows_are_handed_over():
+    """After one round the view of the page is the fit on the labels and on every row the view of the text is sure of."""
+    chance = np.random.default_rng(5)
+
+    def rows(n):
+        y = (chance.random(n) < 0.6).astype(float)
+        return (2.5 * y[:, None] + chance.normal(size=(n, 2)) - 1, 2.5 * y[:, None] + chance.normal(size=(n, 3)) - 1), y
+
+    small, y = rows(200)
+    pool, _ = rows(8000)
+    fit = np.arange(200) % co_training.CALIBRATION != 0
+    p = 1 / (1 + np.exp(-co_train(small, y, pool, rounds=0).views[0].logits(pool[0])))
+    sure = (p >= co_training.SURE) | (1 - p >= co_training.SURE)
+    assert (p[sure] > 0.5).sum() > 1000
+    x, target = np.vstack([small[1][fit], pool[1][sure]]), np.concatenate([y[fit], p[sure] > 0.5])
+    w = np.concatenate([np.ones(fit.sum()), np.full(sure.sum(), co_training.PSEUDO_WEIGHT)])
+    mean = np.average(x, axis=0, weights=w)
+    scale = np.sqrt(np.average((x - mean) ** 2, axis=0, weights=w))
+    beta = co_training._regression(np.clip((x - mean) / scale, -8, 8), target, w, pull=1.0)
+    page = co_train(small, y, pool, rounds=1).views[1]
+    assert np.allclose(page.mean, mean) and np.allclose(page.scale, scale)
+    assert np.allclose(page.weights, beta, atol=1e-5)
+
+
+def test_sums_over_a_table_equal_those_in_memory(spark):
+    chance = np.random.default_rng(6)
+    width = len(co_training.content_numbers("a")) + len(co_training.page_numbers("a", None, None, None))
+    numbers = chance.normal(size=(500, width))
+    table = spark.createDataFrame([(r.tolist(),) for r in numbers], "_numbers array<double>").repartition(5)
+
+    def part(content, page):
+        return np.concatenate([content.sum(axis=0), (page**2).sum(axis=0)])
+
+    n = len(co_training.content_numbers("a"))
+    expected = part(numbers[:, :n], numbers[:, n:])
+    assert np.allclose(co_training._over(table)(part, width), expected)
+    assert np.allclose(co_training._over(table.limit(0))(part, width), 0)
+
+
 def test_one_label_gives_its_share(edge_docs, spark):
     labels = spark.createDataFrame([(5, 1), (6, None), (None, 0)], "doc_id long, quality int")
     scored = score_quality(edge_docs, fit_quality(edge_docs, labels))
