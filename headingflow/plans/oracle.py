@@ -229,13 +229,13 @@ ranked AS (
     CAST(sum(n) OVER () AS BIGINT) AS total
   FROM heading_counts)"""
 
-COLLAPSED = """
+COLLAPSED_TRAINING = """
 collapsed AS (
   SELECT pq_id, department, CASE WHEN n < 8 THEN 'Other' ELSE heading END AS heading_collapsed
   FROM pq_questions JOIN heading_counts USING (heading))"""
 
 TRAINED = (
-    QUESTIONS, COUNTS, COLLAPSED, f"\nparts AS ({split_sql('heading_collapsed', 'collapsed')})", CLEAN, WORDS, BAYES
+    QUESTIONS, COUNTS, COLLAPSED_TRAINING, f"\nparts AS ({split_sql('heading_collapsed', 'collapsed')})", CLEAN, WORDS, BAYES
 )
 
 
@@ -448,10 +448,7 @@ coded AS (
     "run_metadata": with_(
         QUESTIONS,
         COUNTS,
-        """
-collapsed AS (
-  SELECT pq_id, department, CASE WHEN n < 8 THEN 'Other' ELSE heading END AS heading_collapsed
-  FROM pq_questions JOIN heading_counts USING (heading))""",
+        COLLAPSED_TRAINING,
         f"\nparts AS ({split_sql('heading_collapsed', 'collapsed')})",
     )
     + """SELECT count(DISTINCT department) AS n_departments, count(DISTINCT heading_collapsed) AS n_headings,

@@ -34,8 +34,3 @@ def spark(tmp_path_factory):
 @pytest.fixture(scope="session")
 def sf_dir():
     return SF_DIR
-
-
-def column(df, name=None):
-    """The values of one column, or of the only one."""
-    return [row[name or 0] for row in df.collect()]

@@ -1,6 +1,6 @@
 import numpy as np
 import pytest
-from conftest import column
+from frames import column
 from pyspark.sql import functions as F
 
 from headingflow.functions.candidates import (

@@ -2,7 +2,7 @@ import random
 from collections import Counter
 
 import pytest
-from conftest import column
+from frames import column
 from pyspark.sql import functions as F
 
 from headingflow.operators import labels

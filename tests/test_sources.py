@@ -3,7 +3,7 @@ import os
 from pathlib import Path
 
 import pytest
-from conftest import column
+from frames import column
 from pyspark.sql import functions as F
 
 from headingflow.operators import guards

@@ -5,7 +5,7 @@ import re
 from collections import Counter, defaultdict
 
 import pytest
-from conftest import column
+from frames import column
 
 from headingflow.operators import split as split_module
 from headingflow.operators.split import split_by_day, split_rows

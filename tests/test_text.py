@@ -3,7 +3,7 @@ import re
 import unicodedata
 
 import pytest
-from conftest import column
+from frames import column
 from pyspark.sql import functions as F
 
 from headingflow.functions.text import (

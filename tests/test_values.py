@@ -1,7 +1,7 @@
 from datetime import date
 
 import pytest
-from conftest import column
+from frames import column
 from pyspark.sql import functions as F
 
 from headingflow.functions.values import first_non_empty, number, parse_day
