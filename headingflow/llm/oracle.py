@@ -53,3 +53,32 @@ summed AS (
   SELECT *, sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY key) AS upto FROM keyed)
 SELECT doc_id, domain, lang, source, n_tokens, (whole + CASE WHEN upto <= rest THEN 1 ELSE 0 END)::BIGINT AS copies
 FROM summed"""
+
+
+SEARCH_SQL = r"""
+WITH upper AS (SELECT 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' AS u),
+texts AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(translate(text, u, lower(u)), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents, upper),
+counted AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(terms) AS term FROM texts) t GROUP BY r, term),
+totals AS (
+  SELECT CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(len(terms)) AS BIGINT) AS n_terms
+  FROM texts WHERE len(terms) > 0),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2.0E0 * any_value(n_docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM counted, totals GROUP BY term),
+wanted AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, u, lower(u)),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark, upper),
+scores AS (
+  SELECT item_id, r, any_value(doc_id) AS doc_id,
+    CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * len(terms) * n_docs) // n_terms)))) AS BIGINT) AS score
+  FROM wanted JOIN weights USING (term) JOIN counted USING (term) JOIN texts USING (r), totals
+  GROUP BY item_id, r)
+SELECT * FROM (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank,
+    doc_id, score
+  FROM scores WHERE score > 0) t WHERE rank <= 10
+"""

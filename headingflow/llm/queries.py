@@ -12,7 +12,8 @@ from headingflow.llm.co_training import fit_quality, score_quality
 from headingflow.llm.decontamination import find_passages
 from headingflow.llm.mixing import SEED, mix, word_tokens
 from headingflow.llm.near_duplicates import near_duplicates
-from headingflow.llm.oracle import mixing_sql
+from headingflow.llm.oracle import SEARCH_SQL, mixing_sql
+from headingflow.llm.ranked_search import build_index, search
 from headingflow.llm.sharding import assign_shards
 from headingflow.llm.storage import new_path
 from headingflow.llm.token_counts import count_tokens
@@ -141,6 +142,13 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = build_index(table(spark, sf_dir, "documents"))
+    found = search(index, table(spark, sf_dir, "benchmark"))
+    index.drop()
+    return found
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_quality_rules": op2_quality_rules,
@@ -152,7 +160,9 @@ QUERIES = {
     "op8_shards": op8_shards,
     "op9_token_files": op9_token_files,
     "op10_warc": op10_warc,
+    "op13_ranked_search": op13_ranked_search,
 }
 ORACLE: dict[str, str] = {
     "op4_mixing": mixing_sql("SELECT * FROM documents", MIX_WEIGHTS, domain_sql("TRY_CAST"), SEED),
+    "op13_ranked_search": SEARCH_SQL,
 }
