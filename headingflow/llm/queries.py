@@ -7,6 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from headingflow.llm.alignment import align
 from headingflow.llm.co_training import THRESHOLD as QUALITY_THRESHOLD
 from headingflow.llm.co_training import fit_quality, score_quality
 from headingflow.llm.decontamination import find_passages
@@ -142,6 +143,12 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    a, b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return align(docs, a, b, digest=True).docs.withColumnRenamed("groups", "groups_sha256")
+
+
 def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = build_index(table(spark, sf_dir, "documents"))
     found = search(index, table(spark, sf_dir, "benchmark"))
@@ -160,6 +167,7 @@ QUERIES = {
     "op8_shards": op8_shards,
     "op9_token_files": op9_token_files,
     "op10_warc": op10_warc,
+    "op12_token_alignment": op12_token_alignment,
     "op13_ranked_search": op13_ranked_search,
 }
 ORACLE: dict[str, str] = {
