@@ -82,3 +82,24 @@ SELECT * FROM (
     doc_id, score
   FROM scores WHERE score > 0) t WHERE rank <= 10
 """
+
+
+REPEATS_SQL = f"""
+WITH texts AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce({WORDS.format("text")}, []) AS words FROM documents),
+windows AS (
+  SELECT r, p, array_to_string(words[p:p + 34], ' ') AS w
+  FROM (SELECT r, words, unnest(range(1, len(words) - 33)) AS p FROM texts) t),
+again AS (SELECT r, p, count(*) OVER (PARTITION BY w) > 1 AS again FROM windows),
+places AS (SELECT r, words, unnest(range(1, len(words) + 1)) AS p FROM texts),
+judged AS (
+  SELECT r, p, words[p] AS word, bool_or(coalesce(again, false))
+    OVER (PARTITION BY r ORDER BY p ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) AS gone
+  FROM places LEFT JOIN again USING (r, p)),
+cleaned AS (
+  SELECT r, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY p) FILTER (NOT gone) AS kept
+  FROM judged GROUP BY r)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256
+FROM texts LEFT JOIN cleaned USING (r)
+"""

@@ -13,8 +13,9 @@ from headingflow.llm.co_training import fit_quality, score_quality
 from headingflow.llm.decontamination import find_passages
 from headingflow.llm.mixing import SEED, mix, word_tokens
 from headingflow.llm.near_duplicates import near_duplicates
-from headingflow.llm.oracle import SEARCH_SQL, mixing_sql
+from headingflow.llm.oracle import REPEATS_SQL, SEARCH_SQL, mixing_sql
 from headingflow.llm.ranked_search import build_index, search
+from headingflow.llm.repeats import remove_repeats
 from headingflow.llm.sharding import assign_shards
 from headingflow.llm.storage import new_path
 from headingflow.llm.token_counts import count_tokens
@@ -143,6 +144,11 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = remove_repeats(table(spark, sf_dir, "documents"), digest=True)
+    return cleaned.withColumnRenamed("kept", "kept_sha256")
+
+
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     a, b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
@@ -167,10 +173,12 @@ QUERIES = {
     "op8_shards": op8_shards,
     "op9_token_files": op9_token_files,
     "op10_warc": op10_warc,
+    "op11_repeated_passages": op11_repeated_passages,
     "op12_token_alignment": op12_token_alignment,
     "op13_ranked_search": op13_ranked_search,
 }
 ORACLE: dict[str, str] = {
     "op4_mixing": mixing_sql("SELECT * FROM documents", MIX_WEIGHTS, domain_sql("TRY_CAST"), SEED),
+    "op11_repeated_passages": REPEATS_SQL,
     "op13_ranked_search": SEARCH_SQL,
 }

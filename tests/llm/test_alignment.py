@@ -1,5 +1,6 @@
 import hashlib
 import random
+from bisect import bisect_right
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -46,13 +47,23 @@ def expected_of(libraries, text):
     own_a = list(spans((i, len(a_bytes[i])) for i in ids_a))
     own_b = list(spans((i, len(b_bytes(i))) for i in ids_b))
     cuts = sorted({e for *_, e in own_a} & {e for *_, e in own_b})
+    ends_of = [[e for *_, e in own] for own in (own_a, own_b)]
     groups = []
     low = 0
     for high in cuts:
-        inside = [",".join(str(i) for i, s, e in own if low <= s and e <= high) for own in (own_a, own_b)]
+        inside = [
+            ",".join(str(i) for i, *_ in own[bisect_right(ends, low) : bisect_right(ends, high)])
+            for own, ends in zip((own_a, own_b), ends_of, strict=True)
+        ]
         groups.append("|".join(inside))
         low = high
-    links = [(x, y) for x, s, e in own_a for y, t, f in own_b if s < f and t < e]
+    ends = [e for *_, e in own_b]
+    links = []
+    for x, s, e in own_a:
+        for y, t, _ in own_b[bisect_right(ends, s) :]:
+            if t >= e:
+                break
+            links.append((x, y))
     return len(ids_a), len(ids_b), groups, links
 
 
