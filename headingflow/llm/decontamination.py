@@ -12,9 +12,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from headingflow.llm.storage import drop, new_path
+
 Q = 7
 #: Edits for each character of a segment.
 EDITS = 0.10
@@ -26,6 +29,8 @@ BLOCK = 1 << 21
 MOST_SEGMENTS, MOST_DOCUMENTS = 1 << 17, 1 << 14
 #: Characters of documents that are searched at once, but for a longer document.
 RUN = 1 << 19
+#: Pairs of equal q-grams that are counted at once, about, and bands aligned at once.
+PAIRS, TOGETHER = 1 << 18, 1 << 11
 _FACTOR = 0x9E3779B97F4A7C15
 _SIEVE_BITS = 22
 
@@ -95,32 +100,52 @@ class GramIndex:
         self.width = max(2, 2 * max((s.edits for s in segments), default=1))
         self.bounds = np.array([s.bound for s in segments], dtype=np.int64)
 
-    def bands(self, points: np.ndarray, starts: np.ndarray) -> list[tuple[int, int, int]]:
-        """Documents, segments and first diagonals of the bands that reach the bound.
+    def bands(self, points: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Rows of document, segment and first diagonal of the bands that reach the bound.
 
         ``points`` are the documents that begin at ``starts``; diagonals count from there.
         """
         codes = gram_codes(points, self.q)
         at = np.flatnonzero(self.sieve[codes >> np.uint64(64 - _SIEVE_BITS)])
         if not len(at) or not len(self.codes):
-            return []
+            return np.zeros((0, 3), dtype=np.int64)
         slot = np.minimum(np.searchsorted(self.codes, codes[at]), len(self.codes) - 1)
         same = self.codes[slot] == codes[at]
         at, slot = at[same], slot[same]
         times = self.n[slot]
-        place = np.repeat(self.first[slot] - (np.cumsum(times) - times), times) + np.arange(times.sum())
-        owner = self.owners[place].astype(np.int64)
         doc = np.searchsorted(starts, at, side="right") - 1
         offset = 1 << 20  # longer than any segment
-        diagonal = np.repeat(at - starts[doc], times) - self.places[place] + offset
-        who = np.repeat(doc, times) << 17 | owner
-        found: list[tuple[int, int, int]] = []
-        for shift in (0, self.width // 2):
-            keys, counts = np.unique(who << 32 | (diagonal + shift) // self.width, return_counts=True)
+        shifts = (0, self.width // 2)
+        total = [(np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)) for _ in shifts]
+        # A q-gram that text and items repeat meets many places; pairs are counted some at a time.
+        done = np.cumsum(times)
+        cuts = np.searchsorted(done, np.arange(PAIRS, done[-1] if len(done) else 0, PAIRS), side="left") + 1
+        for low, high in zip([0, *cuts.tolist()], [*cuts.tolist(), len(at)], strict=True):
+            if low >= high:
+                continue
+            some, n = slice(low, high), times[low:high]
+            place = np.repeat(self.first[slot[some]] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            diagonal = np.repeat(at[some] - starts[doc[some]] + offset, n) - self.places[place]
+            who = np.repeat(doc[some] << 17, n) | self.owners[place]
+            for k, shift in enumerate(shifts):
+                total[k] = _added(*total[k], *np.unique(who << 32 | (diagonal + shift) // self.width, return_counts=True))
+        found = []
+        for shift, (keys, counts) in zip(shifts, total, strict=True):
             keys = keys[counts >= self.bounds[keys >> 32 & (1 << 17) - 1]]
             first = (keys & (1 << 32) - 1) * self.width - shift - offset
-            found += zip((keys >> 49).tolist(), (keys >> 32 & (1 << 17) - 1).tolist(), first.tolist(), strict=True)
-        return found
+            found.append(np.stack([keys >> 49, keys >> 32 & (1 << 17) - 1, first], axis=1))
+        return np.concatenate(found)
+
+
+def _added(keys: np.ndarray, counts: np.ndarray, more: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Counts of sorted keys, put together."""
+    if not len(keys):
+        return more, n
+    both, place = np.unique(np.concatenate([keys, more]), return_inverse=True)
+    total = np.zeros(len(both), dtype=np.int64)
+    total[place[: len(keys)]] = counts
+    total[place[len(keys) :]] += n
+    return both, total
 
 
 def aligned(segment: np.ndarray, text: np.ndarray, edits: int, width: int) -> tuple[int, int, int] | None:
@@ -129,31 +154,60 @@ def aligned(segment: np.ndarray, text: np.ndarray, edits: int, width: int) -> tu
     The text is what the diagonals of a band, and ``edits`` more on either side,
     reach. Cell k of a row stands on diagonal k, so a row is the band and no more.
     """
-    m, size = len(segment), width + 2 * edits + 1
-    padded = np.concatenate([text, np.full(max(0, m + size - len(text)), 0xFFFFFFFF, dtype=np.uint32)])
-    places = np.arange(size)
-    cost = np.zeros(size, dtype=np.int64)
-    begin = places.copy()  # where in the text the best way to each cell began
-    for i in range(m):
-        worse = padded[i : i + size] != segment[i]
-        step, start = cost + worse, begin.copy()
+    return aligned_all([(segment, text, edits)], width)[0]
+
+
+def aligned_all(cases: list[tuple[np.ndarray, np.ndarray, int]], width: int) -> list[tuple[int, int, int] | None]:
+    """``aligned`` of many cases ``(segment, text, edits)`` at once, one row of all bands after the other."""
+    none = 1 << 20
+    order = sorted(range(len(cases)), key=lambda c: -len(cases[c][0]))
+    lengths = np.array([len(cases[c][0]) for c in order])
+    ends = np.array([len(cases[c][1]) for c in order])
+    limits = np.array([cases[c][2] for c in order], dtype=np.int32)
+    sizes = width + 2 * limits + 1
+    size, longest = int(sizes.max()), int(lengths[0])
+    texts = np.full((len(cases), longest + size), 0xFFFFFFFF, dtype=np.uint32)
+    segments = np.zeros((len(cases), longest), dtype=np.uint32)
+    for row, c in enumerate(order):
+        segment, text, _ = cases[c]
+        segments[row, : len(segment)] = segment
+        texts[row, : len(text)] = text[: longest + size]
+    places = np.arange(size, dtype=np.int32)
+    outside = places >= sizes[:, None]
+    cost = np.where(outside, none, 0).astype(np.int32)
+    begin = np.broadcast_to(places, cost.shape).copy()  # where in the text the best way to each cell began
+    which = np.array(order)
+    out: list[tuple[int, int, int] | None] = [None] * len(cases)
+    for i in range(longest):
+        step = cost + (texts[:, i : i + size] != segments[:, i, None])
+        start = begin.copy()
         # From the diagonal above: the segment's character is left out.
-        over = np.concatenate([cost[1:] + 1, [m + 1]])
-        better = over < step
-        step[better], start[better] = over[better], np.concatenate([begin[1:], [0]])[better]
+        over, source = cost[:, 1:] + 1, begin[:, 1:]
+        better = over < step[:, :-1]
+        np.copyto(step[:, :-1], over, where=better)
+        np.copyto(start[:, :-1], source, where=better)
         # Along the row: characters of the text are left out.
-        slant = np.minimum.accumulate(step - places) + places
-        moved = slant < step
-        if moved.any():
-            source = np.maximum.accumulate(np.where(step - places == np.minimum.accumulate(step - places), places, -1))
-            start[moved] = start[source[moved]]
-            step = slant
-        cost, begin = step, start
-        if cost.min() > edits:
-            return None
-    usable = np.where(places + m <= len(text), cost, m + 1)
-    k = int(usable.argmin())
-    return (int(usable[k]), int(begin[k]), k + m) if usable[k] <= edits else None
+        flat = step - places
+        least = np.minimum.accumulate(flat, axis=1)
+        from_left = np.maximum.accumulate(np.where(flat == least, places, -1), axis=1)
+        begin = np.take_along_axis(start, from_left, axis=1)
+        cost = np.where(outside, none, least + places)
+        ended = int(np.searchsorted(-lengths, -(i + 1), side="left"))
+        for row in range(ended, len(which)):
+            m = i + 1
+            usable = np.where(places + m <= ends[row], cost[row], none)
+            k = int(usable.argmin())
+            if usable[k] <= limits[row]:
+                out[which[row]] = (int(usable[k]), int(begin[row, k]), k + m)
+        stays = np.arange(len(which)) < ended
+        if i % 8 == 7:
+            stays &= cost.min(axis=1) <= limits
+        if not stays.all():
+            cost, begin, texts, segments, outside = (x[stays] for x in (cost, begin, texts, segments, outside))
+            which, lengths, ends, limits = (x[stays] for x in (which, lengths, ends, limits))
+        if not len(which):
+            break
+    return out
 
 
 def _matches(index: GramIndex, batch: list[tuple]) -> Iterator[tuple]:
@@ -162,19 +216,25 @@ def _matches(index: GramIndex, batch: list[tuple]) -> Iterator[tuple]:
     joined = np.concatenate([x for _, points, _ in batch for x in (points, gap)])
     starts = np.cumsum([0] + [len(points) + 1 for _, points, _ in batch])[:-1]
     seen: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
-    for doc, owner, diagonal in index.bands(joined, starts):
-        segment = index.segments[owner]
-        points = batch[doc][1]
-        low = diagonal - segment.edits
-        window = points[max(0, low) : diagonal + index.width + len(segment.points) + segment.edits]
-        if low < 0:  # what is left out before the text's first character leads to diagonals below 0
-            window = np.concatenate([np.repeat(gap, -low), window])
-        made = aligned(segment.points, window, segment.edits, index.width)
-        if made:
-            edits, begin, end = made[0], max(0, low + made[1]), low + made[2]
-            spans = seen.setdefault((doc, owner), [])
-            if all(begin >= e or end <= s for _, s, e in spans):
-                spans.append((edits, begin, end))
+    bands = index.bands(joined, starts)
+    for at in range(0, len(bands), TOGETHER):
+        cases = []
+        lows = []
+        some = bands[at : at + TOGETHER].tolist()
+        for doc, owner, diagonal in some:
+            segment, points = index.segments[owner], batch[doc][1]
+            low = diagonal - segment.edits
+            window = points[max(0, low) : diagonal + index.width + len(segment.points) + segment.edits]
+            if low < 0:  # what is left out before the text's first character leads to diagonals below 0
+                window = np.concatenate([np.repeat(gap, -low), window])
+            cases.append((segment.points, window, segment.edits))
+            lows.append(low)
+        for (doc, owner, _), low, made in zip(some, lows, aligned_all(cases, index.width), strict=True):
+            if made:
+                edits, begin, end = made[0], max(0, low + made[1]), low + made[2]
+                spans = seen.setdefault((doc, owner), [])
+                if all(begin >= e or end <= s for _, s, e in spans):
+                    spans.append((edits, begin, end))
     for (doc, owner), spans in sorted(seen.items()):
         key, _, places = batch[doc]
         for edits, start, end in spans:
@@ -182,18 +242,39 @@ def _matches(index: GramIndex, batch: list[tuple]) -> Iterator[tuple]:
             yield key, segment.item, segment.number, int(places[start]), int(places[end - 1]) + 1, edits
 
 
-def _blocks(benchmark: DataFrame, block: int, segment: int, edits: float) -> Iterator[list[Segment]]:
-    held: list[Segment] = []
-    size = 0
-    for row in benchmark.toLocalIterator():
-        made = segments_of(row["_item"], row["_text"], segment, edits)
-        held += made
-        size += sum(len(s.points) for s in made)
-        if size >= block or len(held) >= MOST_SEGMENTS - (1 << 16):
-            yield held
-            held, size = [], 0
-    if held:
-        yield held
+def write_segments(items: DataFrame, block: int, segment: int, edits: float) -> str:
+    """The segments of all items in a table by ``_block``; a block is small enough for one index."""
+    size = items.agg(F.sum(F.length("_text")).alias("n")).first()["n"] or 0
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task = TaskContext.get()
+        number, chars, count = task.partitionId() << 32, 0, 0
+        for batch in batches:
+            for i, text in enumerate(batch.column("_text")):
+                made = segments_of(None, text.as_py(), segment, edits)
+                blocks = []
+                for s in made:
+                    if chars >= block or count >= MOST_SEGMENTS:
+                        number, chars, count = number + 1, 0, 0
+                    chars, count = chars + len(s.points), count + 1
+                    blocks.append(number)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(blocks, pa.int64()),
+                        batch.column("_item").take(pa.array([i] * len(made), pa.int64())),
+                        pa.array([s.number for s in made], pa.int32()),
+                        pa.array([s.points.astype("<u4").tobytes() for s in made], pa.binary()),
+                        pa.array([s.edits for s in made], pa.int32()),
+                        pa.array([s.bound for s in made], pa.int32()),
+                    ],
+                    names=["_block", "_item", "number", "points", "edits", "bound"],
+                )
+
+    kind = items.schema["_item"].dataType.simpleString()
+    path = new_path(items.sparkSession, "segments")
+    schema = f"_block long, _item {kind}, number int, points binary, edits int, bound int"
+    items.repartition(max(1, -(-size // block))).mapInArrow(cut, schema).write.partitionBy("_block").parquet(path)
+    return path
 
 
 def find_passages(
@@ -212,7 +293,11 @@ def find_passages(
     ``start`` and ``end`` are character offsets of the text. Case and the length
     of white space do not count. Every document is compared with every item, in
     blocks of items of a bounded size: one pass over the documents for each
-    block, nothing shuffled. Of overlapping places of a segment one is given.
+    block, nothing shuffled. A block's segments, and no more, come to the driver,
+    which indexes them and lets go of them when the matches are written. Of
+    overlapping places of a segment one is given. Very long texts and texts that
+    repeat themselves take time, but no more memory: pairs of equal q-grams are
+    counted, and bands aligned, a bounded number at a time.
 
     NULL and empty texts have no matches, nor have items of fewer than seven
     characters; a NULL item text is left out. NULL ids are carried through,
@@ -228,14 +313,26 @@ def find_passages(
     )
     rows = df.select(F.col(id_column).alias("_id"), F.col(text_column).alias("_text"))
     rows = rows.filter(F.length("_text") > 0)
-    found = spark.createDataFrame([], schema)
-    for held in _blocks(items, block, segment, edits):
-        found = found.unionByName(_search(rows, GramIndex(held), schema))
-    return found
-
-
-def _search(rows: DataFrame, index: GramIndex, schema: str) -> DataFrame:
-    shared = rows.sparkSession.sparkContext.broadcast(index)
+    path = new_path(spark, "passages")
+    spark.createDataFrame([], schema).write.parquet(path)
+    segments_path = write_segments(items, block, segment, edits)
+    table = spark.read.schema(
+        f"_block long, _item {item_kind}, number int, points binary, edits int, bound int"
+    ).parquet(segments_path)
+    # One number for each block, then the segments of one block at a time.
+    for number in sorted(r["_block"] for r in table.select("_block").distinct().collect()):
+        held = [
+            Segment(r["_item"], r["number"], np.frombuffer(bytes(r["points"]), "<u4"), r["edits"], r["bound"])
+            for r in table.filter(F.col("_block") == number).collect()
+        ]
+        index = spark.sparkContext.broadcast(GramIndex(held))
+        _search(rows, index, schema).write.mode("append").parquet(path)
+        index.destroy()
+    drop(spark, segments_path)
+    return spark.read.schema(schema).parquet(path)
+
+
+def _search(rows: DataFrame, shared, schema: str) -> DataFrame:
     empty = rows.sparkSession.createDataFrame([], schema)
     names = empty.columns
 

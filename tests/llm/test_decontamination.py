@@ -1,8 +1,11 @@
 import random
+import tracemalloc
+from collections import Counter
 
+import numpy as np
 import pytest
 
-from headingflow.llm.decontamination import GramIndex, aligned, find_passages, normal, segments_of
+from headingflow.llm.decontamination import GramIndex, aligned, aligned_all, find_passages, normal, segments_of
 from headingflow.llm.queries import op7_decontamination
 
 VOCABULARY = "the of eaner thnt on in ouble rest ing a and".split()
@@ -127,7 +130,42 @@ def test_edge_cases(edge_docs, no_docs, edge_rows, spark):
 
 def test_a_document_boundary_is_no_text():
     index = GramIndex(segments_of(0, "abcdefghijklmnopqrstuvwxyz"))
-    assert index.bands(normal("nothing")[0], __import__("numpy").array([0])) == []
+    assert len(index.bands(normal("nothing")[0], np.array([0]))) == 0
+
+
+def test_many_alignments_at_once_are_those_of_each():
+    chance = random.Random(8)
+    cases = []
+    for _ in range(200):
+        segment = "".join(chance.choice("abc ") for _ in range(chance.randint(7, 60)))
+        text = "".join(chance.choice("abc ") for _ in range(chance.randint(0, 9))) + edited(segment, chance.randint(0, 8), chance)
+        cases.append((normal(segment)[0], normal(text)[0], chance.randint(0, 7)))
+    found = aligned_all(cases, 10)
+    assert found == [aligned(*c, 10) for c in cases] and 40 < sum(f is not None for f in found) < 160
+    for (segment, text, edits), made in zip(cases, found, strict=True):
+        if made:
+            assert distance(segment.tolist(), text[made[1] : made[2]].tolist()) <= made[0] <= edits
+
+
+def test_a_text_that_repeats_itself_takes_bounded_memory():
+    segments = [s for i in range(20) for s in segments_of(i, "ha " * (40 + i))]
+    index = GramIndex(segments)
+    points = normal("ha " * 4000)[0]
+    tracemalloc.start()
+    bands = index.bands(points, np.array([0]))
+    _, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    slow = Counter()
+    for shift in (0, index.width // 2):
+        for owner, segment in enumerate(segments[:2]):
+            m = len(segment.points) - 6
+            for place in range(len(points) - 6):
+                for inside in range(m):
+                    if (place - inside) % 3 == 0:
+                        slow[0, owner, (place - inside + (1 << 20) + shift) // index.width * index.width - shift - (1 << 20)] += 1
+    expected = sorted(list(k) for k, n in slow.items() if n >= segments[k[1]].bound)
+    assert sorted(bands[bands[:, 1] < 2].tolist()) == expected
+    assert most < 150 << 20
 
 
 def test_documents(spark, sf_dir):
