@@ -81,37 +81,61 @@ class Aligner:
                 self.b.encode(x) == [i for p in CUT.split(x) for i in self.b.encode(p)] for x in samples
             )
         self.known = Recent(KNOWN_PIECES)
-
-    def _aligned(self, piece: bytes, a: list[int], b: list[int]) -> tuple | None:
-        """Numbers of tokens and groups, the groups as text, and the linked pairs; None if bytes are lost."""
-        bytes_a, bytes_b = [self.bytes_a.get(i, b"") for i in a], [self.bytes_b[i] for i in b]
-        if not piece or b"".join(bytes_a) != piece or b"".join(bytes_b) != piece:
-            return None
-        groups: list[str] = []
-        pairs: list[int] = []
-        i = j = first_a = first_b = 0
-        end_a, end_b = len(bytes_a[0]), len(bytes_b[0])
-        while True:
-            pairs.append(a[i] << 16 | b[j])
-            low = min(end_a, end_b)
-            if end_a == end_b:
-                own_a, own_b = a[first_a : i + 1], b[first_b : j + 1]
-                groups.append(f"{','.join(map(str, own_a))}|{','.join(map(str, own_b))}")
-                first_a, first_b = i + 1, j + 1
-                if first_a == len(a):
-                    return len(a), len(b), len(groups), ";".join(groups), np.array(pairs, dtype="<i8").tobytes()
-            if end_a == low:
-                i += 1
-                end_a += len(bytes_a[i])
-            if end_b == low:
-                j += 1
-                end_b += len(bytes_b[j])
+        most = max(len(self.bytes_b), max(self.bytes_a) + 1)
+        self.bytes_a = [self.bytes_a.get(i, b"") for i in range(max(self.bytes_a) + 1)]
+        self.size_a, self.size_b = (np.array([len(x) for x in own]) for own in (self.bytes_a, self.bytes_b))
+        self.written = [f"{i}{sign}" for i in range(most) for sign in ",|;\n"]
 
     def _new(self, pieces: list[str]) -> list[tuple | None]:
-        """Alignments of pieces, the leading space not written."""
-        a = [x.ids for x in self.a.encode_batch_fast([f" {p}" for p in pieces], add_special_tokens=False)]
+        """Of each piece, the leading space not written: numbers of tokens and groups, the groups, the linked pairs.
+
+        None for a piece whose bytes a tokenizer does not keep.
+        """
+        whole = [f" {p}" for p in pieces]
+        a = [x.ids for x in self.a.encode_batch_fast(whole, add_special_tokens=False)]
         b = self.b.encode(pieces, num_threads=1)
-        return [self._aligned(f" {p}".encode(), x, y) for p, x, y in zip(pieces, a, b, strict=True)]
+        kept = [i for i, w in enumerate(whole) if self._keeps(w.encode(), a[i], b[i])]
+        out: list[tuple | None] = [None] * len(pieces)
+        for i, made in zip(kept, self._aligned([a[i] for i in kept], [b[i] for i in kept]), strict=True):
+            out[i] = made
+        return out
+
+    def _keeps(self, piece: bytes, a: list[int], b: list[int]) -> bool:
+        of_a, of_b = self.bytes_a, self.bytes_b
+        return b"".join([of_a[i] for i in a]) == piece == b"".join([of_b[i] for i in b]) and piece != b" "
+
+    def _aligned(self, a: list[list[int]], b: list[list[int]]) -> list[tuple]:
+        """Alignments of pieces that keep their bytes, which stand one after the other as one text."""
+        if not a:
+            return []
+        n_a, n_b = np.array([len(x) for x in a]), np.array([len(x) for x in b])
+        ids_a, ids_b = np.concatenate(a).astype(np.int64), np.concatenate(b).astype(np.int64)
+        ends_a, ends_b = np.cumsum(self.size_a[ids_a]), np.cumsum(self.size_b[ids_b])
+        # Each stretch between two ends, of whichever tokenizer, is what one pair of tokens shares.
+        ends = np.union1d(ends_a, ends_b)
+        pairs = ids_a[np.searchsorted(ends_a, ends)] << 16 | ids_b[np.searchsorted(ends_b, ends)]
+        cuts = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        piece_ends = ends_a[np.cumsum(n_a) - 1]
+        upto_link, upto_group = np.searchsorted(ends, piece_ends) + 1, np.searchsorted(cuts, piece_ends) + 1
+        # Tokens in writing order: those of a before those of b in each group, with the sign that follows each.
+        group_a, group_b = np.searchsorted(cuts, ends_a), np.searchsorted(cuts, ends_b)
+        before_b = np.searchsorted(group_b, np.arange(len(cuts)))
+        upto_a = np.searchsorted(group_a, np.arange(len(cuts)), side="right")
+        signs = np.empty(len(ids_a) + len(ids_b), dtype=np.int64)
+        signs[np.arange(len(ids_a)) + before_b[group_a]] = ids_a << 2 | (cuts[group_a] == ends_a)
+        last_b = np.where(cuts[group_b] == ends_b, 2, 0)
+        last_b[np.cumsum(n_b) - 1] = 3
+        signs[np.arange(len(ids_b)) + upto_a[group_b]] = ids_b << 2 | last_b
+        groups = "".join(map(self.written.__getitem__, signs.tolist())).split("\n")
+        raw = pairs.astype("<i8").tobytes()
+        links = [0, *(8 * upto_link).tolist()]
+        n_groups = np.diff(upto_group, prepend=0).tolist()
+        return [
+            (x, y, g, text, raw[low:high])
+            for x, y, g, text, low, high in zip(
+                n_a.tolist(), n_b.tolist(), n_groups, groups, links, links[1:], strict=False
+            )
+        ]
 
     def pieces(self, texts: list[str]) -> tuple[list[list[str]], dict[str, tuple | None]]:
         """The pieces of each text, and the alignments of them all."""
