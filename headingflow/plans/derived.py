@@ -1,5 +1,8 @@
 """Tables that the queries derive from ``documents``, over all rows and whole texts."""
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -139,6 +142,43 @@ def canon_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def questions_as_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``item``: every question as one JSON object, in one line."""
+    fields = "named_struct('question', question, 'heading', heading, 'department', department, 'date', string(date))"
+    return questions(spark, sf_dir).selectExpr("pq_id", f"to_json({fields}) as item")
+
+
+def faulty_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The items, some of them with a repeated key, with numbers that JSON has not, or broken."""
+    return questions_as_items(spark, sf_dir).selectExpr(
+        "pq_id",
+        """case pq_id % 11
+          when 0 then concat(substr(item, 1, length(item) - 1), ', }')
+          when 1 then concat('{"question": "an older text", ', substr(item, 2))
+          when 2 then concat('{"score": NaN, "range": [-Infinity, Infinity], ', substr(item, 2))
+          else item end as item""",
+    )
+
+
+def write_huge_documents(items: DataFrame, path: str, documents: int = 4) -> None:
+    """Each document a file of one line that holds a share of the items."""
+
+    def framed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def texts(values: list[str]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(values, pa.string())], names=["value"])
+
+        yield texts(['{"meta": {"pages": [1, 2]}, "items": "none", "data": ['])
+        comma = ""
+        for batch in batches:
+            for item in batch.column("item").to_pylist():
+                yield texts([comma + item])
+                comma = ","
+        yield texts(["]}"])
+
+    shares = items.repartition(documents, "pq_id").select("item")
+    shares.mapInArrow(framed, "value string").write.option("lineSep", " ").text(path)
+
+
 def raw_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``pq_id, raw``: the day in one of the accepted spellings, or blank, or no day."""
     return questions(spark, sf_dir).selectExpr(

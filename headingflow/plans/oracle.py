@@ -326,6 +326,13 @@ lengths AS (
     "canon_extract": with_(QUESTIONS)
     + r"""SELECT regexp_replace(question, '^\s+|\s+$', '', 'g') AS question, heading, department, date
       FROM pq_questions""",
+    "canon_large": with_(QUESTIONS)
+    + r"""SELECT regexp_replace(question, '^\s+|\s+$', '', 'g') AS question, heading, department, date
+      FROM pq_questions WHERE regexp_replace(question, '^\s+|\s+$', '', 'g') <> ''""",
+    "canon_rejects": with_(QUESTIONS)
+    + r"""SELECT 'read' AS outcome, heading AS detail, count(*) AS n FROM pq_questions
+      WHERE pq_id % 11 <> 0 AND regexp_replace(question, '^\s+|\s+$', '', 'g') <> '' GROUP BY heading
+      UNION ALL SELECT 'rejected', 'the item is not JSON', count(*) FROM pq_questions WHERE pq_id % 11 = 0""",
     "parse_dates": with_(QUESTIONS)
     + """SELECT pq_id, CASE pq_id % 9
         WHEN 0 THEN date
@@ -346,6 +353,7 @@ lengths AS (
       FROM (SELECT doc_id, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS pos
         FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents) a) b""",
     "csv_roundtrip": with_(QUESTIONS) + "SELECT pq_id, question, department, heading FROM pq_questions",
+    "csv_split": with_(QUESTIONS) + "SELECT pq_id, question, department, heading FROM pq_questions",
     "dated_sink": with_(*PREDICTED)
     + f"SELECT pq_id, question, pred_heading, '{RUN_DATE}' AS run_date FROM pq_predictions",
     "load_by_suffix": with_(QUESTIONS)

@@ -39,6 +39,8 @@ from headingflow.operators.widen import alternate_columns, top_k_rows, widen_can
 from headingflow.plans import derived
 from headingflow.plans.training import prepare_training, run_metadata
 from headingflow.sources.files import read_csv, read_upload, write_csv, write_dated
+from headingflow.sources.large_csv import read_csv_ranges
+from headingflow.sources.large_json import read_questions
 from headingflow.sources.shared import materialise, new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -184,6 +186,23 @@ def canon_extract(spark, sf_dir):
     return rounded(rows.select("question", "heading", "department", "date"))
 
 
+def canon_large(spark, sf_dir):
+    path = new_path(spark, "documents")
+    derived.write_huge_documents(derived.questions_as_items(spark, sf_dir), path)
+    rows, _ = read_questions(spark, path)
+    return rounded(rows.select("question", "heading", "department", "date"))
+
+
+def canon_rejects(spark, sf_dir):
+    path = new_path(spark, "documents")
+    derived.write_huge_documents(derived.faulty_items(spark, sf_dir), path)
+    rows, rejects = read_questions(spark, path)
+    read = rows.groupBy(F.lit("read").alias("outcome"), F.col("heading").alias("detail")).agg(F.count(F.lit(1)).alias("n"))
+    reason = F.substring_index("reason", ":", 1)
+    lost = rejects.groupBy(F.lit("rejected").alias("outcome"), reason.alias("detail")).agg(F.count(F.lit(1)).alias("n"))
+    return read.unionByName(lost)
+
+
 def parse_dates(spark, sf_dir):
     raw = derived.raw_days(spark, sf_dir)
     return rounded(raw.select("pq_id", "raw", parse_day("raw").alias("day")))
@@ -213,6 +232,13 @@ def csv_roundtrip(spark, sf_dir):
     return read_csv(spark, path, "pq_id long, question string, department string, heading string")
 
 
+def csv_split(spark, sf_dir):
+    path = new_path(spark, "questions") + ".csv"
+    asked = derived.questions(spark, sf_dir).select("pq_id", "question", "department", "heading")
+    write_csv(asked, path)
+    return read_csv_ranges(spark, path, "pq_id long, question string, department string, heading string")
+
+
 def dated_sink(spark, sf_dir):
     path = new_path(spark, "predicted")
     made = derived.predictions(spark, sf_dir).select("pq_id", "question", F.col("pred_heading"))
@@ -473,10 +499,13 @@ QUERIES: dict[str, Query] = {
     "text_length_stats": text_length_stats,
     "optional_columns": optional_columns,
     "canon_extract": canon_extract,
+    "canon_large": canon_large,
+    "canon_rejects": canon_rejects,
     "parse_dates": parse_dates,
     "coerce_confidence": coerce_confidence,
     "parallel_arrays": parallel_arrays,
     "csv_roundtrip": csv_roundtrip,
+    "csv_split": csv_split,
     "dated_sink": dated_sink,
     "load_by_suffix": load_by_suffix,
     "label_encode": label_encode,

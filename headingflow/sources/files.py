@@ -22,8 +22,8 @@ def read_csv(
 ) -> DataFrame:
     """CSV with a header and quoted texts over several lines; columns are matched by position.
 
-    Strings in ``missing`` become NULL. A file with texts over several lines
-    cannot be split, so a large table should be many files, or Parquet.
+    Strings in ``missing`` become NULL. Each file is read by one task;
+    ``read_csv_ranges`` divides large ones.
     """
     raw = spark.read.csv(
         path,
@@ -65,8 +65,8 @@ def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
 def read_documents(spark: SparkSession, path: str, per_line: bool = False) -> DataFrame:
     """JSON documents as text in ``value``: one per file, or one per line.
 
-    A file that is one document is read by one task. Land large sources as
-    documents per line, which can be split.
+    A file that is one document is read by one task, and held whole.
+    ``read_items`` divides large ones.
     """
     return spark.read.text(path, wholetext=not per_line)
 
