@@ -25,17 +25,31 @@ def softmax(logits: Column) -> Column:
     )
 
 
-def rank_classes(scores: Column, k: int | None = None) -> Column:
+def rank_classes(scores: Column, k: int | None = None, masked: Column | None = None) -> Column:
     """Classes by falling score, ties by class id, as ``struct<rank, class_id, conf>``.
 
-    With fewer than ``k`` classes the result has fewer entries; ``k=None`` ranks all.
+    With fewer than ``k`` classes the result has fewer entries; ``k=None`` ranks
+    all. For the best ``k`` the classes are walked once with the ``k`` best so
+    far in hand, so only what enters these is sorted. Classes at whose place
+    ``masked`` is true are left out.
     """
     keyed = F.transform(
         scores, lambda s, i: F.struct((-s).alias("minus"), i.cast("int").alias("class_id"))
     )
-    ordered = F.array_sort(keyed)
-    if k is not None:
-        ordered = F.slice(ordered, 1, k)
+    if masked is not None:
+        keyed = F.filter(keyed, lambda c: ~F.coalesce(F.get(masked, c["class_id"]), F.lit(False)))
+    if k is None:
+        ordered = F.sort_array(keyed)
+    elif k == 1:
+        ordered = F.filter(F.array(F.array_min(keyed)), lambda c: c.isNotNull())
+    else:
+        ordered = F.aggregate(
+            keyed,
+            F.expr("cast(array() as array<struct<minus:double,class_id:int>>)"),
+            lambda held, c: F.when(F.get(held, F.lit(k - 1)) < c, held).otherwise(
+                F.slice(F.sort_array(F.array_append(held, c)), 1, k)
+            ),
+        )
     return F.transform(
         ordered,
         lambda c, i: F.struct(
@@ -74,8 +88,9 @@ def best(candidates: Column) -> Column:
 def best_except_other(ranked: Column, other: str = OTHER) -> Column:
     """The best candidate that is not ``other``, with its own score.
 
-    Needs the full ranking, since ``other`` may hide the next class beyond any k.
-    Where the ranking holds nothing else, its first candidate stays.
+    For a ranking of all classes, since ``other`` may hide the next class beyond
+    any k; scores of all classes are better masked when they are ranked. Where
+    the ranking holds nothing else, its first candidate stays.
     """
     return F.coalesce(best(F.filter(ranked, lambda c: c["heading"] != other)), best(ranked))
 

@@ -1,5 +1,7 @@
 """Headings as labels: counts, rare headings, dictionaries and lookups."""
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -106,10 +108,12 @@ def collapse_unknown(
     )
 
 
-def heading_array(labels: DataFrame, column: str = "heading", id_column: str = "label_id") -> Column:
+def heading_array(
+    labels: DataFrame, column: str = "heading", id_column: str = "label_id", value: Callable[[Column], Column] = lambda h: h
+) -> Column:
     """The headings at the places of their ids, as one scalar for every row; NULL where an id is missing.
 
-    It is as long as the largest id, which each row's own score vector exceeds.
+    ``value`` makes something else of each heading, once. The array is as long as the largest id, which each row's own score vector exceeds.
     Two headings for one id are an error.
     """
     id_text = F.concat(F.lit("two headings have the id "), F.col("_id").cast("string"))
@@ -122,7 +126,7 @@ def heading_array(labels: DataFrame, column: str = "heading", id_column: str = "
     )
     slots = known.agg(F.max("_id").alias("_last")).select(F.explode(F.sequence(F.lit(0), "_last")).alias("_id"))
     pairs = F.sort_array(F.collect_list(F.struct("_id", "_heading")))
-    whole = slots.join(known, "_id", "left").agg(F.transform(pairs, lambda p: p["_heading"]).alias("headings"))
+    whole = slots.join(known, "_id", "left").agg(F.transform(pairs, lambda p: value(p["_heading"])).alias("headings"))
     return whole.scalar()
 
 

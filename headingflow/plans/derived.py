@@ -79,10 +79,9 @@ def score_vectors(ranked: DataFrame, known: DataFrame) -> DataFrame:
     """``pq_id, heading, scores``: a score for every class, 0 for all but the made-up ones."""
     whole = ranked.withColumn("_classes", known.agg(F.count(F.lit(1))).scalar())
     by_class = "map_from_entries(transform(ranked, r -> struct(r.class_id, r.conf)))"
-    score = "coalesce(element_at(_by_class, i), 0D)"
-    return whole.selectExpr("pq_id", "heading", "_classes", f"{by_class} as _by_class").selectExpr(
-        "pq_id", "heading", f"transform(sequence(0, cast(_classes as int) - 1), i -> {score}) as scores"
-    )
+    score = "transform(sequence(0, cast(_classes as int) - 1), i -> coalesce(element_at(m, i), 0D))"
+    # The one-element array binds the map, which every class reads.
+    return whole.selectExpr("pq_id", "heading", f"transform(array({by_class}), m -> {score})[0] as scores")
 
 
 def predicted(ranked: DataFrame, known: DataFrame) -> DataFrame:

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from headingflow.functions.candidates import (
     OTHER,
-    best_except_other,
     hit_within,
     needs_review,
     rank_classes,
@@ -31,7 +30,7 @@ from headingflow.functions.values import number, parse_day
 from headingflow.operators import concentration, holdout, labels, metrics
 from headingflow.operators.canon import extract_questions, zip_arrays
 from headingflow.operators.guards import unseen_values, with_default
-from headingflow.operators.model import logistic, naive_bayes, sweep, train
+from headingflow.operators.model import logistic, naive_bayes, predict_from_scores, sweep, train
 from headingflow.operators.split import split_rows
 from headingflow.operators.upsert import read_table, upsert, upsert_table
 from headingflow.operators.vocabulary import encode_sequences, vocabulary
@@ -375,15 +374,8 @@ def never_other(spark, sf_dir):
     counts = labels.heading_counts(asked)
     collapsed = labels.collapse_rare(known, out="heading", counts=counts)
     vectors = derived.score_vectors(derived.ranked_questions(asked, known), known)
-    ranked = vectors.withColumn("ranked", rank_classes(F.col("scores")))
-    decoded = labels.decode_candidates(ranked, "ranked", collapsed)
-    chosen = best_except_other(F.col("candidates"))
-    picked = decoded.select("pq_id", chosen.alias("best"))
-    return rounded(
-        picked.select(
-            "pq_id", F.col("best.heading").alias("pred_heading"), F.col("best.conf").alias("pred_confidence")
-        )
-    )
+    picked = predict_from_scores(vectors, collapsed, k=1, never_other=True)
+    return rounded(picked.select("pq_id", "pred_heading", "pred_confidence"))
 
 
 def wide_candidates(spark, sf_dir):

@@ -77,6 +77,24 @@ def test_never_other(scores, labels):
     assert seen_other
 
 
+@pytest.mark.parametrize("others", [{0, 2, 5}, set(range(7))])
+def test_never_other_of_many_ids(scores, spark, others):
+    """Several ids of one heading, as a label map of collapsed headings has them."""
+    names = ["Other" if i in others else f"h{i}" for i in range(7)]
+    known = spark.createDataFrame([(n, i) for i, n in enumerate(names)], "heading string, label_id int")
+    predicted = predict_from_scores(scores.withColumn("kept", F.col("scores")), known, k=3, never_other=True)
+    for row in predicted.collect():
+        order = list(np.lexsort((np.arange(7), -np.array(row["kept"]))))
+        expected = next((i for i in order if i not in others), order[0])
+        assert (row["pred_heading"], row["pred_confidence"]) == (names[expected], row["kept"][expected])
+        assert [c["heading"] for c in row["candidates"]] == [names[i] for i in order[:3]]
+
+
+def test_the_best_k_do_not_sort_all_classes(scores):
+    plan = scores.select(rank_classes(F.col("scores"), 3))._jdf.queryExecution().optimizedPlan().toString()
+    assert "aggregate(" in plan and "array_sort" not in plan
+
+
 def test_only_other_stays(spark):
     rows = spark.createDataFrame([([(1, "Other", 0.9)],), ([],)], "c array<struct<rank:int,heading:string,conf:double>>")
     got = column(rows.select(best_except_other(F.col("c"))))
