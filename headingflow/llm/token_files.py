@@ -23,7 +23,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from headingflow.llm.huffman import LIMIT, STEP, bit_sizes, canonical_codes, code_lengths, decoding_table, pack, unpack
@@ -127,7 +127,9 @@ def write_ids(
     end_id: int = END_ID,
     file_bytes: int = FILE_BYTES,
 ) -> None:
-    """Encode every row and write the ids in ascending order of the document id.
+    """Encode every row and write the ids in ascending order of the document id, which is an integer.
+
+    Other kinds of ids are an error before any job. Other columns are not read.
 
     Rows with one id keep their order of reading, NULL ids come first, and an
     empty table gives an empty folder. The texts are encoded once; their ids are
@@ -137,6 +139,8 @@ def write_ids(
     more, reaches the driver.
     """
     spark = df.sparkSession
+    if df.schema[id_column].dataType.typeName() not in ("byte", "short", "integer", "long"):
+        raise TypeError(f"the ids in {id_column} are no integers, which the blocks hold")
     spec = read_spec(tokenizer)
     kind = id_kind(spec, end_id)
     coded, scratch = written(encode_documents(df, spec, kind, id_column, text_column, end_id), "ids")
@@ -211,11 +215,17 @@ def file_starts(spark: SparkSession, path: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(sums, pa.int64())], names=["_file", "n"])
 
     per_file = _files(spark, path).mapInArrow(totals, "_file string, n long")
-    # One row per file. Part files are named in the order of their ids.
-    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per file. Part files are numbered in the order of their ids; beyond
+    # 99,999 the numbers have more digits, so their names do not sort as texts.
+    before = Window.orderBy(part_number(F.col("_file"))).rowsBetween(Window.unboundedPreceding, -1)
     return per_file.select("_file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("ids_before"))
 
 
+def part_number(path: Column) -> Column:
+    """The number in the name of a part file."""
+    return F.regexp_extract(path, r"part-(\d+)[^/]*$", 1).cast("long")
+
+
 def read_ids(spark: SparkSession, path: str) -> DataFrame:
     """``_id, _file, before, n_tokens, ids`` of every document in the files.
 

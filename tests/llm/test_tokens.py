@@ -12,7 +12,7 @@ from headingflow.llm import huffman
 from headingflow.llm.pieces import PieceEncoder, read_spec, split_pattern
 from headingflow.llm.queries import op5_token_counts, op9_token_files
 from headingflow.llm.token_counts import Splicer, count_tokens
-from headingflow.llm.token_files import file_starts, read_ids, write_ids
+from headingflow.llm.token_files import file_starts, part_number, read_ids, write_ids
 
 BYTES, WORDS = (public_tokenizers.path(x) for x in ("byte_bpe_50k.json", "word_bpe_49k.json"))
 ODD = [
@@ -135,3 +135,17 @@ def test_files_of_documents(spark, sf_dir):
         assert found[doc.doc_id] == (doc.doc_id, start, len(ids), crc)
         start += len(ids)
     assert len(found) == len(docs)
+
+
+def test_files_are_in_order_of_their_numbers(spark):
+    """From 100,000 files on the numbers have six digits."""
+    names = [f"/x/part-1/blocks/part-{n:05d}-{n:08x}-c000.txt" for n in (99998, 99999, 100000, 100001, 7)]
+    rows = spark.createDataFrame([(n,) for n in names], "name string")
+    numbers = [r[0] for r in rows.select(part_number(rows.name)).collect()]
+    assert numbers == [99998, 99999, 100000, 100001, 7]
+
+
+def test_ids_are_integers(spark, tmp_path):
+    table = spark.createDataFrame([("a", "text")], "doc_id string, text string")
+    with pytest.raises(TypeError, match="no integers"):
+        write_ids(table, str(tmp_path / "x"), public_tokenizers.path("word_bpe_49k.json"))
