@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from headingflow.llm.huffman import LIMIT, STEP, bit_sizes, canonical_codes, code_lengths, decoding_table, pack, unpack
 from headingflow.llm.pieces import id_writer, read_spec
-from headingflow.llm.storage import drop, written
+from headingflow.llm.storage import drop, small_batches, written
 
 MAGIC = b"TIDB"
 HEADER = "<4sBqBII"
@@ -37,7 +37,7 @@ BLOCK = 1 << 16
 #: Bytes of a file, about.
 FILE_BYTES = 16 << 20
 END_ID = 1
-_BATCH_BYTES = 8 << 20
+_BATCH_BYTES = 2 << 20
 
 
 def id_kind(spec: str, end_id: int) -> str:
@@ -135,7 +135,7 @@ def write_ids(
     empty table gives an empty folder. The texts are encoded once; their ids are
     written to the shared folder, so that counting and coding read the same ids
     after a lost executor too, and are deleted when the files are there. What is
-    shuffled is the finished codes. One entry per id of the vocabulary, and no
+    shuffled is these ids, once. One entry per id of the vocabulary, and no
     more, reaches the driver.
     """
     spark = df.sparkSession
@@ -171,16 +171,15 @@ def write_ids(
                 steps = bit_sizes(own, np.arange(0, len(own), STEP), sizes).astype("<u2").tobytes()
                 head = struct.pack(HEADER, MAGIC, key is None, key or 0, last, len(own), len(packed))
                 blocks.append(head + steps + packed)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in ("_id", "_row", "_part")] + [pa.array(blocks, pa.binary())],
-                names=["_id", "_row", "_part", "_block"],
-            )
+            yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.binary())], names=["_block"])
 
-    blocks = coded.mapInArrow(to_blocks, "_id long, _row long, _part int, _block binary")
     # The row number makes the order unique, so a hot id can be split; the
-    # blocks of a document stay in one file.
-    ordered = blocks.repartitionByRange(files, "_id", "_row").sortWithinPartitions("_id", "_row", "_part")
-    ordered.select(F.col("_block").cast("string").alias("value")).write.option("lineSep", "\0").text(f"{path}/blocks")
+    # blocks of a document stay in one file. The ids are dealt out, not the
+    # blocks, as finding the ranges reads the table once more.
+    ordered = coded.repartitionByRange(files, "_id", "_row").sortWithinPartitions("_id", "_row", "_part")
+    blocks = ordered.mapInArrow(to_blocks, "_block binary").select(F.col("_block").cast("string").alias("value"))
+    with small_batches(spark):
+        blocks.write.option("lineSep", "\0").text(f"{path}/blocks")
     drop(spark, scratch)
 
 
