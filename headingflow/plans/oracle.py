@@ -234,6 +234,23 @@ collapsed AS (
   SELECT pq_id, department, CASE WHEN n < 8 THEN 'Other' ELSE heading END AS heading_collapsed
   FROM pq_questions JOIN heading_counts USING (heading))"""
 
+# The same model, with the words of the raw question in place of those of the cleaned one.
+BAYES_RAW = BAYES.replace(
+    "\nclass_terms AS (",
+    r"""
+raw_words AS (
+  SELECT pq_id, word AS term, count(*) AS x FROM (
+    SELECT pq_id, unnest(list_filter(
+      string_split_regex(lower(question), '[\s_\-]+'), lambda w: w <> '')) AS word FROM pq_questions) t GROUP BY ALL),
+raw_terms AS (
+  SELECT pq_id, 'w' || term AS term, x FROM raw_words JOIN model_words ON word = term
+  UNION ALL SELECT pq_id, 'd' || department, 1 FROM parts
+  WHERE department IN (SELECT department FROM parts WHERE split = 'train')),
+class_terms AS (""",
+).replace("FROM doc_terms GROUP BY pq_id", "FROM raw_terms GROUP BY pq_id").replace(
+    "FROM doc_terms d JOIN class_terms", "FROM raw_terms d JOIN class_terms"
+)
+
 TRAINED = (
     QUESTIONS, COUNTS, COLLAPSED_TRAINING, f"\nparts AS ({split_sql('heading_collapsed', 'collapsed')})", CLEAN, WORDS, BAYES
 )
@@ -467,6 +484,46 @@ coded AS (
     + """SELECT split, count(*) AS n, round(avg(conf), 6) AS avg_conf,
       round(avg(CAST(c = heading_collapsed AS INTEGER)), 6) AS top1,
       count(*) FILTER (c = heading_collapsed) AS n_top1 FROM bayes WHERE place = 1 GROUP BY split""",
+    "score_raw": with_(*[BAYES_RAW if part is BAYES else part for part in TRAINED])
+    + """SELECT split, count(*) AS n, round(avg(conf), 6) AS avg_conf,
+      round(avg(CAST(c = heading_collapsed AS INTEGER)), 6) AS top1,
+      count(*) FILTER (c = heading_collapsed) AS n_top1 FROM bayes WHERE place = 1 GROUP BY split""",
+    "logistic_balance": with_(
+        QUESTIONS, COUNTS, COLLAPSED_TRAINING, f"\nparts AS ({split_sql('heading_collapsed', 'collapsed')})"
+    )
+    + """SELECT heading_collapsed AS heading, count(*) FILTER (split = 'train') AS n_train, true AS balanced
+      FROM parts GROUP BY ALL""",
+    "training_history": with_(
+        QUESTIONS, COUNTS, COLLAPSED_TRAINING, f"\nparts AS ({split_sql('heading_collapsed', 'collapsed')})"
+    )
+    + """SELECT what, true AS holds, (SELECT count(*) FROM parts WHERE split = 'val') AS n_val
+      FROM (VALUES ('epochs are numbered from 1'), ('training ends at the limit or out of patience'),
+        ('the loss falls'), ('the model is that of the first best epoch')) t(what)""",
+    "run_history": with_(
+        QUESTIONS,
+        COUNTS,
+        """
+asked AS (SELECT * FROM (VALUES ('first', 0, 2), ('first', 1, 8), ('second', 0, 8), ('second', 1, 16),
+  ('second', 2, 60)) t(run_id, step, least)),
+rare AS (
+  SELECT run_id, step, least, count(*) AS n_before, count(*) FILTER (n < least) AS n_rare,
+    count(*) FILTER (n >= least AND heading <> 'Other')
+      + CAST(count(*) FILTER (n < least OR heading = 'Other') > 0 AS INTEGER) AS n_after,
+    coalesce(sum(n) FILTER (n < least OR heading = 'Other'), 0) AS rows_other
+  FROM asked CROSS JOIN heading_counts GROUP BY ALL)""",
+    )
+    + """SELECT run_id, CAST(step AS INTEGER) AS step, name, CAST(value AS DOUBLE) AS value,
+      CASE WHEN run_id = 'second' THEN CAST(least AS INTEGER) END AS least
+      FROM (SELECT run_id, step, least, unnest(['n_before', 'n_after', 'n_rare', 'n_fewer', 'rows_other']) AS name,
+        unnest([n_before, n_after, n_rare, n_before - n_after, rows_other]) AS value FROM rare) t""",
+    "plugin_scores": with_(QUESTIONS, LABELS)
+    + """SELECT model, pq_id, CAST(place AS BIGINT) AS rank, heading, round(conf, 6) AS conf FROM (
+      SELECT model, pq_id, heading, conf,
+        row_number() OVER (PARTITION BY model, pq_id ORDER BY conf DESC, label_id) AS place
+      FROM (SELECT model, pq_id, l.heading, label_id,
+          CAST((length(question) * step + label_id * 17) % modulus AS DOUBLE) / modulus AS conf
+        FROM pq_questions q CROSS JOIN pq_labels l
+        CROSS JOIN (VALUES ('first', 31, 101), ('second', 7, 97)) m(model, step, modulus)) s) t WHERE place <= 3""",
     "validation_metrics": with_(*TRAINED)
     + """SELECT count(*) FILTER (place = 1) AS n,
       round(count(*) FILTER (place = 1 AND c = heading_collapsed) / CAST(count(DISTINCT pq_id) AS DOUBLE), 6)

@@ -30,14 +30,23 @@ from headingflow.functions.values import number, parse_day
 from headingflow.operators import concentration, holdout, labels, metrics
 from headingflow.operators.canon import extract_questions, zip_arrays
 from headingflow.operators.guards import unseen_values, with_default
-from headingflow.operators.model import logistic, naive_bayes, predict_from_scores, sweep, train
+from headingflow.operators.embedding import fit_embedding
+from headingflow.operators.model import (
+    label_width,
+    logistic,
+    naive_bayes,
+    plugin_scores,
+    predict_from_scores,
+    sweep,
+    train,
+)
 from headingflow.operators.split import split_rows
 from headingflow.operators.upsert import read_table, upsert, upsert_table
 from headingflow.operators.vocabulary import encode_sequences, vocabulary
 from headingflow.operators.widen import alternate_columns, top_k_rows, widen_candidates
 from headingflow.plans import derived
 from headingflow.plans.training import prepare_training, run_metadata
-from headingflow.sources.files import read_csv, read_upload, write_csv, write_dated
+from headingflow.sources.files import append_history, read_csv, read_history, read_upload, write_csv, write_dated
 from headingflow.sources.large_csv import read_csv_ranges
 from headingflow.sources.large_json import read_questions
 from headingflow.sources.shared import materialise, new_path
@@ -49,6 +58,8 @@ RUN_DATE = "2026-02-19"
 PREVIEW_ROWS = 10
 KNOWN_DAYS = 3
 WIDE_COUNT = 60
+BALANCE = 0.01
+HISTORY_EPOCHS, HISTORY_PATIENCE = 25, 5
 
 
 def rounded(df: DataFrame) -> DataFrame:
@@ -450,6 +461,93 @@ def score_topk(spark, sf_dir):
     return rounded(widen_candidates(flagged.drop("question", "question_clean"), 4, shown=3))
 
 
+def score_raw(spark, sf_dir):
+    """A model of cleaned questions that scores raw ones, as the daily job may."""
+    asked = derived.spread_questions(spark, sf_dir)
+    training, known = prepare_training(asked, "pq_id")
+    model = train(training, known, naive_bayes()).on_raw_text()
+    scored = model.predict(asked.select("pq_id", "question", "department"), k=1)
+    truth = training.select("pq_id", "heading_collapsed", F.col("split").alias("date"))
+    measured = metrics.daily_top1(scored.join(truth, "pq_id"), "heading_collapsed")
+    return rounded(measured.withColumnRenamed("date", "split"))
+
+
+def logistic_balance(spark, sf_dir):
+    """A fit is at its optimum in the intercepts: the chances of a class add up to its rows."""
+    training, known = prepare_training(derived.spread_questions(spark, sf_dir), "pq_id")
+    model = train(training, known, logistic())
+    rows = model.scores(training.filter(F.col("split") == "train")).select("label_id", "scores")
+    chances = rows.select("label_id", F.posexplode("scores").alias("class_id", "chance"))
+    per_class = chances.groupBy("class_id").agg(
+        F.sum("chance").alias("_expected"),
+        F.count_if(F.col("class_id") == F.col("label_id")).alias("n_train"),
+        F.count(F.lit(1)).alias("_rows"),
+    )
+    named = per_class.join(known, F.col("class_id") == F.col("label_id"))
+    off = F.abs(F.col("_expected") - F.col("n_train")) / F.col("_rows")
+    return named.select("heading", "n_train", (off < BALANCE).alias("balanced"))
+
+
+def training_history(spark, sf_dir):
+    """What must hold of the epochs of any training, and of the model it keeps."""
+    training, known = prepare_training(derived.spread_questions(spark, sf_dir), "pq_id")
+    model, epochs = fit_embedding(training, known, epochs=HISTORY_EPOCHS, patience=HISTORY_PATIENCE)
+    top1 = [e.val_top1 for e in epochs]
+    first_best = top1.index(max(top1)) + 1
+    val = model.predict(training.filter(F.col("split") == "val"), k=1)
+    kept = metrics.validation_metrics(val, "heading_collapsed").first()
+    checks = {
+        "epochs are numbered from 1": [e.epoch for e in epochs] == list(range(1, len(epochs) + 1)),
+        "training ends at the limit or out of patience": len(epochs) in (HISTORY_EPOCHS, first_best + HISTORY_PATIENCE),
+        "the loss falls": epochs[-1].loss < epochs[0].loss,
+        "the model is that of the first best epoch": abs(kept["top1_accuracy"] - max(top1)) < 1e-9,
+    }
+    rows = [(name, bool(holds), int(kept["n"])) for name, holds in checks.items()]
+    return spark.createDataFrame(rows, "what string, holds boolean, n_val long")
+
+
+def run_history(spark, sf_dir):
+    """Two runs appended to one history, the second with a column that the first had not."""
+    path = new_path(spark, "history")
+    counts = labels.heading_counts(derived.questions(spark, sf_dir))
+    for run, least in (("first", (2, 8)), ("second", (8, 16, 60))):
+        steps = []
+        for step, n in enumerate(least):
+            summary = labels.collapse_summary(counts, min_count=n, counts=counts)
+            pairs = [F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value")) for c in summary.columns]
+            values = summary.select(F.inline(F.array(*pairs)))
+            made = values.select(F.lit(step).alias("step"), "name", "value")
+            steps.append(made if run == "first" else made.withColumn("least", F.lit(n)))
+        append_history(reduce(DataFrame.unionByName, steps), path, run)
+    return read_history(spark, path).select("run_id", "step", "name", "value", "least")
+
+
+def plugged_in(spark, sf_dir):
+    """Two scorers of no framework, each loaded once by a worker, in one pass over the questions."""
+    asked = derived.spread_questions(spark, sf_dir).select("pq_id", "question", "heading")
+    known = derived.labels(asked)
+    n = label_width(known)
+
+    def by_length(step: int, modulus: int):
+        def load():
+            def score(texts):
+                return [[(len(t) * step + c * 17) % modulus / modulus for c in range(n)] for t in texts]
+
+            return score
+
+        return load
+
+    models = {"first": by_length(31, 101), "second": by_length(7, 97)}
+    scored = asked.withColumn("_scores", plugin_scores(F.col("question"), models, classes=n, key="by-length"))
+    scored = materialise(scored.select("pq_id", "_scores.*"), "plugged-in")
+    parts = []
+    for name in models:
+        made = predict_from_scores(scored.select("pq_id", F.col(name).alias("scores")), known, k=3)
+        rows = made.select(F.lit(name).alias("model"), "pq_id", F.inline("candidates"))
+        parts.append(rows.withColumn("rank", F.col("rank").cast("long")))
+    return rounded(reduce(DataFrame.unionByName, parts))
+
+
 def validation_metrics(spark, sf_dir):
     training, known = prepare_training(derived.spread_questions(spark, sf_dir), "pq_id")
     model = train(training, known, naive_bayes())
@@ -463,6 +561,7 @@ def model_sweep(spark, sf_dir):
         "naive_bayes": naive_bayes(),
         "logistic_1e-2": logistic(1e-2),
         "logistic_1e-1": logistic(1e-1),
+        "embedding": lambda table, names: fit_embedding(table, names)[0],
     }
     # One row per choice, measured on the whole validation part.
     _, results = sweep(training, known, choices)
@@ -527,5 +626,10 @@ QUERIES: dict[str, Query] = {
     "train_score_baseline": train_score_baseline,
     "score_topk": score_topk,
     "validation_metrics": validation_metrics,
+    "score_raw": score_raw,
+    "logistic_balance": logistic_balance,
+    "training_history": training_history,
+    "run_history": run_history,
+    "plugin_scores": plugged_in,
     "model_sweep": model_sweep,
 }

@@ -120,6 +120,17 @@ def write_dated(df: DataFrame, path: str, run_date: str, fmt: str = "json") -> N
     )
 
 
+def append_history(rows: DataFrame, path: str, run_id: str) -> None:
+    """Add what a run measured: ``step, name, value``, one row for each; other columns may come with any run."""
+    rows = require_columns(rows, ("step", "name", "value"))
+    rows.withColumn("run_id", F.lit(run_id)).write.mode("append").parquet(path)
+
+
+def read_history(spark: SparkSession, path: str) -> DataFrame:
+    """All runs; a column that a run has not is NULL there."""
+    return spark.read.option("mergeSchema", True).parquet(path)
+
+
 def append_run(metadata: DataFrame, path: str) -> None:
     """Add the one-row record of a run to the table of runs."""
     metadata.write.mode("append").parquet(path)

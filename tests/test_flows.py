@@ -10,10 +10,10 @@ from headingflow.operators.metrics import daily_metrics, validation_metrics
 from headingflow.operators.model import HeadingModel, logistic, naive_bayes, sweep, train
 from headingflow.operators.upsert import read_table
 from headingflow.operators.widen import widen_candidates
-from headingflow.plans.daily import run_daily
+from headingflow.plans.daily import run_daily, run_daily_files
 from headingflow.plans.scoring import evaluate_predictions, score_arrays, score_questions, score_upload
 from headingflow.plans.training import prepare_training, run_metadata, run_training
-from headingflow.sources.files import read_csv
+from headingflow.sources.files import append_history, read_csv, read_history
 from headingflow.streaming.refresh import refresh_metrics
 
 TOPICS = {
@@ -272,3 +272,33 @@ def test_evaluation_of_wide_and_gathered_predictions(corpus, model):
         evaluate_predictions(scored.limit(0), "id")
     with pytest.raises(ValueError, match="pred_heading"):
         evaluate_predictions(corpus, "id")
+
+
+def test_daily_job_over_huge_documents_with_faults(spark, models, expected, tmp_path):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    items = [i for text in documents() for i in items_of(json.loads(text))]
+    # One document holds all items, one more only what cannot be read.
+    (landing / "all.json").write_text(json.dumps({"data": items}))
+    (landing / "faults.json").write_text("[{'x'}, {\"question\": ]")
+    path = str(tmp_path / "metrics")
+    metrics, rejects = run_daily_files(spark, str(landing), models, path, str(tmp_path / "rejects"), ks=(1, 2))
+    assert table(read_table(spark, path, ("model", "date"))) == nearly(expected)
+    assert rejects.count() > 0 and {r.document.rsplit("/", 1)[1] for r in rejects.collect()} == {"faults.json"}
+
+
+def items_of(document):
+    if isinstance(document, list):
+        return document
+    return next(document[k] for k in ("items", "results", "data", "pqs", "questions") if isinstance(document.get(k), list))
+
+
+def test_history_of_runs_with_new_columns(spark, tmp_path):
+    path = str(tmp_path / "history")
+    append_history(spark.createDataFrame([(0, "loss", 1.5)], "step int, name string, value double"), path, "first")
+    more = spark.createDataFrame([(0, "loss", 1.0, "nats")], "step int, name string, value double, unit string")
+    append_history(more, path, "second")
+    got = read_history(spark, path).select("run_id", "step", "name", "value", "unit").collect()
+    assert sorted(map(tuple, got)) == [("first", 0, "loss", 1.5, None), ("second", 0, "loss", 1.0, "nats")]
+    with pytest.raises(ValueError, match="value"):
+        append_history(more.drop("value"), path, "third")
