@@ -75,11 +75,10 @@ class LatinWords:
         own = pattern.replace(r"[^\s\p{L}\p{N}]", f"[^{white}{letters}{digits}]").replace(r"[\p{L}]", f"[{letters}]")
         own = own.replace(r"[\p{N}]", f"[{digits}]").replace(r"\p{L}", f"[{letters}]").replace(r"\p{N}", f"[{digits}]")
         own = own.replace(r"\S", f"[^{white}]").replace(r"\s", f"[{white}]")
-        self.find = re.compile(own).findall
-        # White space ends every word and is dropped; what Python takes for it
-        # beyond the pattern's keeps the text with the pattern.
-        self.splits = pattern == DROPS_SPACE
-        self.odd_space = re.compile("[\x1c-\x1f]").search
+        # Words of letters first: no other kind begins with one.
+        kinds = own.split("|")
+        plain = [k for k in kinds if k == f"[{letters}]+"]
+        self.find = re.compile("|".join([*plain, *(k for k in kinds if k not in plain)])).findall
         self.lower = any(p["type"] == "Lowercase" for p in _flat(spec.get("normalizer"), "normalizers"))
         self.special = [t["content"] for t in spec.get("added_tokens", [])]
         # Bytes that print stand for themselves, the others for the next free characters.
@@ -98,16 +97,7 @@ class LatinWords:
         return [word for word, _ in tokenizer.pre_tokenizer.pre_tokenize_str(text)]
 
     def words(self, text: str) -> list[str]:
-        text = text.lower() if self.lower else text
-        if not self.splits or self.odd_space(text):
-            return self.find(text)
-        found = []
-        for part in text.split():
-            if part.isalpha():
-                found.append(part)
-            else:
-                found += self.find(part)
-        return found
+        return self.find(text.lower() if self.lower else text)
 
     def mapped(self, word: str) -> str:
         """Bytes as the characters that stand for them in the vocabulary."""
@@ -203,15 +193,10 @@ class PieceEncoder:
 
     def _by_words(self, texts: list[str]) -> list:
         split = [self.latin.words(t) for t in texts]
-        values = [list(map(self.words.now.get, words)) for words in split]
-        lacking = {w for words, own in zip(split, values, strict=True) for w, v in zip(words, own, strict=True) if v is None}
-        new = list(self.words.missing(lacking))
+        new = list(self.words.missing(set().union(*split)))
         known = self.words.now
         known.update(zip(new, self._encode(self.model, list(map(self.latin.mapped, new))), strict=True))
-        found = [
-            self.add([known[w] if v is None else v for w, v in zip(words, own, strict=True)])
-            for words, own in zip(split, values, strict=True)
-        ]
+        found = [self.add([known[w] for w in words]) for words in split]
         for w in new:
             if len(w) > LONGEST_KNOWN:
                 del known[w]
