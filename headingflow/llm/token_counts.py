@@ -77,8 +77,8 @@ def count_tokens(
     ``tokenizer`` is the path of a library file whose rules prove cuts at spaces
     (see ``pieces``); others are refused. The file is read on the driver.
 
-    Texts longer than a chunk go to Python as overlapping chunks, so no batch
-    grows with the longest text; nothing is shuffled. A run without a cut is
+    Texts longer than a chunk are cut in one walk and go to Python as overlapping
+    chunks, so no batch grows with the longest text; nothing is shuffled. A run without a cut is
     held whole, as the library itself needs it whole.
 
     A NULL text counts as empty: 0 bytes, 0 tokens. A NULL id stays NULL, and
@@ -93,8 +93,9 @@ def count_tokens(
         "_id",
         F.octet_length("_text").cast("long").alias("n_bytes"),
         F.expr(f"""case when char_length(_text) <= {chunk + overlap} then array(_text)
-          else transform(sequence(0, (char_length(_text) - 1 - {overlap}) div {chunk}),
-            i -> substring(_text, i * {chunk} + 1, {chunk + overlap})) end""").alias("_chunks"),
+          else transform(array(regexp_extract_all(_text, '(?s).{{1,{chunk}}}', 0)), parts ->
+            transform(filter(parts, (p, i) -> i = 0 or char_length(p) > {overlap}),
+              (p, i) -> concat(p, substring(coalesce(get(parts, i + 1), ''), 1, {overlap}))))[0] end""").alias("_chunks"),
     )
     rows = rows.select("_id", "n_bytes", F.size("_chunks").alias("_n"), F.posexplode("_chunks").alias("_k", "_chunk"))
 
