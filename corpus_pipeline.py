@@ -19,6 +19,10 @@ from headingflow.llm.storage import drop, written
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+#: Words that a worker remembers while it encodes: few, as it still holds memory of the stages before.
+KNOWN_WORDS = 60_000
+
+
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the co-trained classifier does not reject."""
     model = fit_quality(docs, table(spark, sf_dir, "labels"))
@@ -56,7 +60,7 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Files of token ids, and what they hold for each document."""
-    return token_digests(docs)
+    return token_digests(docs, known=KNOWN_WORDS)
 
 
 STAGES: list[tuple[str, Stage]] = [

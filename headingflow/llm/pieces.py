@@ -230,7 +230,7 @@ def counter(spec: str) -> PieceEncoder:
 
 
 @lru_cache(maxsize=2)
-def id_writer(spec: str, kind: str) -> PieceEncoder:
+def id_writer(spec: str, kind: str, known: int = KNOWN_PIECES) -> PieceEncoder:
     """This worker's encoder that gives ids as little-endian bytes, ``<u2`` or ``<u4``."""
     code = {"<u2": "H", "<u4": "I"}[kind]
 
@@ -240,7 +240,7 @@ def id_writer(spec: str, kind: str) -> PieceEncoder:
             made.byteswap()
         return made.tobytes()
 
-    return PieceEncoder(spec, packed, b"".join)
+    return PieceEncoder(spec, packed, b"".join, known)
 
 
 def read_spec(path: str) -> str:

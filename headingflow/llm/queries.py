@@ -14,6 +14,7 @@ from headingflow.llm.decontamination import find_passages
 from headingflow.llm.mixing import SEED, mix, word_tokens
 from headingflow.llm.near_duplicates import near_duplicates
 from headingflow.llm.oracle import REPEATS_SQL, SEARCH_SQL, mixing_sql
+from headingflow.llm.pieces import KNOWN_PIECES
 from headingflow.llm.ranked_search import build_index, search
 from headingflow.llm.repeats import remove_repeats
 from headingflow.llm.sharding import assign_shards
@@ -113,11 +114,11 @@ def op8_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_shards(table(spark, sf_dir, "documents"))
 
 
-def token_digests(docs: DataFrame) -> DataFrame:
+def token_digests(docs: DataFrame, known: int = KNOWN_PIECES) -> DataFrame:
     """``doc_id, start, n_tokens, ids_crc32`` from files written for the documents."""
     spark = docs.sparkSession
     path = new_path(spark, "token-files")
-    write_ids(docs, path, public_tokenizers.path("word_bpe_49k.json"))
+    write_ids(docs, path, public_tokenizers.path("word_bpe_49k.json"), known=known)
     found = read_ids(spark, path).select(
         F.col("_id").alias("doc_id"), "_file", "before", "n_tokens", F.crc32("ids").alias("ids_crc32")
     )

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from headingflow.llm.huffman import LIMIT, STEP, bit_sizes, canonical_codes, code_lengths, decoding_table, pack, unpack
-from headingflow.llm.pieces import id_writer, read_spec
+from headingflow.llm.pieces import KNOWN_PIECES, id_writer, read_spec
 from headingflow.llm.storage import drop, small_batches, written
 
 MAGIC = b"TIDB"
@@ -48,7 +48,9 @@ def id_kind(spec: str, end_id: int) -> str:
     return "<u2" if most < 1 << 16 else "<u4"
 
 
-def encode_documents(df: DataFrame, spec: str, kind: str, id_column: str, text_column: str, end_id: int) -> DataFrame:
+def encode_documents(
+    df: DataFrame, spec: str, kind: str, id_column: str, text_column: str, end_id: int, known: int = KNOWN_PIECES
+) -> DataFrame:
     """``_id, _row, _part, _last, _ids``: each row's ids in parts of at most a block, the end id last.
 
     A NULL text is empty and gives the end id alone. ``_row`` tells the rows of
@@ -63,7 +65,7 @@ def encode_documents(df: DataFrame, spec: str, kind: str, id_column: str, text_c
     width = np.dtype(kind).itemsize
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = id_writer(sent.value, kind)
+        encoder = id_writer(sent.value, kind, known)
         end = np.array([end_id], dtype=kind).tobytes()
         for batch in batches:
             out: list[tuple] = []
@@ -126,10 +128,13 @@ def write_ids(
     text_column: str = "text",
     end_id: int = END_ID,
     file_bytes: int = FILE_BYTES,
+    known: int = KNOWN_PIECES,
 ) -> None:
     """Encode every row and write the ids in ascending order of the document id, which is an integer.
 
     Other kinds of ids are an error before any job. Other columns are not read.
+    A worker remembers up to twice ``known`` words, some 200 bytes each, and keeps
+    them for later tasks; fewer cost time only.
 
     Rows with one id keep their order of reading, NULL ids come first, and an
     empty table gives an empty folder. The texts are encoded once; their ids are
@@ -143,7 +148,7 @@ def write_ids(
         raise TypeError(f"the ids in {id_column} are no integers, which the blocks hold")
     spec = read_spec(tokenizer)
     kind = id_kind(spec, end_id)
-    coded, scratch = written(encode_documents(df, spec, kind, id_column, text_column, end_id), "ids")
+    coded, scratch = written(encode_documents(df, spec, kind, id_column, text_column, end_id, known), "ids")
 
     counted = id_counts(coded, kind).collect()  # at most as many rows as the vocabulary has ids
     counts = np.zeros(max([1, *(r["id"] + 1 for r in counted)]), dtype=np.int64)
