@@ -32,6 +32,8 @@ from headingflow.sources.shared import materialise
 WIDTH, EPOCHS, PATIENCE, SHARES, RATE = 32, 60, 8, 2, 0.1
 #: Partial sums that are put together by one task on the way to the driver.
 FAN_IN = 32
+#: Questions whose words' vectors are gathered at once.
+ROWS_AT_ONCE = 512
 
 Weights = dict[str, np.ndarray]
 
@@ -122,8 +124,10 @@ def _epoch_sums(rows: DataFrame, weights: Weights, share: int) -> tuple[Weights,
         own = sent.value
         total = {name: np.zeros(w.shape) for name, w in own.items()}
         loss, n, hits, n_val = 0.0, 0, 0, 0
-        for batch in batches:
-            ids = [np.asarray(i, dtype=np.int64) for i in batch.column("word_ids").to_pylist()]
+        for batch in (b.slice(at, ROWS_AT_ONCE) for b in batches for at in range(0, len(b), ROWS_AT_ONCE)):
+            words = batch.column("word_ids")
+            sizes = words.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            ids = np.split(words.flatten().to_numpy(zero_copy_only=False).astype(np.int64), np.cumsum(sizes)[:-1])
             departments = batch.column("department_id").fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
             labels = batch.column("label_id").to_numpy(zero_copy_only=False).astype(np.int64)
             trains = batch.column("share").to_numpy(zero_copy_only=False) == share
@@ -178,8 +182,12 @@ class EmbeddingModel:
 
         @F.pandas_udf("array<double>")
         def score(ids: pd.Series, departments: pd.Series) -> pd.Series:
-            vectors, _, _ = _means(sent.value, list(ids), departments.fillna(-1).to_numpy(dtype=np.int64))
-            return pd.Series(list(_softmax(sent.value, vectors)), index=ids.index, dtype=object)
+            known, rows = departments.fillna(-1).to_numpy(dtype=np.int64), list(ids)
+            found: list[np.ndarray] = []
+            for at in range(0, len(rows), ROWS_AT_ONCE):
+                some = slice(at, at + ROWS_AT_ONCE)
+                found += list(_softmax(sent.value, _means(sent.value, rows[some], known[some])[0]))
+            return pd.Series(found, index=ids.index, dtype=object)
 
         ready = with_default(df, "department", F.lit(""))
         if "question_clean" not in ready.columns:

@@ -59,7 +59,7 @@ PREVIEW_ROWS = 10
 KNOWN_DAYS = 3
 WIDE_COUNT = 60
 BALANCE = 0.01
-HISTORY_EPOCHS, HISTORY_PATIENCE = 25, 5
+HISTORY_EPOCHS, HISTORY_PATIENCE = 12, 3
 
 
 def rounded(df: DataFrame) -> DataFrame:
@@ -561,7 +561,7 @@ def model_sweep(spark, sf_dir):
         "naive_bayes": naive_bayes(),
         "logistic_1e-2": logistic(1e-2),
         "logistic_1e-1": logistic(1e-1),
-        "embedding": lambda table, names: fit_embedding(table, names)[0],
+        "embedding": lambda table, names: fit_embedding(table, names, epochs=HISTORY_EPOCHS, patience=HISTORY_PATIENCE)[0],
     }
     # One row per choice, measured on the whole validation part.
     _, results = sweep(training, known, choices)
