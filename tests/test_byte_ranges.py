@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from headingflow.operators.canon import explode_items, extract_questions
+from headingflow.plans.derived import write_huge_documents
 from headingflow.sources.files import read_csv, read_documents
 from headingflow.sources.large_csv import read_csv_ranges, read_records
 from headingflow.sources.large_json import ItemCutter, RangeSum, _after, list_in, parse_items, read_items, read_questions
@@ -186,3 +187,14 @@ def test_csv_in_ranges(small_ranges, tmp_path, ending):
     assert read_records(small_ranges, str(tmp_path)).select("start").distinct().count() > 10
     with pytest.raises(ValueError, match="header"):
         read_csv_ranges(small_ranges, str(tmp_path), "id long, other string, text string")
+
+
+def test_documents_grow_in_number_with_the_parts_of_their_items(spark, tmp_path):
+    item = """'{"question": "q', id, '", "heading": "h", "department": "d", "date": "2026-01-13"}'"""
+    items = spark.range(0, 90, 1, 9).selectExpr("id as pq_id", f"concat({item}) as item")
+    write_huge_documents(items, str(tmp_path / "many"), documents=2)
+    write_huge_documents(items.coalesce(1), str(tmp_path / "few"), documents=2)
+    for name, files in (("many", 9), ("few", 2)):
+        rows, rejects = read_questions(spark, str(tmp_path / name))
+        assert len(list((tmp_path / name).glob("part-*"))) == files and rejects.isEmpty()
+        assert sorted(r["question"] for r in rows.collect()) == sorted(f"q{i}" for i in range(90))
