@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from headingflow.operators import embedding
 from headingflow.operators.embedding import EmbeddingModel, fit_embedding, gradients
 from headingflow.operators.model import HeadingModel, _LOADED, label_width, loaded, naive_bayes, plugin_scores, sweep, train
 from headingflow.plans.training import prepare_training
@@ -39,6 +40,30 @@ def test_gradients_are_those_of_the_loss():
             assert made[name][place] == pytest.approx((sides[0] - sides[1]) / 2e-6, abs=1e-5)
 
 
+def test_blocks_hold_one_share_and_sum_to_the_same_gradients(spark):
+    """An epoch reads its own share and the validation part only."""
+    chance = np.random.default_rng(2)
+    weights = {
+        "words": chance.normal(size=(20, 4)), "departments": chance.normal(size=(3, 4)),
+        "classes": chance.normal(size=(5, 4)), "bias": chance.normal(size=5),
+    }
+    rows = []
+    for i in range(40):
+        words = chance.integers(2, 20, size=int(chance.integers(0, 6))).tolist()
+        rows.append((words, None if i % 7 == 0 else i % 3, i % 5, i % 3 - 1))
+    table = spark.createDataFrame(rows, "word_ids array<int>, department_id int, label_id int, share int").repartition(3)
+    blocks = table.mapInArrow(embedding._packed, embedding._PACKED).cache()
+    assert blocks.count() == blocks.select("share", F.spark_partition_id()).distinct().count()
+    for share in (0, 1):
+        sums, loss, n, hits, n_val = embedding._epoch_sums(blocks, weights, share)
+        own = [r for r in rows if r[3] == share]
+        ids = [np.array(r[0], dtype=np.int64) for r in own]
+        departments = np.array([-1 if r[1] is None else r[1] for r in own])
+        want, whole = gradients(weights, ids, departments, np.array([r[2] for r in own]))
+        assert n == len(own) and loss == pytest.approx(whole) and n_val == 14 and 0 <= hits <= 14
+        assert all(np.allclose(sums[name], want[name]) for name in weights)
+
+
 def test_training_stops_keeps_the_best_and_is_repeatable(prepared, spark, tmp_path):
     training, labels = prepared
     model, history = fit_embedding(training, labels, width=8, epochs=20, patience=4)
