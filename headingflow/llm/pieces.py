@@ -18,6 +18,9 @@ from array import array
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
+import numpy as np
+import pyarrow as pa
+
 # Patterns that keep a space only in front of what follows it, or drop it.
 DROPS_SPACE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 KEEPS_SPACE = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -69,9 +72,13 @@ class LatinWords:
 
     def __init__(self, tokenizer, spec: dict, pattern: str):
         latin = list(map(chr, range(256)))
-        letters = "".join(re.escape(c) for c in latin if unicodedata.category(c)[0] == "L")
-        digits = "".join(re.escape(c) for c in latin if unicodedata.category(c)[0] == "N")
-        white = "".join(re.escape(c) for c in latin if c.isspace() and not "\x1c" <= c <= "\x1f")
+        # Kinds of characters: 0 white, 1 letter, 2 digit, 3 other.
+        kinds = [
+            0 if c.isspace() and not "\x1c" <= c <= "\x1f" else {"L": 1, "N": 2}.get(unicodedata.category(c)[0], 3)
+            for c in latin
+        ]
+        self.kinds = np.array(kinds, dtype=np.uint8)
+        white, letters, digits = ("".join(re.escape(c) for c, k in zip(latin, kinds, strict=True) if k == n) for n in range(3))
         own = pattern.replace(r"[^\s\p{L}\p{N}]", f"[^{white}{letters}{digits}]").replace(r"[\p{L}]", f"[{letters}]")
         own = own.replace(r"[\p{N}]", f"[{digits}]").replace(r"\p{L}", f"[{letters}]").replace(r"\p{N}", f"[{digits}]")
         own = own.replace(r"\S", f"[^{white}]").replace(r"\s", f"[{white}]")
@@ -85,11 +92,25 @@ class LatinWords:
         shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
         hidden = [b for b in range(256) if b not in shown]
         self.shown = {b: 256 + i for i, b in enumerate(hidden)}
-        self.trusted = all(
-            [self.mapped(w) for w in self.words(x)] == self._library(tokenizer, x)
+        # Line ends part words that are mapped together.
+        self.shown_all = np.array([10 if b == 10 else self.shown.get(b, b) for b in range(256)], "<u2")
+        #: Whether no word holds white space, so that ``distinct`` may split.
+        self.dense = pattern == DROPS_SPACE
+        tests = [
+            x
             for c in latin
             for x in (f" a{c}", f" {c}b{c}{c}1", f" 1{c}!{c}", f"{c}", f" x'{c}", f"a{c} ")
-        )
+            + (f"{c}'re{c}", f"{c}'ll's{c}", f"'v{c}'ve'{c}", f"{c}'d")
+        ]
+        self.trusted = self._split(tests) == [self._library(tokenizer, x) for x in tests]
+
+    def _split(self, texts: list[str]) -> list[list[str]]:
+        """The words of each text as they go to the library's model."""
+        if not self.dense:
+            return [list(map(self.mapped, self.words(x))) for x in texts]
+        words, which, ends = self.distinct(texts)
+        mapped = self.mapped_all(words)
+        return [[mapped[i] for i in part] for part in np.split(which, ends[:-1])]
 
     @staticmethod
     def _library(tokenizer, text: str) -> list[str]:
@@ -103,6 +124,45 @@ class LatinWords:
         """Bytes as the characters that stand for them in the vocabulary."""
         return word.encode().decode("latin-1").translate(self.shown)
 
+    def distinct(self, texts: list[str]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """Each word of the texts once, in Latin-1; the word at each place; where the words of each text end.
+
+        Does what the pattern does, for all texts at once: a word is a digit, or
+        a run of letters or of other characters, or one of the short forms where
+        no run of other characters reaches its apostrophe.
+        """
+        whole = "\n".join(texts)
+        data = np.frombuffer((whole.lower() if self.lower else whole).encode("latin-1"), dtype=np.uint8)
+        kind = self.kinds[data]
+        begins = np.ones(len(data), dtype=bool)
+        np.not_equal(kind[1:], kind[:-1], out=begins[1:])
+        begins |= kind == 2
+        at = np.flatnonzero(data == ord("'"))
+        at = at[(at == 0) | (kind[at - 1] != 3)]
+        one, two = (np.where(at + k < len(data), data[np.minimum(at + k, len(data) - 1)], 0) for k in (1, 2))
+        size = np.where(np.isin(one, list(b"stmd")), 2, 0)
+        for a, b in (b"re", b"ve", b"ll"):
+            size[(one == a) & (two == b)] = 3
+        at, size = at[size > 0], size[size > 0]
+        begins[at + 1] = False
+        after = at + size
+        begins[after[after < len(data)]] = True
+
+        solid = kind != 0
+        offsets = np.append(np.flatnonzero(begins[solid]), np.count_nonzero(solid))
+        buffers = [None, pa.py_buffer(offsets), pa.py_buffer(data[solid])]
+        words = pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, buffers).dictionary_encode()
+        reach = np.cumsum([len(x) + 1 for x in texts])
+        ends = np.searchsorted(np.flatnonzero(begins & solid), reach)
+        return words.dictionary.to_numpy(zero_copy_only=False).tolist(), words.indices.to_numpy(), ends
+
+    def mapped_all(self, words: list[bytes]) -> list[str]:
+        """What ``mapped`` gives, for many words in Latin-1 without line ends."""
+        if not words:
+            return []
+        data = np.frombuffer(b"\n".join(words).decode("latin-1").encode(), dtype=np.uint8)
+        return self.shown_all[data].tobytes().decode("utf-16-le").split("\n")
+
     def takes(self, text: str) -> bool:
         if not text.isascii():
             try:
@@ -122,8 +182,7 @@ class Recent:
 
     def missing(self, keys: set) -> set:
         """The keys that are not known; those known from before are kept on. Call it before each look-up."""
-        if len(self.now) > self.limit:
-            self.now, self.before = {}, self.now
+        self._forget()
         new = keys.difference(self.now)
         if self.before and new:
             before = self.before
@@ -132,6 +191,23 @@ class Recent:
             new.difference_update(again)
         return new
 
+    def found(self, keys: list) -> tuple[list, list[int]]:
+        """The value of each of these different keys, None if it is not known, and the places of those."""
+        self._forget()
+        values = list(map(self.now.get, keys))
+        places = [i for i, v in enumerate(values) if v is None]
+        if self.before:
+            for i in places:
+                values[i] = self.before.get(keys[i])
+                if values[i] is not None:
+                    self.now[keys[i]] = values[i]
+            places = [i for i in places if values[i] is None]
+        return values, places
+
+    def _forget(self) -> None:
+        if len(self.now) > self.limit:
+            self.now, self.before = {}, self.now
+
 
 class PieceEncoder:
     """``value(ids)`` of whole texts; ``add`` joins the values of their parts.
@@ -187,7 +263,8 @@ class PieceEncoder:
 
     def _values(self, texts: list[str]) -> list:
         latin = [self.latin.takes(t) for t in texts]
-        by_words = iter(self._by_words([t for t, yes in zip(texts, latin, strict=True) if yes]))
+        split = self._by_distinct if self.latin.dense else self._by_words
+        by_words = iter(split([t for t, yes in zip(texts, latin, strict=True) if yes]))
         by_pieces = iter(self._by_pieces([t for t, yes in zip(texts, latin, strict=True) if not yes]))
         return [next(by_words if yes else by_pieces) for yes in latin]
 
@@ -202,6 +279,20 @@ class PieceEncoder:
                 del known[w]
         return found
 
+    def _by_distinct(self, texts: list[str]) -> list:
+        """What ``_by_words`` gives, with one look-up for all places of a word in these texts."""
+        if not texts:
+            return []
+        words, which, ends = self.latin.distinct(texts)
+        values, places = self.words.found(words)
+        new = [words[i] for i in places]
+        for i, word, value in zip(places, new, self._encode(self.model, self.latin.mapped_all(new)), strict=True):
+            values[i] = value
+            if len(word) <= LONGEST_KNOWN:
+                self.words.now[word] = value
+        each = np.fromiter(values, dtype=object, count=len(values))[which].tolist()
+        return [self.add(each[a:b]) for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+
     def _by_pieces(self, texts: list[str]) -> list:
         split = [t.split(" ") for t in texts]
         new = [

@@ -33,6 +33,45 @@ def test_pieces_equal_the_library(path):
         assert ids == library.encode(text, add_special_tokens=False).ids, text
 
 
+LATIN = [
+    "a", "Of", "é", "ÀÖ×Þ", "µ", "ª", "ß", "ÿ", "÷", "1", "23", "²", "¼", "'", "''", "'s", "'T", "'re", "'r", "'ve", "'v", "'ll",
+    "'m", "'d", "!", "\\", "-", "_", " ", " ", "  ", "\n", "\t", "\r\n", "\x0b", "\x1c", "\x1f", "\x85", "\xa0", "\xad", "\x00",
+    "x" * 250,
+]
+
+
+def test_latin_texts_equal_the_library():
+    """Texts split together: short forms at every place, all kinds of white space, empty texts, words too long to remember."""
+    chance = random.Random(9)
+    texts = ["".join(chance.choice(LATIN) for _ in range(chance.randint(0, 14))) for _ in range(4000)]
+    texts += ["", "'", "'s", "'l", "'re", "\n", "", " "]
+    encoder = PieceEncoder(read_spec(WORDS), lambda ids: ids, lambda parts: [i for p in parts for i in p], limit=300)
+    assert encoder.latin.dense and encoder.latin.trusted and all(map(encoder.latin.takes, texts))
+    library = Tokenizer.from_file(WORDS)
+    for _ in range(2):  # words forgotten and kept
+        for text, ids in zip(texts, encoder.values(texts), strict=True):
+            assert ids == library.encode(text, add_special_tokens=False).ids, text
+    assert list(encoder.values([])) == [] and list(encoder.values(["", ""])) == [[], []]
+
+
+def test_a_word_is_looked_up_once_for_all_its_places():
+    looked = []
+
+    class Seen(dict):
+        def __getitem__(self, key):
+            looked.append(key)
+            return dict.__getitem__(self, key)
+
+        def get(self, key, default=None):
+            looked.append(key)
+            return dict.get(self, key, default)
+
+    encoder = PieceEncoder(read_spec(WORDS), len, sum)
+    encoder.words.now = Seen()
+    assert list(encoder.values(["the of " * 5000, "of the", "and"])) == [10_000, 2, 1]
+    assert len(looked) <= 6
+
+
 def test_rules_without_a_proof_are_refused():
     assert split_pattern({"pre_tokenizer": {"type": "Whitespace"}, "normalizer": None}) is None
 
