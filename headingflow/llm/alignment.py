@@ -12,7 +12,9 @@ The postings then carry the scores of the pairs back to the documents.
 import hashlib
 import json
 import os
-from collections.abc import Iterator
+import re
+import string
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -23,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from headingflow.llm.pieces import CUT, LONGEST_KNOWN, Recent, read_spec, split_pattern
+from headingflow.llm.pieces import LONGEST_KNOWN, Recent, read_spec, split_pattern
 from headingflow.llm.storage import drop, written
 
 #: A block has at most so many documents, so their numbers in it have 14 bits, and about so many characters.
@@ -34,9 +36,27 @@ RUN = 1 << 20
 KNOWN_PIECES = 200_000
 #: A bitmap with more documents than this is a bit for each document of the block, another a list of 16-bit numbers.
 DENSE = (1 << SLOT_BITS) // 16
+#: New pieces that are encoded as one text.
+JOINED = 64
+#: The alignment of a piece whose bytes a tokenizer does not keep.
+LOST = (0, 0, 0, "", b"")
 _META = "▁"
 
 
+def _ascii(kind: Callable[[str], bool]) -> np.ndarray:
+    return np.array([b < 128 and kind(chr(b)) for b in range(256)])
+
+
+# Kinds of bytes: white space, ASCII letters, those that end a letter behind 0xC3, ASCII signs.
+_WHITE, _LETTER, _SIGN = _ascii(str.isspace), _ascii(str.isalpha), _ascii(string.punctuation.__contains__)
+_LETTER_C3 = np.array([0x80 <= b < 0xC0 and chr(b + 0x40).isalpha() for b in range(256)])
+_WIDE_WHITE = [chr(c).encode() for c in range(128, 0x10000) if chr(c).isspace()]
+#: A place inside a token at which texts are cut.
+_INSIDE = re.compile(
+    rf".\n|[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff][{re.escape(string.punctuation)}]", re.DOTALL
+)
+
+
 def byte_values(spec: str) -> dict[int, bytes]:
     """The bytes of each id of a byte-level tokenizer. Printable bytes stand for themselves, others for the next free characters."""
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -52,11 +72,13 @@ def byte_values(spec: str) -> dict[int, bytes]:
 class Aligner:
     """Aligned tokens of texts, from the alignments of their pieces.
 
-    A text with a space before it is cut at single spaces between characters
-    that are no white space. Where the rules of both tokenizers prove that a
-    token begins at each such space whatever stands around it, the pieces are
-    aligned on their own, and a piece that was met before is looked up. Where
-    they do not, a text is one piece.
+    A text with a space before it is cut before single spaces and line ends
+    that stand between characters that are no white space, and between a letter
+    and an ASCII sign. Where the rules of both tokenizers prove that a token
+    begins at each such place whatever stands around it, the pieces are aligned
+    on their own, and a piece that was met before is looked up. Where they
+    prove it for spaces alone, texts are cut at those; else a text is one piece.
+    A piece is UTF-8 and keeps the space, line end or sign that it begins with.
     """
 
     def __init__(self, spec: str, model: bytes):
@@ -72,91 +94,159 @@ class Aligner:
         self.bytes_b = [
             bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(_META, " ").encode() for i, p in enumerate(pieces)
         ]
-        # Pieces may begin with spaces, but none has a space behind another character. (A text
-        # that has the sign for a space itself does not keep its bytes, however it is cut.)
-        self.cuts = split_pattern(json.loads(spec)) is not None and not any(_META in p.lstrip(_META) for p in pieces)
-        if self.cuts:
-            samples = [f"x{chr(c)}y {chr(c)}{chr(c)} 1{chr(c)} z" for c in range(1, 256)]
-            self.cuts = all(
-                self.b.encode(x) == [i for p in CUT.split(x) for i in self.b.encode(p)] for x in samples
-            )
         self.known = Recent(KNOWN_PIECES)
         most = max(len(self.bytes_b), max(self.bytes_a) + 1)
         self.bytes_a = [self.bytes_a.get(i, b"") for i in range(max(self.bytes_a) + 1)]
         self.size_a, self.size_b = (np.array([len(x) for x in own]) for own in (self.bytes_a, self.bytes_b))
         self.written = [f"{i}{sign}" for i in range(most) for sign in ",|;\n"]
-
-    def _new(self, pieces: list[str]) -> list[tuple | None]:
-        """Of each piece, the leading space not written: numbers of tokens and groups, the groups, the linked pairs.
-
-        None for a piece whose bytes a tokenizer does not keep.
+        # Pieces may begin with spaces, but none has a space behind another character. (A text
+        # that has the sign for a space itself does not keep its bytes, however it is cut.)
+        rules = json.loads(spec)
+        self.cuts = split_pattern(rules) is not None and not any(_META in p.lstrip(_META) for p in pieces)
+        # No token has a line end or an ASCII sign where a text may be cut. Byte, control and
+        # unknown pieces are written with signs, but stand for no such text.
+        b = self.b
+        plain = [p for i, p in enumerate(pieces) if not (b.is_byte(i) or b.is_control(i) or b.is_unknown(i))]
+        plain += [t["content"] for t in rules.get("added_tokens", []) if not t["special"]]
+        self.fine = self.cuts and not any(_INSIDE.search(p) for p in plain)
+        samples = [f"x{c}y {c}{c} 1{c} z\n{c}x.{c}y, {c}\n1{c}'s {c}x#{c}\n\nz" for c in map(chr, range(1, 256))]
+        self.fine = self.fine and self._proven(samples)
+        self.cuts = self.cuts and (self.fine or self._proven(samples))
+
+    def _proven(self, texts: list[str]) -> bool:
+        """Whether the pieces of each text have the tokens that the libraries give for the whole."""
+        try:
+            split, found = self.pieces(texts)
+        except ValueError:  # a token goes on behind a cut
+            return False
+        finally:
+            self.known = Recent(KNOWN_PIECES)
+        pieces = [f" {t}".encode() for t in texts]
+        whole = self._joined([[p] for p in pieces])
+        for piece, own in zip(pieces, split, strict=True):
+            made = [found[p] for p in own]
+            if (piece in whole) == (LOST in made):
+                return False
+            if piece in whole and whole[piece][3:] != (";".join([v[3] for v in made]), b"".join([v[4] for v in made])):
+                return False
+        return True
+
+    def _new(self, pieces: list[bytes]) -> list[tuple]:
+        """Of each piece: numbers of tokens of both and of groups, the groups, the linked pairs.
+
+        ``LOST`` for a piece whose bytes a tokenizer does not keep.
         """
-        whole = [f" {p}" for p in pieces]
+        # Pieces stand one after the other in texts that are cut between them. One that
+        # begins or ends with more white space is a text of its own.
+        joined, alone = [], []
+        for piece in pieces:
+            text = piece.decode()
+            odd = not self.cuts or (text[0].isspace() and text[1:2].isspace()) or text[-1].isspace()
+            (alone if odd else joined).append(piece)
+        texts = [joined[i : i + JOINED] for i in range(0, len(joined), JOINED)]
+        made = self._joined(texts + [[p] for p in alone])
+        # Where a tokenizer does not keep the bytes of such a text, its pieces tell which it is.
+        made |= self._joined([[p] for text in texts if len(text) > 1 for p in text if p not in made])
+        return [made.get(p, LOST) for p in pieces]
+
+    def _joined(self, texts: list[list[bytes]]) -> dict[bytes, tuple]:
+        """The alignments of the pieces of those texts whose bytes both tokenizers keep."""
+        # What begins with no space stands behind a letter.
+        stood = [[y for p in pieces for y in ((p,) if p[:1] == b" " else (b" x", p))] for pieces in texts]
+        raw = [b"".join(pieces) for pieces in stood]
+        whole = [x.decode() for x in raw]
         a = [x.ids for x in self.a.encode_batch_fast(whole, add_special_tokens=False)]
-        b = self.b.encode(pieces, num_threads=1)
-        kept = [i for i, w in enumerate(whole) if self._keeps(w.encode(), a[i], b[i])]
-        out: list[tuple | None] = [None] * len(pieces)
-        for i, made in zip(kept, self._aligned([a[i] for i in kept], [b[i] for i in kept]), strict=True):
-            out[i] = made
-        return out
-
-    def _keeps(self, piece: bytes, a: list[int], b: list[int]) -> bool:
+        b = self.b.encode([x[1:] for x in whole], num_threads=1)
+        kept = [i for i, x in enumerate(raw) if self._keeps(x, a[i], b[i])]
+        pieces = [p for i in kept for p in stood[i]]
+        if not pieces:
+            return {}
+        ids = ([np.array(own[i], dtype=np.int64) for i in kept] for own in (a, b))
+        return dict(zip(pieces, self._aligned(*map(np.concatenate, ids), list(map(len, pieces))), strict=True))
+
+    def _keeps(self, text: bytes, a: list[int], b: list[int]) -> bool:
         of_a, of_b = self.bytes_a, self.bytes_b
-        return b"".join([of_a[i] for i in a]) == piece == b"".join([of_b[i] for i in b]) and piece != b" "
-
-    def _aligned(self, a: list[list[int]], b: list[list[int]]) -> list[tuple]:
-        """Alignments of pieces that keep their bytes, which stand one after the other as one text."""
-        if not a:
-            return []
-        n_a, n_b = np.array([len(x) for x in a]), np.array([len(x) for x in b])
-        ids_a, ids_b = np.concatenate(a).astype(np.int64), np.concatenate(b).astype(np.int64)
-        ends_a, ends_b = np.cumsum(self.size_a[ids_a]), np.cumsum(self.size_b[ids_b])
+        return b"".join([of_a[i] for i in a]) == text == b"".join([of_b[i] for i in b])
+
+    def _aligned(self, ids_a: np.ndarray, ids_b: np.ndarray, sizes: list[int]) -> Iterator[tuple]:
+        """Alignments of pieces of these sizes, which stand one after the other."""
+        ends_a, ends_b, piece_ends = np.cumsum(self.size_a[ids_a]), np.cumsum(self.size_b[ids_b]), np.cumsum(sizes)
+        total = int(piece_ends[-1])
+        is_a, is_b = np.zeros(total + 1, dtype=bool), np.zeros(total + 1, dtype=bool)
+        is_a[ends_a], is_b[ends_b] = True, True
+        either, both = is_a | is_b, is_a & is_b
+        if not both[piece_ends].all():
+            raise ValueError("a token goes on where the rules of both tokenizers end one")
+        # Tokens, links and groups that end up to each byte.
+        kind = np.int32 if total < 1 << 31 else np.int64
+        upto_a, upto_b, upto_link, upto_group = (np.cumsum(x, dtype=kind) for x in (is_a, is_b, either, both))
         # Each stretch between two ends, of whichever tokenizer, is what one pair of tokens shares.
-        ends = np.union1d(ends_a, ends_b)
-        pairs = ids_a[np.searchsorted(ends_a, ends)] << 16 | ids_b[np.searchsorted(ends_b, ends)]
-        cuts = np.intersect1d(ends_a, ends_b, assume_unique=True)
-        piece_ends = ends_a[np.cumsum(n_a) - 1]
-        upto_link, upto_group = np.searchsorted(ends, piece_ends) + 1, np.searchsorted(cuts, piece_ends) + 1
+        ends, cuts = np.flatnonzero(either), np.flatnonzero(both)
+        pairs = ids_a[upto_a[ends - 1]] << 16 | ids_b[upto_b[ends - 1]]
         # Tokens in writing order: those of a before those of b in each group, with the sign that follows each.
-        group_a, group_b = np.searchsorted(cuts, ends_a), np.searchsorted(cuts, ends_b)
-        before_b = np.searchsorted(group_b, np.arange(len(cuts)))
-        upto_a = np.searchsorted(group_a, np.arange(len(cuts)), side="right")
+        before_b, with_a = upto_b[np.append(0, cuts[:-1])], upto_a[cuts]
         signs = np.empty(len(ids_a) + len(ids_b), dtype=np.int64)
-        signs[np.arange(len(ids_a)) + before_b[group_a]] = ids_a << 2 | (cuts[group_a] == ends_a)
-        last_b = np.where(cuts[group_b] == ends_b, 2, 0)
-        last_b[np.cumsum(n_b) - 1] = 3
-        signs[np.arange(len(ids_b)) + upto_a[group_b]] = ids_b << 2 | last_b
+        signs[np.arange(len(ids_a)) + before_b[upto_group[ends_a - 1]]] = ids_a << 2 | both[ends_a]
+        last_b = np.where(both[ends_b], 2, 0)
+        last_b[upto_b[piece_ends] - 1] = 3
+        signs[np.arange(len(ids_b)) + with_a[upto_group[ends_b - 1]]] = ids_b << 2 | last_b
         groups = "".join(map(self.written.__getitem__, signs.tolist())).split("\n")
         raw = pairs.astype("<i8").tobytes()
-        links = [0, *(8 * upto_link).tolist()]
-        n_groups = np.diff(upto_group, prepend=0).tolist()
-        return [
-            (x, y, g, text, raw[low:high])
-            for x, y, g, text, low, high in zip(
-                n_a.tolist(), n_b.tolist(), n_groups, groups, links, links[1:], strict=False
-            )
-        ]
-
-    def pieces(self, texts: list[str]) -> tuple[list[list[str]], dict[str, tuple | None]]:
+        links = (8 * upto_link[piece_ends].astype(np.int64)).tolist()
+        n_a, n_b, n_groups = (np.diff(x[piece_ends], prepend=0).tolist() for x in (upto_a, upto_b, upto_group))
+        linked = [raw[low:high] for low, high in zip([0, *links], links, strict=False)]
+        return zip(n_a, n_b, n_groups, groups, linked, strict=False)
+
+    def distinct(self, texts: list[str]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """Each piece of the texts once; the piece at each place; how many pieces each text has."""
+        raw = [f" {t}".encode() if t else b"" for t in texts]
+        sizes = np.array([len(x) for x in raw], dtype=np.int64)
+        reach = np.cumsum(sizes)
+        data = np.frombuffer(b"".join(raw), dtype=np.uint8)
+        begins = self._begins(data)
+        begins[(reach - sizes)[sizes > 0]] = True
+        offsets = np.append(np.flatnonzero(begins), len(data))
+        buffers = [None, pa.py_buffer(offsets), pa.py_buffer(data)]
+        pieces = pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, buffers).dictionary_encode()
+        counts = np.diff(np.searchsorted(offsets[:-1], reach), prepend=0)
+        return pieces.dictionary.to_numpy(zero_copy_only=False).tolist(), pieces.indices.to_numpy(), counts
+
+    def _begins(self, data: np.ndarray) -> np.ndarray:
+        """Where pieces begin in UTF-8, but for the begin of a text."""
+        begins = np.zeros(len(data), dtype=bool)
+        if not self.cuts or not len(data):
+            return begins
+        solid = ~_WHITE[data]
+        for sign in _WIDE_WHITE:
+            at = np.flatnonzero(data[: len(data) - len(sign) + 1] == sign[0])
+            for k in range(1, len(sign)):
+                at = at[data[at + k] == sign[k]]
+            for k in range(len(sign)):
+                solid[at + k] = False
+        at = data == ord(" ")
+        if self.fine:
+            at |= data == ord("\n")
+        begins[1:-1] = at[1:-1] & solid[:-2] & solid[2:]
+        if self.fine:
+            letter = _LETTER[data]
+            letter[1:] |= (data[:-1] == 0xC3) & _LETTER_C3[data[1:]]
+            begins[1:] |= letter[:-1] & _SIGN[data[1:]]
+        return begins
+
+    def values(self, pieces: list[bytes]) -> list[tuple]:
+        """The alignments of these different pieces."""
+        values, places = self.known.found(pieces)
+        for i, value in zip(places, self._new([pieces[i] for i in places]), strict=True):
+            values[i] = value
+            if len(pieces[i]) <= LONGEST_KNOWN:
+                self.known.now[pieces[i]] = value
+        return values
+
+    def pieces(self, texts: list[str]) -> tuple[list[list[bytes]], dict[bytes, tuple]]:
         """The pieces of each text, and the alignments of them all."""
-        split = self._split(texts)
-        new = list(self.known.missing(set().union(*split)))
-        self.known.now.update(zip(new, self._new(new), strict=True))
-        found = self.known.now
-        if any(len(p) > LONGEST_KNOWN for p in new):
-            found = dict(found)
-            for p in new:
-                if len(p) > LONGEST_KNOWN:
-                    del self.known.now[p]
-        return split, found
-
-    def _split(self, texts: list[str]) -> list[list[str]]:
-        if not self.cuts:
-            return [[t] if t else [] for t in texts]
-        split = [t.split(" ") if t else [] for t in texts]
-        # A space beside white space, or at an end of the text, is not cut at.
-        odd = {p for p in set().union(*split) if not p or p[0].isspace() or p[-1].isspace()}
-        return [s if odd.isdisjoint(s) else CUT.split(t) for s, t in zip(split, texts, strict=True)]
+        pieces, which, counts = self.distinct(texts)
+        split = [[pieces[i] for i in own] for own in np.split(which, np.cumsum(counts)[:-1])]
+        return split, dict(zip(pieces, self.values(pieces), strict=True))
 
 
 @lru_cache(maxsize=1)
@@ -273,27 +363,28 @@ class Alignment:
 def _align_run(aligner: Aligner, rows: list[tuple], block: BlockIndex, digest: bool) -> dict:
     """The columns of some documents' rows; their links go to the block."""
     texts = [r[1] for r in rows]
-    split, found = aligner.pieces(texts)
-    places = {p: i for i, p in enumerate(set().union(*split))}
-    values = [found[p] for p in places]
-    lost = np.array([v is None for v in values], dtype=bool)
-    # A document with a piece that loses bytes has no tokens.
-    if lost.any():
-        split = [s if all(found[p] is not None for p in s) else [] for s in split]
-    counts = np.array([len(s) for s in split], dtype=np.int64)
-    piece = np.fromiter((places[p] for s in split for p in s), dtype=np.int64, count=counts.sum())
-    linked = [v[4] if v else b"" for v in values]
+    pieces, piece, counts = aligner.distinct(texts)
+    n_a, n_b, n_groups, written_as, linked = zip(*aligner.values(pieces), strict=True) if pieces else [()] * 5
     sizes = np.array([len(x) // 8 for x in linked], dtype=np.int64)
-    table = np.array([(*v[:3], n) if v else (0, 0, 0, 0) for v, n in zip(values, sizes, strict=True)], dtype=np.int64)
+    numbers = [np.array(x, dtype=np.int64) for x in (n_a, n_b, n_groups, sizes)]
     owner = np.repeat(np.arange(len(rows)), counts)
+    # A document with a piece that loses bytes has no tokens.
+    lost = np.unique(owner[(numbers[0] == 0)[piece]])
+    if len(lost):
+        counts[lost] = 0
+        kept = ~np.isin(owner, lost)
+        owner, piece = owner[kept], piece[kept]
     sums = np.zeros((len(rows), 4), dtype=np.int64)
-    full = np.flatnonzero(counts)
+    full, ends = np.flatnonzero(counts), np.cumsum(counts)
     if len(full):
-        sums[full] = np.add.reduceat(table[piece], (np.cumsum(counts) - counts)[full], axis=0)
+        for k, own in enumerate(numbers):
+            sums[full, k] = np.add.reduceat(own[piece], (ends - counts)[full])
         pairs = np.frombuffer(b"".join(linked), dtype="<i8")
-        take = _ragged((np.cumsum(sizes) - sizes)[piece], sizes[piece])
-        block.add(np.repeat(owner, sizes[piece]) + block.docs, pairs[take])
-    groups = [";".join([found[p][3] for p in s]) for s in split]
+        of_piece = sizes[piece]
+        take = _ragged((np.cumsum(sizes) - sizes)[piece], of_piece)
+        block.add(np.repeat(owner, of_piece) + block.docs, pairs[take])
+    each = np.fromiter(written_as, dtype=object, count=len(written_as))[piece].tolist()
+    groups = [";".join(each[low:high]) for low, high in zip((ends - counts).tolist(), ends.tolist(), strict=True)]
     if digest:
         groups = [hashlib.sha256(g.encode()).hexdigest() if g else "" for g in groups]
     out = {

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import re
 from bisect import bisect_right
 from collections import Counter, defaultdict
 
@@ -156,6 +157,60 @@ def test_a_worker_forgets_pieces(libraries, monkeypatch):
         assert not any(len(p) > al.LONGEST_KNOWN for p in aligner.known.now)
 
 
+def test_pieces_end_at_signs_and_line_ends():
+    """The same word before different signs is one piece."""
+    aligner = al.Aligner(read_spec(A), open(B, "rb").read())
+    split, found = aligner.pieces(["Été, été. Non\n Oui\nnon;\nÉté...  5,x \n", "", "été!"])
+    assert split == [
+        [p.encode() for p in own]
+        for own in ([" Été", ",", " été", ".", " Non\n Oui", "\nnon", ";", "\nÉté", "...  5,x \n"], [], [" été", "!"])
+    ]
+    assert set(found) == set(split[0] + split[2])
+
+
+def test_new_pieces_are_encoded_together(monkeypatch):
+    """A library is asked for some texts that hold many new pieces, not for each piece."""
+    aligner = al.Aligner(read_spec(A), open(B, "rb").read())
+    asked = []
+    own = aligner.b.encode
+    monkeypatch.setattr(aligner.b, "encode", lambda x, **more: asked.extend(x) or own(x, **more), raising=False)
+    aligner.pieces([" ".join(f"w{i}" for i in range(10 * al.JOINED))])
+    assert len(asked) == 10
+
+
+def test_cuts_that_are_not_proven_are_not_made(monkeypatch):
+    """Texts are cut at spaces where a vocabulary has a cut inside, or where the samples show that a token goes on."""
+    for name, value in (("_SIGN", al._LETTER), ("_INSIDE", re.compile("^▁the$"))):
+        with monkeypatch.context() as patch:
+            patch.setattr(al, name, value)
+            aligner = al.Aligner(read_spec(A), open(B, "rb").read())
+        assert aligner.cuts and not aligner.fine
+        assert aligner.pieces(["word, word.\nword"])[0] == [[b" word,", b" word.\nword"]]
+
+
+@pytest.mark.parametrize("cuts, fine", [(True, True), (True, False), (False, False)])
+def test_texts_of_odd_characters(libraries, cuts, fine):
+    """Cuts at signs, line ends and spaces, at spaces alone, and none; pieces that lose bytes beside others."""
+    aligner = al.Aligner(read_spec(A), open(B, "rb").read())
+    assert aligner.cuts and aligner.fine
+    aligner.cuts, aligner.fine = cuts, fine
+    chance = random.Random(8)
+    parts = [*map(chr, range(256)), *" \n'.,é\u0301×÷ß\u0130\u1680\u2003\u2028\u3000\u0085▁—’中😀ﬁ½"]
+    parts += ["'s", "'re", "'ll", "\r\n", "  "]
+    parts += ["<s>", "<unk>", "<0x0A>", "<|endoftext|>", "the", "The", "don", "ing", "12"] * 6 + [" ", "\n"] * 40
+    texts = ["".join(chance.choices(parts, k=chance.randint(0, 25))) for _ in range(1500)]
+    block = al.BlockIndex(0, pa.int64())
+    got = al._align_run(aligner, list(enumerate(texts)), block, False)
+    expected = [expected_of(libraries, t) for t in texts]
+    assert got["groups"] == [";".join(f[2]) if f else "" for f in expected]
+    numbers = [(f[0], f[1], len(f[2]), len(f[3])) if f else (0, 0, 0, 0) for f in expected]
+    assert list(zip(*(got[n].tolist() for n in al._NUMBERS), strict=True)) == numbers
+    links = Counter((i, a << 16 | b) for i, f in enumerate(expected) if f for a, b in f[3])
+    keys, times = np.concatenate(block.keys).tolist(), np.concatenate(block.times).tolist()
+    assert {(k & (1 << al.SLOT_BITS) - 1, k >> al.SLOT_BITS): n for k, n in zip(keys, times, strict=True)} == links
+    assert 50 < sum(f is None for f in expected) < 1000
+
+
 def test_query(spark, libraries, sf_dir):
     docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
     small = [(d, t) for d, t in docs if t is None or len(t) < 1500]
