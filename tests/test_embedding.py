@@ -40,6 +40,91 @@ def test_gradients_are_those_of_the_loss():
             assert made[name][place] == pytest.approx((sides[0] - sides[1]) / 2e-6, abs=1e-5)
 
 
+def whole_network(chance):
+    """Vectors of departments beside those of words, and a dense layer over both."""
+    return {
+        "words": chance.normal(size=(9, 4)), "departments": chance.normal(size=(3, 2)),
+        "dense": chance.normal(size=(6, 7)), "dense_bias": chance.normal(size=7),
+        "classes": chance.normal(size=(5, 7)), "bias": chance.normal(size=5),
+    }
+
+
+def test_gradients_of_the_whole_network_are_those_of_the_loss():
+    weights = whole_network(np.random.default_rng(3))
+    ids = [np.array(x, dtype=np.int64) for x in ([2, 3, 3], [], [8], [1, 2, 4, 5])]
+    departments, labels = np.array([0, 2, -1, -1]), np.array([1, 4, 0, 0])
+    made, _ = gradients(weights, ids, departments, labels)
+    for name, w in weights.items():
+        for place in np.ndindex(w.shape):
+            sides = []
+            for d in (1e-6, -1e-6):
+                moved = {n: x.copy() for n, x in weights.items()}
+                moved[name][place] += d
+                sides.append(gradients(moved, ids, departments, labels)[1])
+            assert made[name][place] == pytest.approx((sides[0] - sides[1]) / 2e-6, abs=1e-5)
+
+
+def test_units_are_left_out_at_each_step_but_not_when_measured(spark):
+    weights = whole_network(np.random.default_rng(4))
+    rows = [([2 + i % 7, 3], i % 3, i % 5, i % 2 - 1) for i in range(60)]
+    table = spark.createDataFrame(rows, "word_ids array<int>, department_id int, label_id int, share int")
+    blocks = table.mapInArrow(embedding._packed, embedding._PACKED).cache()
+    made = [embedding._epoch_sums(blocks, weights, 0, True, dropped, seed) for dropped, seed in ((0, ()), (0.5, (1,)), (0.5, (1,)), (0.5, (2,)))]
+    losses = [m[1] for m in made]
+    assert losses[1] == pytest.approx(losses[2]) and len({round(x, 6) for x in losses}) == 3
+    assert len({(m[2], m[3], m[4], round(float(m[0]["val_loss"][0]), 6)) for m in made}) == 1
+    # A unit left out of a question has no part in its gradient; those kept are scaled.
+    alone = spark.createDataFrame([([2], 0, 1, 0)], table.schema).mapInArrow(embedding._packed, embedding._PACKED)
+    whole, part = (embedding._epoch_sums(alone, weights, 0, False, dropped, (1,))[0]["classes"] for dropped in (0, 0.5))
+    on = (whole != 0).any(axis=0)
+    assert on.any() and not part[:, ~on].any() and {bool(x) for x in (part[:, on] != 0).all(axis=0)} == {True, False}
+
+
+def test_an_epoch_takes_every_row_of_the_train_part_once(prepared, monkeypatch):
+    training, labels = prepared
+    n_train, n_val = (training.filter(F.col("split") == part).count() for part in ("train", "val"))
+    passes, sums = [], embedding._epoch_sums
+
+    def watched(blocks, weights, share, measured=True, *others):
+        made = sums(blocks, weights, share, measured, *others)
+        passes.append((share, measured, made[2], made[4], {name: w.shape for name, w in weights.items()}))
+        return made
+
+    monkeypatch.setattr(embedding, "_epoch_sums", watched)
+    model, history = fit_embedding(training, labels, width=8, epochs=3, shares=4)
+    assert [p[0] for p in passes] == [0, 1, 2, 3] * 3 + [-1]
+    for epoch in range(3):
+        assert sum(p[2] for p in passes[4 * epoch : 4 * epoch + 4]) == n_train
+    assert [p[3] for p in passes if p[1]] == [n_val] * 3 and len(history) == 3
+    n = label_width(labels)
+    assert passes[0][4] | {"departments": None, "words": None} == {
+        "words": None, "departments": None, "dense": (16, 256), "dense_bias": (256,), "classes": (n, 256), "bias": (n,)
+    }
+
+
+def test_the_rate_is_halved_when_the_validation_loss_does_not_fall(prepared):
+    training, labels = prepared
+    _, history = fit_embedding(training, labels, width=8, epochs=12, patience=12, rate=0.4)
+    least, rate = float("inf"), 0.4
+    for e in history:
+        assert e.rate == pytest.approx(rate)
+        if e.val_loss < least - 1e-4:
+            least = e.val_loss
+        else:
+            rate /= 2
+    assert rate < 0.4 and all(e.val_loss > 0 for e in history)
+
+
+def test_a_model_without_a_dense_layer_still_scores(prepared):
+    training, labels = prepared
+    model, _ = fit_embedding(training, labels, width=8, epochs=1)
+    chance, n = np.random.default_rng(5), label_width(labels)
+    old = {"words": (20000, 8), "departments": (model.departments.count(), 8), "classes": (n, 8), "bias": (n,)}
+    weights = {name: chance.normal(size=shape) for name, shape in old.items()}
+    made = EmbeddingModel(weights, model.words, model.departments, labels).scores(training).select("scores").collect()
+    assert len(made) == 240 and all(abs(sum(r["scores"]) - 1) < 1e-9 for r in made)
+
+
 def test_blocks_hold_one_share_and_sum_to_the_same_gradients(spark):
     """An epoch reads its own share and the validation part only."""
     chance = np.random.default_rng(2)
