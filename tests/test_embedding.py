@@ -3,8 +3,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from headingflow.operators import embedding
+from headingflow.operators import model as models
 from headingflow.operators.embedding import EmbeddingModel, fit_embedding, gradients
-from headingflow.operators.model import HeadingModel, _LOADED, label_width, loaded, naive_bayes, plugin_scores, sweep, train
+from headingflow.operators.model import HeadingModel, _LOADED, label_width, loaded, logistic, naive_bayes, plugin_scores, sweep, train
+from headingflow.operators.vocabulary import vocabulary
 from headingflow.plans.training import prepare_training
 
 
@@ -176,6 +178,22 @@ def test_the_embedding_takes_part_in_the_sweep(prepared):
     assert model is max(results, key=lambda r: r.top1_accuracy) or model.predict(training, k=1).count() == 240
 
 
+def test_a_sweep_makes_the_vocabulary_once_and_fits_logistic_models_together(prepared, monkeypatch):
+    training, labels = prepared
+    words = vocabulary(training.filter("split = 'train'"), "question_clean")
+    counted, together = [], []
+    for module in (embedding, models):
+        monkeypatch.setattr(module, "vocabulary", lambda *_: counted.append(1))
+    fit = models.fit_together
+    monkeypatch.setattr(models, "fit_together", lambda made, rows: together.append(len(made)) or fit(made, rows))
+    choices = {"weak": logistic(1e-2, 5), "embedding": lambda t, n: fit_embedding(t, n, width=8, epochs=2, words=words)[0], "strong": logistic(1e-1, 5)}
+    model, results = sweep(training, labels, choices, words=words)
+    assert [r.name for r in results] == list(choices) and not counted and together == [2]
+    monkeypatch.undo()
+    _, alone = sweep(training, labels, {"strong": logistic(1e-1, 5)})
+    assert (alone[0].top1_accuracy, alone[0].top3_accuracy) == (results[2].top1_accuracy, results[2].top3_accuracy)
+
+
 def test_the_switch_for_raw_text_is_saved(prepared, spark, tmp_path):
     training, labels = prepared
     model = train(training, labels, naive_bayes())

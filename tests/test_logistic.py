@@ -1,11 +1,12 @@
 import numpy as np
 import pytest
+from pyspark import TaskContext
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.linalg import Vectors
 
 from headingflow.operators import logistic as passes
 from headingflow.operators.model import logistic
-from headingflow.operators.sums import summed
+from headingflow.operators.sums import THIN, add_grouped, summed
 
 
 @pytest.fixture(scope="module")
@@ -60,3 +61,42 @@ def test_minimise_reaches_the_bottom():
     bent = lambda x: (float(((x - 3) ** 4).sum() + (x**2).sum()), 4 * (x - 3) ** 3 + 2 * x)
     x, history = passes.minimise(bent, np.zeros(3), 60, 1e-9)
     assert np.abs(bent(x)[1]).max() < 1e-4 and all(b < a for a, b in zip(history, history[1:]))
+
+
+@pytest.mark.parametrize("at_once", [3, 1000])
+def test_grouped_products_are_added(at_once):
+    """Rows without an entry, with a few and with many."""
+    chance = np.random.default_rng(7)
+    sizes = np.array([0, 1, 2, THIN, THIN + 1, 40, 0, 3, 90, 1])
+    rows = np.repeat(np.arange(10), sizes)
+    places, values, table = chance.integers(0, 20, len(rows)), chance.normal(size=len(rows)), chance.normal(size=(20, 6))
+    out, want = np.ones((10, 6)), np.ones((10, 6))
+    np.add.at(want, rows, values[:, None] * table[places])
+    add_grouped(out, rows, places, values, table, at_once)
+    assert np.allclose(out, want)
+    add_grouped(out, rows[:0], places[:0], values[:0], table, at_once)
+    assert np.allclose(out, want)
+
+
+def test_fits_to_the_same_rows_share_their_passes(rows, monkeypatch):
+    passed, add_up = [], passes.summed
+    monkeypatch.setattr(passes, "summed", lambda table, size, add: passed.append(size) or add_up(table, size, add))
+    alone = [logistic(1e-2, 8).fit(rows), logistic(1e-1, 6).fit(rows)]
+    each = len(passed)
+    made = passes.fit_together([logistic(1e-2, 8), logistic(1e-1, 6)], rows)
+    # One pass for both in place of one for each, and the moments once.
+    assert len(passed) - each <= each - 1 - 6
+    for one, other in zip(alone, made, strict=True):
+        assert one.objective_history == pytest.approx(other.objective_history)
+        assert np.allclose(one.coefficientMatrix.toArray(), other.coefficientMatrix.toArray(), atol=1e-4)
+
+
+def test_no_more_tasks_than_cores_send_sums(spark):
+    """What is shuffled in a pass must not grow with the parts of the table."""
+    cores = spark.sparkContext.defaultParallelism
+
+    def add(total, row):
+        total[TaskContext.get().partitionId()] += 1
+
+    seen = summed(spark.range(0, 600, 1, 60), 60, add)
+    assert seen.sum() == 600 and np.count_nonzero(seen) == cores < 60
