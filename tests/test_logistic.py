@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import numpy as np
 import pytest
 from pyspark import TaskContext
@@ -6,7 +8,7 @@ from pyspark.ml.linalg import Vectors
 
 from headingflow.operators import logistic as passes
 from headingflow.operators.model import logistic
-from headingflow.operators.sums import THIN, add_grouped, summed
+from headingflow.operators.sums import CLEANUP, THIN, add_grouped, summed
 
 
 @pytest.fixture(scope="module")
@@ -100,3 +102,13 @@ def test_no_more_tasks_than_cores_send_sums(spark):
 
     seen = summed(spark.range(0, 600, 1, 60), 60, add)
     assert seen.sum() == 600 and np.count_nonzero(seen) == cores < 60
+
+
+def test_a_pass_leaves_no_shuffle_files(spark):
+    """Those of all passes of a fit would outgrow a small input many times."""
+    folders = [Path(f.getPath()) for f in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    files = lambda: {f.name for folder in folders for f in folder.rglob("shuffle_*.data")}
+    before = files()
+    assert summed(spark.range(0, 100, 1, 4), 1000, lambda total, row: np.add(total, 1, out=total))[0] == 100
+    assert not files() - before
+    assert spark.conf.get(CLEANUP) == "false"
