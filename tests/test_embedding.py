@@ -117,6 +117,17 @@ def test_the_rate_is_halved_when_the_validation_loss_does_not_fall(prepared):
     assert rate < 0.4 and all(e.val_loss > 0 for e in history)
 
 
+def test_a_pass_sends_its_weights_once(spark, monkeypatch):
+    """Weights beside the broadcast ones would go with the plan of each pass, whose file is never deleted."""
+    held, add_up = [], embedding.summed
+    monkeypatch.setattr(embedding, "summed", lambda table, size, add: held.append(add) or add_up(table, size, add))
+    table = spark.createDataFrame([([2, 3], 0, 1, 0), ([3], 1, 2, -1)], "word_ids array<int>, department_id int, label_id int, share int")
+    embedding._epoch_sums(table.mapInArrow(embedding._packed, embedding._PACKED), whole_network(np.random.default_rng(6)), 0)
+    cells = [c.cell_contents for c in held[0].__closure__]
+    cells += [c.cell_contents for f in cells if callable(f) for c in f.__closure__ or ()]
+    assert not any(isinstance(c, dict | np.ndarray) for c in cells)
+
+
 def test_a_model_without_a_dense_layer_still_scores(prepared):
     training, labels = prepared
     model, _ = fit_embedding(training, labels, width=8, epochs=1)
