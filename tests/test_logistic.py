@@ -93,6 +93,15 @@ def test_fits_to_the_same_rows_share_their_passes(rows, monkeypatch):
         assert np.allclose(one.coefficientMatrix.toArray(), other.coefficientMatrix.toArray(), atol=1e-4)
 
 
+def test_fits_too_large_for_the_driver_go_one_by_one(rows, monkeypatch):
+    sizes, add_up = [], passes.summed
+    monkeypatch.setattr(passes, "summed", lambda table, size, add: sizes.append(size) or add_up(table, size, add))
+    monkeypatch.setattr(passes, "CELLS", 239)
+    made = passes.fit_together([logistic(1e-2, 3), logistic(1e-1, 3)], rows)
+    assert len(made) == 2 and set(sizes[1:]) == {30 * 4 + 4 + 1}
+    assert made[0].objective_history[0] < made[1].objective_history[0] + 1e-9 and made[0].objective_history[-1] < made[1].objective_history[-1]
+
+
 def test_no_more_tasks_than_cores_send_sums(spark):
     """What is shuffled in a pass must not grow with the parts of the table."""
     cores = spark.sparkContext.defaultParallelism
